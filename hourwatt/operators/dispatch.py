@@ -10,11 +10,11 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hourwatt.functions import numbers as N
 from hourwatt.operators import storage
 from hourwatt.operators.grid import HOUR
+from hourwatt.session import task_count
 
 cloudpickle.register_pickle_by_value(storage)  # executors need no installed copy
 
@@ -100,6 +100,27 @@ def horizon_rows(prices: DataFrame, horizon: int, per: Sequence[str] = ("series_
     return prices.withColumn("_place", place).where(F.col("_place") <= horizon).drop("_place")
 
 
+_PLAN = (
+    "charge_mwh array<double>, discharge_mwh array<double>, soc_mwh array<double>, status string"
+)
+
+
+def _by_horizon(rows: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """One row per horizon: its hours in order, and their values, as arrays."""
+    pairs = F.sort_array(F.collect_list(F.struct(HOUR, value))).alias("_hours")
+    return rows.groupBy(*keys).agg(pairs).withColumn("_values", F.col(f"_hours.{value}"))
+
+
+def _by_hour(solved: DataFrame, value: str, columns: Sequence[str]) -> DataFrame:
+    """One row per hour again."""
+    hours = F.arrays_zip(
+        F.col(f"_hours.{HOUR}").alias(HOUR),
+        F.col("_values").alias(value),
+        *[F.col(f"_plan.{c}").alias(c) for c in ("charge_mwh", "discharge_mwh", "soc_mwh")],
+    )
+    return solved.select(*columns, F.col("_plan.status").alias("status"), F.inline(hours))
+
+
 def battery_dispatch(
     prices: DataFrame,
     fleet: Sequence[Battery] | DataFrame = FLEET,
@@ -109,31 +130,29 @@ def battery_dispatch(
     """Charge and discharge per scenario and hour with the largest trading value, and the bid.
 
     ``prices`` has series_id, timestamp_hour and price; ``per`` adds columns that split a series
-    into separate horizons, such as a delivery day. A group holds at most ``horizon`` rows.
+    into separate horizons, such as a delivery day. A horizon, of at most ``horizon`` hours, becomes
+    one row, so that a batch handed to Python holds many scenarios.
     """
     keys = ["series_id", *per]
     prices = prices.select(*keys, HOUR, "price")
     if horizon is not None:
         prices = horizon_rows(prices, horizon, keys)
-    groups = with_batteries(prices, fleet)
-    schema = T.StructType(
-        groups.schema.fields
-        + [T.StructField(c, T.DoubleType()) for c in ("charge_mwh", "discharge_mwh", "soc_mwh")]
-        + [T.StructField("status", T.StringType())]
-    )
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(HOUR)
-        b = pdf.iloc[0]
-        plan = None
-        if pdf["price"].notna().all():
-            plan = storage.battery_hours(
-                pdf["price"].to_list(), b.s_max, b.p_max, b.eta_c, b.eta_d, b.s_max / 2
-            )
-        return storage.with_plan(pdf, plan)
+    scenarios = with_batteries(_by_horizon(prices, "price", keys), fleet)
+    scenarios = scenarios.repartition(task_count(prices.sparkSession), *keys, "scenario_id")
+
+    @F.pandas_udf(_PLAN)
+    def solve(
+        prices: pd.Series, s_max: pd.Series, p_max: pd.Series, eta_c: pd.Series, eta_d: pd.Series
+    ) -> pd.DataFrame:
+        plans = [
+            storage.battery_hours(p, size, power, c, d, size / 2) if np.isfinite(p).all() else None
+            for p, size, power, c, d in zip(prices, s_max, p_max, eta_c, eta_d)
+        ]
+        return storage.plan_frame(plans, prices.map(len))
 
-    solved = groups.groupBy(*keys, "scenario_id").applyInPandas(solve, schema)
-    return solved.withColumn("bid_mwh", optimal_bid(F.col("price"), F.col("lam")))
+    solved = scenarios.withColumn("_plan", solve("_values", "s_max", "p_max", "eta_c", "eta_d"))
+    hours = _by_hour(solved, "price", [*keys, "scenario_id", *BATTERY_COLUMNS])
+    return hours.withColumn("bid_mwh", optimal_bid(F.col("price"), F.col("lam")))
 
 
 def dispatch_profit(df: DataFrame, per: Sequence[str] = SCENARIO) -> DataFrame:
@@ -226,18 +245,14 @@ def generation_dispatch(
     ranked = sorted(generators, key=lambda g: g.cost_per_mwh)
     caps = [g.capacity_mw for g in ranked]
     costs = [g.cost_per_mwh for g in ranked]
-    schema = T.StructType(
-        rows.schema.fields
-        + [T.StructField(c, T.DoubleType()) for c in ("charge_mwh", "discharge_mwh", "soc_mwh")]
-        + [T.StructField("status", T.StringType())]
-    )
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(HOUR)
-        plan = None
-        if pdf["demand_mw"].notna().all():
-            plan = storage.supply_hours(
-                pdf["demand_mw"].to_list(),
+    horizons = _by_horizon(rows, "demand_mw", keys)
+    horizons = horizons.repartition(task_count(demand.sparkSession), *keys)
+
+    @F.pandas_udf(_PLAN)
+    def solve(demands: pd.Series) -> pd.DataFrame:
+        plans = [
+            storage.supply_hours(
+                x,
                 np.array(caps),
                 np.array(costs),
                 store.power_mw,
@@ -246,9 +261,13 @@ def generation_dispatch(
                 store.high,
                 store.start,
             )
-        return storage.with_plan(pdf, plan)
+            if np.isfinite(x).all()
+            else None
+            for x in demands
+        ]
+        return storage.plan_frame(plans, demands.map(len))
 
-    solved = rows.groupBy(*keys).applyInPandas(solve, schema)
+    solved = _by_hour(horizons.withColumn("_plan", solve("_values")), "demand_mw", keys)
     net = F.col("demand_mw") + F.col("charge_mwh") - F.col("discharge_mwh")
     mixed = merit_order(solved.withColumn("net_load_mw", net), "net_load_mw", ranked)
     return mixed.drop("unserved_mw")

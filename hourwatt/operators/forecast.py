@@ -15,6 +15,7 @@ from hourwatt.functions import times as TM
 from hourwatt.operators import additive
 from hourwatt.operators.additive import BAND_Z, Model
 from hourwatt.operators.grid import HOUR, future_hours, within_days
+from hourwatt.session import task_count
 
 cloudpickle.register_pickle_by_value(additive)  # executors need no installed copy
 
@@ -95,7 +96,10 @@ def additive_forecast(
             out.insert(i, k, pdf[k].iloc[0])
         return out
 
-    fitted = numbered.select(*keys, "_h", "_y", "_w").groupBy(*keys).applyInPandas(fit, schema)
+    spread = numbered.select(*keys, "_h", "_y", "_w").repartition(
+        task_count(df.sparkSession), *keys
+    )
+    fitted = spread.groupBy(*keys).applyInPandas(fit, schema)
     return fitted.select(
         *keys,
         F.timestamp_seconds(F.col("_h") * 3600).alias(HOUR),

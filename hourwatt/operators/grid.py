@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourwatt.functions import times as TM
+from hourwatt.session import task_count
 
 HOUR = "timestamp_hour"
 
@@ -19,7 +20,6 @@ def hour_grid(df: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
     Hours are listed month by month, after the months have been spread over the cluster: the
     bounds of all series are a small table that would otherwise be expanded by a single task.
     """
-    spark = df.sparkSession
     bounds = df.groupBy(*keys).agg(
         F.date_trunc("hour", F.min(HOUR)).alias("_from"),
         F.date_trunc("hour", F.max(HOUR)).alias("_to"),
@@ -28,7 +28,7 @@ def hour_grid(df: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
     months = bounds.withColumn(
         "_month",
         F.explode(F.sequence(F.date_trunc("month", "_from"), F.date_trunc("month", "_to"), step)),
-    ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, "_month")
+    ).repartition(task_count(df.sparkSession), *keys, "_month")
     first = F.greatest("_from", "_month")
     last = F.least("_to", F.col("_month") + step - F.expr("INTERVAL 1 HOUR"))
     return months.select(

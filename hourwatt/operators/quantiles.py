@@ -14,12 +14,13 @@ def exact_quantiles(
     points: Mapping[str, float],
     keys: Sequence[str],
     slices: int = 4096,
+    rounds: int = 2,
 ) -> DataFrame:
     """Interpolated quantiles per key, with minimum and maximum, without gathering a group.
 
-    Equal values are counted first. The value range of each key is cut into equal slices and the
-    slices are counted; a quantile's rank falls into one slice, and only the values of such slices
-    are ordered.
+    Equal values are counted first. The value range of each key is cut into equal slices, which are
+    counted; a quantile's rank falls into one slice. A second round cuts that slice again, so that
+    a few far outliers do not leave the bulk in one slice. Only what is left is put in order.
     """
     keys = list(keys)
     values = (
@@ -30,16 +31,6 @@ def exact_quantiles(
     stats = values.groupBy(*keys).agg(
         F.min("_v").alias("min_value"), F.max("_v").alias("max_value"), F.sum("_c").alias("_n")
     )
-    sliced = values.join(stats, keys).withColumn(
-        "_slice",
-        F.coalesce(  # null where minimum and maximum are equal
-            F.width_bucket("_v", F.col("min_value"), F.col("max_value"), F.lit(slices)), F.lit(1)
-        ),
-    )
-    counts = sliced.groupBy(*keys, "_slice").agg(F.sum("_c").alias("_m"))
-    below = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_m").over(below), F.lit(0)))
-
     # Ranks count from 0; a quantile lies between the two ranks around p * (n - 1).
     wanted = F.array(
         *[
@@ -48,22 +39,39 @@ def exact_quantiles(
         ]
     )
     ranks = stats.select(*keys, F.inline(wanted)).select(
-        "*", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_rank")
+        "*",
+        F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_rank"),
+        F.lit(0).cast("long").alias("_skip"),
     )
-    hits = ranks.join(counts, keys).where(
-        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_m"))
-    )
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(
+    rest, at = values, list(keys)
+    for number in range(rounds):
+        slice_column = f"_slice{number}"
+        ends = rest.groupBy(*at).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        cut = F.width_bucket("_v", F.col("_lo"), F.col("_hi"), F.lit(slices))
+        cut = F.coalesce(cut, F.lit(1))  # null where both ends are equal
+        sliced = rest.join(ends, at).withColumn(slice_column, cut).drop("_lo", "_hi")
+        below = Window.partitionBy(*at).orderBy(slice_column).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        counts = sliced.groupBy(*at, slice_column).agg(F.sum("_c").alias("_m"))
+        counts = counts.withColumn("_before", F.coalesce(F.sum("_m").over(below), F.lit(0)))
+        first = F.col("_skip") + F.col("_before")
+        ranks = (
+            ranks.join(counts, at)
+            .where((F.col("_rank") >= first) & (F.col("_rank") < first + F.col("_m")))
+            .withColumn("_skip", first)
+            .drop("_before", "_m")
+        )
+        at = [*at, slice_column]
+        rest = sliced.join(ranks.select(*at).distinct(), at, "left_semi")
+    order = Window.partitionBy(*at).orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    needed = hits.select(*keys, "_slice", "_before").distinct()
-    ordered = sliced.join(needed, [*keys, "_slice"]).withColumn(
-        "_upto", F.col("_before") + F.sum("_c").over(inside)
-    )
-    found = ordered.drop("_before").join(
-        hits.select(*keys, "_slice", "_name", "_at", "_rank"), [*keys, "_slice"]
-    ).where(
-        (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c"))
+    upto = F.col("_skip") + F.col("_upto")
+    found = (
+        rest.withColumn("_upto", F.sum("_c").over(order))
+        .join(ranks, at)
+        .where((F.col("_rank") < upto) & (F.col("_rank") >= upto - F.col("_c")))
     )
     share = F.col("_at") - F.floor("_at")
     weight = F.when(F.col("_rank") == F.floor("_at"), 1 - share).otherwise(share)

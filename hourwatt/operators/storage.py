@@ -109,10 +109,12 @@ def supply_hours(demands, caps, costs, power, eta_c, low, high, level):
     return np.maximum(-release, 0.0) / eta_c, np.maximum(release, 0.0), levels
 
 
-def with_plan(pdf: pd.DataFrame, plan) -> pd.DataFrame:
-    """Input rows beside the plan, or beside nulls where there is none."""
-    names = ("charge_mwh", "discharge_mwh", "soc_mwh")
-    if plan is None:
-        return pdf.assign(**{n: np.nan for n in names}, status="infeasible")
-    values = {n: np.maximum(np.asarray(v), 0.0) for n, v in zip(names, plan)}
-    return pdf.assign(**values, status="optimal")
+def plan_frame(plans, lengths) -> pd.DataFrame:
+    """One row per horizon with arrays of its hours; nulls where there is no plan."""
+    rows = []
+    for plan, n in zip(plans, lengths):
+        if plan is None:
+            rows.append(([None] * n, [None] * n, [None] * n, "infeasible"))
+        else:
+            rows.append((*(np.maximum(np.asarray(v), 0.0) for v in plan), "optimal"))
+    return pd.DataFrame(rows, columns=["charge_mwh", "discharge_mwh", "soc_mwh", "status"])

@@ -229,12 +229,13 @@ FROM {table} GROUP BY 1 ORDER BY 1 DESC LIMIT 10"""
 
 
 def _merit(load: str) -> str:
-    return f"""least(greatest({load}, 0), 300) AS wind_mw,
-       least(greatest({load} - 300, 0), 500) AS solar_mw,
-       least(greatest({load} - 800, 0), 800) AS gas_mw,
-       least(greatest({load}, 0), 300) * 0.03 + least(greatest({load} - 300, 0), 500) * 0.05
-       + least(greatest({load} - 800, 0), 800) * 0.08 AS cost,
-       greatest({load} - 1600, 0) AS unserved_mw"""
+    def output(below: int, cap: int) -> str:
+        return f"CASE WHEN {load} IS NOT NULL THEN least(greatest({load} - {below}, 0), {cap}) END"
+
+    wind, solar, gas = output(0, 300), output(300, 500), output(800, 800)
+    return f"""{wind} AS wind_mw, {solar} AS solar_mw, {gas} AS gas_mw,
+       ({wind}) * 0.03 + ({solar}) * 0.05 + ({gas}) * 0.08 AS cost,
+       CASE WHEN {load} IS NOT NULL THEN greatest({load} - 1600, 0) END AS unserved_mw"""
 
 
 def _spread(position: str, table: str) -> str:

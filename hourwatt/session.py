@@ -61,3 +61,12 @@ def shared_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def task_count(spark: SparkSession) -> int:
+    """Tasks for a step whose cost is computing, not bytes.
+
+    Named explicitly, because partitions that look small are otherwise merged into one task.
+    """
+    planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(planned, spark.sparkContext.defaultParallelism)

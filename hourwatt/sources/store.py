@@ -99,9 +99,10 @@ class TableStore:
             return
         old = self.read(table).where(F.col(DAY).between(F.lit(first), F.lit(last)))
         old = old.join(new.select(DAY).distinct(), DAY, "left_semi")
-        both = new.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
-        order = [*([newest] if newest else []), "_new"]
-        merged = self._stage(latest_per_key(both, KEYS[table], order).drop("_new", DAY), table)
+        loaded = F.unix_micros(newest) if newest else F.lit(0)
+        order = F.coalesce(loaded, F.lit(0)) * 2  # one number: load time, then new before old
+        both = new.withColumn("_order", order + 1).unionByName(old.withColumn("_order", order))
+        merged = self._stage(latest_per_key(both, KEYS[table], ["_order"]).drop("_order", DAY), table)
         (
             merged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

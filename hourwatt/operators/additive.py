@@ -14,11 +14,14 @@ SEASONS = {"daily": (24.0, 4), "weekly": (168.0, 3), "yearly": (8766.0, 10)}  #
 WIDTH_TREND, WIDTH_HINGE, WIDTH_SEASON = 5.0, 0.05, 10.0
 
 
+AUTO_YEARLY_HOURS = 730 * 24.0  # fixed value
+
+
 @dataclass(frozen=True)
 class Model:
     daily: bool = True
     weekly: bool = True
-    yearly: bool = False
+    yearly: bool | None = None  # None: from two years of history on
     hinges: int = 25
     shrink: bool = True
 
@@ -31,7 +34,8 @@ def _design(hours, first, span, model: Model):
         columns.append(np.maximum(t - edge, 0.0))
         widths.append(WIDTH_HINGE)
     for season, (period, pairs) in SEASONS.items():
-        if getattr(model, season):
+        wanted = getattr(model, season)
+        if wanted or (wanted is None and span >= AUTO_YEARLY_HOURS):
             for k in range(1, pairs + 1):
                 angle = 2 * np.pi * k * hours / period
                 columns += [np.sin(angle), np.cos(angle)]

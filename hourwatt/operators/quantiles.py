@@ -46,7 +46,10 @@ def exact_quantiles(
     rest, at = values, list(keys)
     for number in range(rounds):
         slice_column = f"_slice{number}"
-        ends = rest.groupBy(*at).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        if number == 0:
+            ends = stats.select(*at, F.col("min_value").alias("_lo"), F.col("max_value").alias("_hi"))
+        else:
+            ends = rest.groupBy(*at).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         cut = F.width_bucket("_v", F.col("_lo"), F.col("_hi"), F.lit(slices))
         cut = F.coalesce(cut, F.lit(1))  # null where both ends are equal
         sliced = rest.join(ends, at).withColumn(slice_column, cut).drop("_lo", "_hi")

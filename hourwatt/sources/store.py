@@ -1,11 +1,12 @@
 """Tables as parquet folders: scans, appends, replacements, idempotent day refreshes.
 
-Gold and bronze tables are partitioned by ``event_date``. A refresh rewrites only the days it has
-rows for, through a staging folder, so a rerun after a lost driver ends in the same table.
+All tables are partitioned by ``event_date``. A refresh rewrites only the days it has rows for and
+gives the same table when it is started again.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,6 @@ from pyspark.sql import types as T
 from hourwatt.functions import times as TM
 from hourwatt.operators.keys import latest_per_key
 from hourwatt.schemas import KEYS, SCHEMAS
-from hourwatt.session import new_folder
 
 DAY = "event_date"
 
@@ -47,11 +47,14 @@ class TableStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _hadoop(self, path: str):
+        sc = self.spark.sparkContext
+        found = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
+
     def exists(self, table: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return path.getFileSystem(conf).exists(path)
+        files, path = self._hadoop(self.path(table))
+        return files.exists(path)
 
     def read(self, table: str) -> DataFrame:
         """The table with its ``event_date`` column, or no rows if it was never written."""
@@ -79,41 +82,43 @@ class TableStore:
         self._by_day(df, table).write.mode("append").partitionBy(DAY).parquet(self.path(table))
 
     def replace(self, df: DataFrame, table: str) -> None:
-        """Full rebuild; the new rows are complete in a staging folder before the old ones go."""
+        """Full rebuild: the new folder is complete before it takes the place of the old one."""
         staged = self._stage(df, table)
-        (
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(DAY)
-            .parquet(self.path(table))
-        )
+        files, path = self._hadoop(self.path(table))
+        files.delete(path, True)
+        if not files.rename(self._hadoop(staged)[1], path):
+            raise OSError(f"could not move {staged} to {path}")
 
     def refresh(self, df: DataFrame, table: str, newest: str | None = None) -> None:
         """Add rows, one per key: the largest ``newest`` wins, on a tie the new row.
 
-        Only days that occur in ``df`` are read and rewritten. ``df`` is computed once.
+        Only days that occur in ``df`` are read and rewritten. ``df`` is computed once, into a
+        staging folder. Spark swaps the rewritten days in when all of them have been written.
         """
-        new = self._stage(df, table)
+        staged = self._stage(df, table)
+        new = self.spark.read.schema(_with_day(table)).parquet(staged)
         first, last = new.agg(F.min(DAY), F.max(DAY)).first()
-        if first is None:
-            return
-        old = self.read(table).where(F.col(DAY).between(F.lit(first), F.lit(last)))
-        old = old.join(new.select(DAY).distinct(), DAY, "left_semi")
-        loaded = F.unix_micros(newest) if newest else F.lit(0)
-        order = F.coalesce(loaded, F.lit(0)) * 2  # one number: load time, then new before old
-        both = new.withColumn("_order", order + 1).unionByName(old.withColumn("_order", order))
-        merged = self._stage(latest_per_key(both, KEYS[table], ["_order"]).drop("_order", DAY), table)
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY)
-            .parquet(self.path(table))
-        )
-
-    def _stage(self, df: DataFrame, table: str) -> DataFrame:
-        folder = new_folder(self.spark, f"stage-{table}")
+        if first is not None:
+            old = self.read(table).where(F.col(DAY).between(F.lit(first), F.lit(last)))
+            old = old.join(new.select(DAY).distinct(), DAY, "left_semi")
+            loaded = F.unix_micros(newest) if newest else F.lit(0)
+            order = F.coalesce(loaded, F.lit(0)) * 2  # one number: load time, then new before old
+            both = new.withColumn("_order", order + 1).unionByName(old.withColumn("_order", order))
+            merged = latest_per_key(both, KEYS[table], ["_order"]).drop("_order")
+            (
+                self._by_day(merged, table)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(DAY)
+                .parquet(self.path(table))
+            )
+        files, path = self._hadoop(staged)
+        files.delete(path, True)
+
+    def _stage(self, df: DataFrame, table: str) -> str:
+        folder = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
         self._by_day(df, table).write.partitionBy(DAY).parquet(folder)
-        return self.spark.read.schema(_with_day(table)).parquet(folder)
+        return folder
 
 
 def _with_day(table: str) -> T.StructType:

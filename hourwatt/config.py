@@ -16,6 +16,5 @@ class EngineConfig:
     respondent: str = "ERCO"  # fixed value: public balancing-authority code of the demand feed
     feed_type: str = "D"  # fixed value: "D" marks demand rows in that feed
     station: str = "72243012960"  # fixed value: public weather station number
-    feed_limit: int = 10_000  # fixed value: rows the demand feed serves per request
     history_days: int = 365
     horizon_hours: int = 48

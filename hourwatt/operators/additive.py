@@ -43,12 +43,6 @@ def _design(hours, first, span, model: Model):
     return np.column_stack(columns), np.array(widths)
 
 
-def _least_squares(x, y, w, penalty):
-    root = np.sqrt(w)
-    rows = np.vstack([x * root[:, None], np.diag(np.sqrt(penalty))])
-    return np.linalg.lstsq(rows, np.concatenate([y * root, np.zeros(len(penalty))]), rcond=None)[0]
-
-
 def fit_and_extend(hours, values, weights, horizon: int, model: Model) -> pd.DataFrame:
     """Fitted values and band for the ``horizon`` hours after the last one."""
     h = hours.to_numpy(dtype=float)
@@ -56,15 +50,19 @@ def fit_and_extend(hours, values, weights, horizon: int, model: Model) -> pd.Dat
     first, span = h.min(), max(h.max() - h.min(), 1.0)
     scale = np.abs(y).max() or 1.0
     x, widths = _design(h, first, span, model)
-    none = np.zeros(x.shape[1])
-    beta = _least_squares(x, y / scale, w, none)
+    weighted = x * w[:, None]
+    gram, right = weighted.T @ x, weighted.T @ (y / scale)
+
+    def solve(penalty):
+        return np.linalg.lstsq(gram + np.diag(penalty), right, rcond=1e-12)[0]
 
     def spread(beta):
         rest = y / scale - x @ beta
         return np.sqrt((w * rest * rest).sum() / max(w.sum() - x.shape[1], 1.0))
 
+    beta = solve(np.zeros(x.shape[1]))
     if model.shrink:  # penalties that match normal priors at the noise level just seen
-        beta = _least_squares(x, y / scale, w, spread(beta) ** 2 / widths**2)
+        beta = solve(spread(beta) ** 2 / widths**2)
     ahead = np.arange(1, horizon + 1) + hours.max()
     yhat = _design(ahead.astype(float), first, span, model)[0] @ beta * scale
     half = BAND_Z * spread(beta) * scale

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hourwatt.functions import numbers as N
 from hourwatt.functions import times as TM
-from hourwatt.operators.frames import row_frames
+from hourwatt.operators.frames import moving_means
 from hourwatt.operators.grid import HOUR
 from hourwatt.operators.keys import latest_per_key, newest_rows, top
 
@@ -237,8 +237,7 @@ def trailing_means(
     df: DataFrame, windows: Mapping[str, int], *, by: Sequence[str] = ()
 ) -> DataFrame:
     """Means over the last ``n`` readings, gaps not counted, for every row."""
-    frames = {name: (F.avg("demand_mw"), 1 - n, 0) for name, n in windows.items()}
-    return row_frames(df, frames, keys=by)
+    return moving_means(df, "demand_mw", {name: (1 - n, 0) for name, n in windows.items()}, by)
 
 
 def rolling_averages(

@@ -144,11 +144,13 @@ def battery_dispatch(
     def solve(
         prices: pd.Series, s_max: pd.Series, p_max: pd.Series, eta_c: pd.Series, eta_d: pd.Series
     ) -> pd.DataFrame:
-        plans = [
-            storage.battery_hours(p, size, power, c, d, size / 2) if np.isfinite(p).all() else None
-            for p, size, power, c, d in zip(prices, s_max, p_max, eta_c, eta_d)
-        ]
-        return storage.plan_frame(plans, prices.map(len))
+        units = [x.to_numpy() for x in (s_max, p_max, eta_c, eta_d)]
+
+        def plan(matrix, rows):
+            size, *rest = (x[rows] for x in units)
+            return storage.battery_hours(matrix, size, *rest, size / 2)
+
+        return storage.solve_rows(prices, plan)
 
     solved = scenarios.withColumn("_plan", solve("_values", "s_max", "p_max", "eta_c", "eta_d"))
     hours = _by_hour(solved, "price", [*keys, "scenario_id", *BATTERY_COLUMNS])
@@ -250,22 +252,13 @@ def generation_dispatch(
 
     @F.pandas_udf(_PLAN)
     def solve(demands: pd.Series) -> pd.DataFrame:
-        plans = [
-            storage.supply_hours(
-                x,
-                np.array(caps),
-                np.array(costs),
-                store.power_mw,
-                store.eta_c,
-                store.low,
-                store.high,
-                store.start,
-            )
-            if np.isfinite(x).all()
-            else None
-            for x in demands
-        ]
-        return storage.plan_frame(plans, demands.map(len))
+        setting = (
+            np.array(caps), np.array(costs),
+            store.power_mw, store.eta_c, store.low, store.high, store.start,
+        )
+        return storage.solve_rows(
+            demands, lambda matrix, rows: storage.supply_hours(matrix, *setting)
+        )
 
     solved = _by_hour(horizons.withColumn("_plan", solve("_values")), "demand_mw", keys)
     net = F.col("demand_mw") + F.col("charge_mwh") - F.col("discharge_mwh")

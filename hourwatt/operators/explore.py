@@ -13,7 +13,7 @@ from hourwatt.functions import numbers as N
 from hourwatt.functions import times as TM
 from hourwatt.operators import analytics as A
 from hourwatt.operators.analytics import Tables
-from hourwatt.operators.frames import row_frames
+from hourwatt.operators.frames import moving_means
 from hourwatt.operators.grid import HOUR
 from hourwatt.operators.quantiles import exact_quantiles
 
@@ -62,7 +62,7 @@ def decompose(tables: Tables, *, by: Sequence[str] = ()) -> DataFrame:
     """
     df = A.known_demand(tables).select(*by, HOUR, "demand_mw")
     half = A.WEEK_ROWS // 2
-    trended = row_frames(df, {"trend": (F.avg("demand_mw"), -half, half - 1)}, keys=by)
+    trended = moving_means(df, "demand_mw", {"trend": (-half, half - 1)}, by)
     trended = trended.withColumn("_cell", TM.hour_of_week(F.col(HOUR)))
     left = F.col("demand_mw") - F.col("trend")
     seasons = trended.groupBy(*by, "_cell").agg(F.avg(left).alias("seasonal"))

@@ -2,7 +2,7 @@
 
 A window partitioned by series alone is as slow as its longest series. Both operators cut a series
 into pieces, run the window inside each piece, and bring over what a piece needs from the rows
-before it: one carried value per column (forward fill) or a fixed number of rows (row frames).
+before it: one carried value per column (forward fill) or a fixed number of rows (moving means).
 """
 
 from __future__ import annotations
@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from hourwatt.operators.grid import HOUR
 
-_PIECE, _POS, _HOME, _INDEX, _BEFORE = "_piece", "_pos", "_home", "_index", "_before"
+_PIECE, _POS, _BEFORE, _INDEX, _HOME, _RUN = (
+    "_piece", "_pos", "_before", "_index", "_home", "_run",
+)
 
 
 def forward_fill(
@@ -58,23 +60,26 @@ def forward_fill(
     )
 
 
-def row_frames(
+def moving_means(
     df: DataFrame,
-    frames: Mapping[str, tuple[Column, int, int]],
+    value: str,
+    frames: Mapping[str, tuple[int, int]],
     keys: Sequence[str] = ("series_id",),
     order: str = HOUR,
     piece: str = "month",
-    rows_per_task: int = 8192,
+    rows_per_run: int = 8192,
 ) -> DataFrame:
-    """Aggregates over ROWS frames: ``{new column: (aggregate, first offset, last offset)}``.
+    """Means over ROWS frames: ``{new column: (first offset, last offset)}``, ends included.
 
-    Each row gets its position in its key's order (position within a month plus the rows of the
-    months before). Runs of positions become the pieces; a row near an edge is also copied to the
-    neighbour whose frames reach it. Expects ``order`` to be unique within a key.
+    Each row gets its position in its key's order: its place within a month plus the rows of the
+    months before. Runs of positions are the window partitions; a row near an edge is also copied
+    to the neighbour whose frames reach it. Within a run a frame is the difference of two running
+    sums, so its length does not matter; the sums are taken around the run's mean, which keeps them
+    small. Expects ``order`` to be unique within a key.
     """
-    reach_back = max(0, -min(lo for _, lo, _ in frames.values()))
-    reach_on = max(0, max(hi for _, _, hi in frames.values()))
-    size = max(rows_per_task, reach_back + reach_on + 1)
+    reach_back = max(0, 1 - min(lo for lo, _ in frames.values()))
+    reach_on = max(0, max(hi for _, hi in frames.values()))
+    size = max(rows_per_run, reach_back + reach_on + 1)
 
     df = df.withColumn(_PIECE, F.date_trunc(piece, order))
     counts = df.groupBy(*keys, _PIECE).agg(F.count(F.lit(1)).alias("_n"))
@@ -97,11 +102,33 @@ def row_frames(
             F.when((place < reach_on) & (F.col(_HOME) > 0), F.col(_HOME) - 1),
         )
     )
-    spread = numbered.withColumn("_run", F.explode(copies))
-    run = Window.partitionBy(*keys, "_run").orderBy(_INDEX)
-    out = spread.withColumns(
-        {name: agg.over(run.rowsBetween(lo, hi)) for name, (agg, lo, hi) in frames.items()}
+    spread = numbered.withColumn(_RUN, F.explode(copies)).drop(_PIECE, _POS, _BEFORE)
+
+    run = Window.partitionBy(*keys, _RUN).orderBy(_INDEX)
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = spread.withColumn("_mean", F.avg(value).over(whole))
+    offset = F.col(value) - F.col("_mean")
+    out = out.withColumns(
+        {
+            "_sum": F.coalesce(F.sum(offset).over(upto), F.lit(0.0)),
+            "_count": F.count(value).over(upto),
+        }
+    ).withColumns(
+        {"_sum_end": F.last("_sum").over(whole), "_count_end": F.last("_count").over(whole)}
     )
-    return out.where(F.col("_run") == F.col(_HOME)).drop(
-        _PIECE, _POS, _BEFORE, _INDEX, _HOME, "_run"
+
+    def at(column: str, rows: int) -> Column:
+        """The running value some rows away: nothing before the key's first row, all after its last."""
+        if rows > 0:
+            return F.coalesce(F.lead(column, rows).over(run), f"{column}_end")
+        return F.coalesce(F.lag(column, -rows).over(run), F.lit(0)) if rows else F.col(column)
+
+    def mean(lo: int, hi: int) -> Column:
+        total, n = (at(c, hi) - at(c, lo - 1) for c in ("_sum", "_count"))
+        return F.col("_mean") + F.try_divide(total, n)
+
+    out = out.withColumns({name: mean(lo, hi) for name, (lo, hi) in frames.items()})
+    return out.where(F.col(_RUN) == F.col(_HOME)).select(
+        *[c for c in df.columns if c != _PIECE], *frames
     )

@@ -1,8 +1,9 @@
-"""Best use of one store over one horizon: the per-group part of the dispatch jobs.
+"""Best use of a store over a horizon: what the dispatch jobs run on each Arrow batch.
 
 The value of a store's level is concave and piecewise linear, and so is the value of releasing
 energy within an hour. Going back one hour therefore merges two lists of segments by slope; going
 forward reads from the merged list how much each segment contributes. Exact, without a solver.
+All functions work on many scenarios at once: the first axis is the scenario.
 """
 
 from __future__ import annotations
@@ -12,109 +13,119 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 
+BATCH = 512  # scenarios solved together, so that their segment lists stay in cache
+
 
 class Stage(NamedTuple):
-    """Value of releasing ``start`` and more within an hour; slopes descend, negative = store."""
+    """Releases from ``start`` on, by segment: length, and value per unit (one row per scenario).
+
+    Every scenario's segments are used in the order of falling slopes; negative release is storing.
+    """
 
-    start: float
+    start: np.ndarray
     lengths: np.ndarray
     slopes: np.ndarray
 
 
-def best_levels(stages: list[Stage], low: float, high: float, level: float):
-    """Levels after each hour and the amount taken of each stage segment; None if impossible."""
-    first, lengths, slopes = low, np.array([high - low]), np.array([0.0])
-    plans = []
+def best_levels(stages: list[Stage], low, high, level):
+    """Levels after each hour, amounts taken of each stage's segments, and which plans exist."""
+    first, lengths, slopes = low, (high - low)[:, None], np.zeros((len(low), 1))
+    exists, plans = np.ones(len(low), dtype=bool), []
     for stage in reversed(stages):
-        own = len(lengths)
-        lengths = np.concatenate([lengths, stage.lengths])
-        slopes = np.concatenate([slopes, stage.slopes])
-        order = np.argsort(-slopes, kind="stable")  # on equal slopes the store keeps its energy
-        lengths, slopes = lengths[order], slopes[order]
+        own = lengths.shape[1]
+        lengths = np.hstack([lengths, stage.lengths])
+        slopes = np.hstack([slopes, stage.slopes])
+        order = np.argsort(-slopes, axis=1, kind="stable")  # equal slopes: the store keeps energy
+        lengths = np.take_along_axis(lengths, order, 1)
+        slopes = np.take_along_axis(slopes, order, 1)
         plans.append((first, own, order, lengths))
         # Levels that can reach the next hour, cut to the store's limits.
         first = first + stage.start
-        ends = first + np.cumsum(lengths)
-        last = min(first + lengths.sum(), high)
-        kept = np.minimum(ends, high) - np.maximum(ends - lengths, low)
-        first = max(first, low)
-        if last < first:
-            return None
-        lengths, slopes = kept[kept > 0], slopes[kept > 0]
-    if not first - 1e-9 <= level <= first + lengths.sum() + 1e-9:
-        return None
+        ends = first[:, None] + np.cumsum(lengths, axis=1)
+        exists &= np.minimum(ends[:, -1], high) >= np.maximum(first, low)
+        kept = np.minimum(ends, high[:, None]) - np.maximum(ends - lengths, low[:, None])
+        first = np.maximum(first, low)
+        used = kept > 0
+        left = np.argsort(~used, axis=1, kind="stable")[:, : max(1, used.sum(axis=1).max())]
+        lengths = np.take_along_axis(np.where(used, kept, 0.0), left, 1)
+        slopes = np.take_along_axis(np.where(used, slopes, -np.inf), left, 1)
+    exists &= (level >= first - 1e-9) & (level <= first + lengths.sum(axis=1) + 1e-9)
     levels, taken = [], []
     for stage, (first, own, order, lengths) in zip(stages, reversed(plans)):
-        begins = np.cumsum(lengths) - lengths
-        amounts = np.empty(len(lengths))
-        amounts[order] = np.clip(level - first - stage.start - begins, 0.0, lengths)
-        level = first + amounts[:own].sum()
+        begins = np.cumsum(lengths, axis=1) - lengths
+        reach = (level - first - stage.start)[:, None] - begins
+        amounts = np.empty_like(lengths)
+        np.put_along_axis(amounts, order, np.clip(reach, 0.0, lengths), 1)
+        level = first + amounts[:, :own].sum(axis=1)
         levels.append(level)
-        taken.append(amounts[own:])
-    return levels, taken
-
-
-def battery_stage(price: float, power: float, eta_c: float, eta_d: float) -> Stage:
-    """Full charge at the start; segments: (less charging, discharging), best slope first."""
-    lengths = np.array([eta_c * power, power / eta_d])
-    slopes = np.array([price / eta_c, price * eta_d])
-    best = slice(None) if slopes[0] >= slopes[1] else slice(None, None, -1)
-    return Stage(-eta_c * power, lengths[best], slopes[best])
-
-
-def battery_hours(prices, capacity, power, eta_c, eta_d, level):
-    """(charge, discharge, level after the hour) per hour with the largest trading value."""
-    found = best_levels(
-        [battery_stage(p, power, eta_c, eta_d) for p in prices], 0.0, capacity, level
+        taken.append(amounts[:, own:])
+    return np.stack(levels, axis=1), taken, exists
+
+
+def battery_hours(prices, size, power, eta_c, eta_d, level):
+    """Charge, discharge and level after each hour with the largest trading value.
+
+    An hour starts from full charging; its segments are charging less and discharging.
+    """
+    lengths = np.stack([eta_c * power, power / eta_d], axis=1)
+    stages = [
+        Stage(-eta_c * power, lengths, np.stack([p / eta_c, p * eta_d], axis=1)) for p in prices.T
+    ]
+    levels, taken, exists = best_levels(stages, np.zeros_like(size), size, level)
+    less, out = (np.stack([t[:, i] for t in taken], axis=1) for i in (0, 1))
+    return power[:, None] - less / eta_c[:, None], out * eta_d[:, None], levels, exists
+
+
+def supply_stage(demand, caps, costs, power, eta_c) -> Stage:
+    """Generation cost saved by releasing energy, from the highest load that can be served."""
+    tops = np.concatenate([[0.0], np.cumsum(caps)])
+    bottoms = np.concatenate([[-np.inf], tops[:-1]])
+    saved = np.concatenate([[0.0], costs])  # a load below zero costs nothing
+
+    def spans(low, high):
+        inside = np.minimum(tops, high[:, None]) - np.maximum(bottoms, low[:, None])
+        return np.maximum(inside, 0.0)
+
+    served = np.minimum(demand, tops[-1])
+    highest = np.minimum(demand + power, tops[-1])
+    storing = spans(demand, highest) * eta_c
+    releasing = spans(demand - power, served)
+    start = np.where(highest > demand, -(highest - demand) * eta_c, demand - served)
+    start = np.where(demand - power > tops[-1], np.inf, start)  # cannot be served at all
+    slopes = np.concatenate([saved / eta_c, saved])
+    return Stage(
+        start, np.hstack([storing, releasing]), np.broadcast_to(slopes, (len(demand), len(slopes)))
     )
-    if found is None:
-        return None
-    levels, taken = found
-    charge, discharge = [], []
-    for price, (one, two) in zip(prices, taken):
-        less, out = (one, two) if price / eta_c >= price * eta_d else (two, one)
-        charge.append(power - less / eta_c)
-        discharge.append(out * eta_d)
-    return charge, discharge, levels
-
-
-def supply_stage(demand, caps, costs, power, eta_c) -> Stage | None:
-    """Saved generation cost by energy released; None when even full release cannot serve."""
-    tops = np.cumsum(caps)
-    marginal = np.concatenate([[0.0], costs])  # below zero net load nothing is saved
-    # Net load falls from its highest servable value to demand - power as release grows.
-    highest, lowest = min(demand + power, tops[-1]), demand - power
-    if lowest > tops[-1]:
-        return None
-    edges = np.unique(np.concatenate([[highest, lowest, demand, 0.0], tops]))
-    edges = edges[(edges >= lowest) & (edges <= highest)][::-1]
-    mids = (edges[:-1] + edges[1:]) / 2
-    cost = marginal[np.where(mids < 0, 0, np.searchsorted(tops, mids) + 1)]
-    storing = mids > demand
-    spans = edges[:-1] - edges[1:]
-    lengths = np.where(storing, spans * eta_c, spans)
-    slopes = np.where(storing, cost / eta_c, cost)
-    start = -(highest - demand) * eta_c if highest > demand else demand - highest
-    return Stage(start, lengths, slopes)
 
 
 def supply_hours(demands, caps, costs, power, eta_c, low, high, level):
-    """(charge, discharge, level after the hour) per hour with the least generation cost."""
-    stages = [supply_stage(x, caps, costs, power, eta_c) for x in demands]
-    found = None if None in stages else best_levels(stages, low, high, level)
-    if found is None:
-        return None
-    levels, _ = found
-    release = np.concatenate([[level], levels[:-1]]) - np.array(levels)
-    return np.maximum(-release, 0.0) / eta_c, np.maximum(release, 0.0), levels
-
-
-def plan_frame(plans, lengths) -> pd.DataFrame:
-    """One row per horizon with arrays of its hours; nulls where there is no plan."""
-    rows = []
-    for plan, n in zip(plans, lengths):
-        if plan is None:
-            rows.append(([None] * n, [None] * n, [None] * n, "infeasible"))
-        else:
-            rows.append((*(np.maximum(np.asarray(v), 0.0) for v in plan), "optimal"))
+    """Charge, discharge and level after each hour with the least generation cost."""
+    stages = [supply_stage(x, caps, costs, power, eta_c) for x in demands.T]
+    exists = np.all([np.isfinite(s.start) for s in stages], axis=0)
+    stages = [s._replace(start=np.where(np.isfinite(s.start), s.start, 0.0)) for s in stages]
+    ends = (np.full(len(demands), float(x)) for x in (low, high, level))
+    levels, _, reached = best_levels(stages, *ends)
+    begins = np.column_stack([np.full(len(demands), float(level)), levels[:, :-1]])
+    release = begins - levels
+    charge, discharge = np.maximum(-release, 0.0) / eta_c, np.maximum(release, 0.0)
+    return charge, discharge, levels, exists & reached
+
+
+def solve_rows(values: pd.Series, solve) -> pd.DataFrame:
+    """Plans for rows of hourly arrays; ``solve`` gets a matrix and the row numbers.
+
+    A row with a missing value, or without a feasible plan, has nulls for its hours.
+    """
+    rows = [None] * len(values)
+    counts = values.map(len).to_numpy()
+    for n in np.unique(counts):
+        same = np.flatnonzero(counts == n)
+        for part in np.array_split(same, -(-len(same) // BATCH)):
+            matrix = np.stack([np.asarray(values.iloc[i], dtype=float) for i in part])
+            known = np.isfinite(matrix)
+            *plan, exists = solve(np.where(known, matrix, 0.0), part)
+            plan = [np.maximum(x, 0.0) for x in plan]
+            for k, (i, ok) in enumerate(zip(part, exists & known.all(axis=1))):
+                cells = [x[k] for x in plan] if ok else [[None] * n] * 3
+                rows[i] = (*cells, "optimal" if ok else "infeasible")
     return pd.DataFrame(rows, columns=["charge_mwh", "discharge_mwh", "soc_mwh", "status"])

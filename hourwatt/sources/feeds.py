@@ -1,7 +1,7 @@
 """Readers of landed feed files.
 
 A feed file is one JSON document and is parsed by one task, so a landing folder holds many
-files of bounded size (the demand feed serves pages of at most ``EngineConfig.feed_limit`` rows).
+files of bounded size; the demand feed serves pages of at most ``FEED_LIMIT`` rows.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from hourwatt.functions import numbers as N
 from hourwatt.functions import times as TM
 from hourwatt.schemas import DEMAND_FEED, WEATHER_FEED
 
+FEED_LIMIT = 10_000  # fixed value: rows the demand feed serves per request, newest first
+
 
 def demand_feed_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows of ``response.data`` as landed: period, value, respondent, type (all text)."""

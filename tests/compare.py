@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -61,14 +62,21 @@ def differences(left, right) -> list[str]:
 
 
 def main() -> None:
+    from pyspark.sql import SparkSession
+
     from __spark_entry__ import oracle_sql, queries
     from hourwatt.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = build_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g"
-    )
+    if os.environ.get("PLAIN"):  # a session that was not built for this package
+        spark = SparkSession.builder.master("local[8]").config(
+            "spark.ui.enabled", "false"
+        ).config("spark.driver.memory", "8g").getOrCreate()
+    else:
+        spark = build_session(
+            master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g"
+        )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = duck(sf_dir), oracle_sql(), 0
     for name, run in queries().items():

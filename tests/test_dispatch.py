@@ -30,6 +30,18 @@ def grid_value(prices, size, power, eta_c, eta_d, points=801):
     return value[np.argmin(np.abs(levels - size / 2))]
 
 
+def battery(prices, *setting):
+    """One scenario: (charge, discharge, levels), or None."""
+    setting = [np.array([float(x)]) for x in setting]
+    *plan, ok = storage.battery_hours(np.array([prices], dtype=float), *setting)
+    return [x[0] for x in plan] if ok[0] else None
+
+
+def supply(demands, *setting):
+    *plan, ok = storage.supply_hours(np.array([demands], dtype=float), *setting)
+    return [x[0] for x in plan] if ok[0] else None
+
+
 def traded(prices, plan):
     charge, discharge, _ = plan
     return float(np.dot(prices, np.array(discharge) - np.array(charge)))
@@ -37,14 +49,14 @@ def traded(prices, plan):
 
 @pytest.mark.parametrize("seed", range(8))
 @pytest.mark.parametrize(
-    "battery", [(100, 50, 0.95, 0.95), (1, 1, 0.95, 0.95), (200, 25, 0.9, 0.9), (100, 50, 1, 1)]
+    "unit", [(100, 50, 0.95, 0.95), (1, 1, 0.95, 0.95), (200, 25, 0.9, 0.9), (100, 50, 1, 1)]
 )
-def test_battery_reaches_the_grid_optimum(seed, battery):
+def test_battery_reaches_the_grid_optimum(seed, unit):
     prices = np.random.default_rng(seed).uniform(-30, 100, 12)
-    plan = storage.battery_hours(prices, *battery, battery[0] / 2)
-    best, grid = traded(prices, plan), grid_value(prices, *battery)
+    plan = battery(prices, *unit, unit[0] / 2)
+    best, grid = traded(prices, plan), grid_value(prices, *unit)
     assert best >= grid - 1e-6
-    assert best <= grid + 0.01 * abs(grid) + battery[0] * 0.5
+    assert best <= grid + 0.01 * abs(grid) + unit[0] * 0.5
 
 
 @pytest.mark.parametrize("seed", range(20))
@@ -53,7 +65,7 @@ def test_battery_obeys_its_rules(seed):
     prices = rng.uniform(-50, 100, int(rng.integers(1, 60)))
     size, power, eta_c, eta_d = 100.0, rng.uniform(5, 150), rng.uniform(0.7, 1), rng.uniform(0.7, 1)
     charge, discharge, levels = map(
-        np.array, storage.battery_hours(prices, size, power, eta_c, eta_d, size / 2)
+        np.array, battery(prices, size, power, eta_c, eta_d, size / 2)
     )
     before = np.concatenate([[size / 2], levels[:-1]])
     assert np.allclose(levels, before + eta_c * charge - discharge / eta_d, atol=1e-9)
@@ -62,8 +74,19 @@ def test_battery_obeys_its_rules(seed):
         assert x.min() >= -1e-9 and x.max() <= power + 1e-9
 
 
+def test_scenarios_do_not_touch_each_other():
+    rng = np.random.default_rng(11)
+    prices = rng.uniform(-50, 100, (40, 24))
+    unit = [rng.uniform(a, b, 40) for a, b in ((10, 200), (5, 60), (0.7, 1), (0.7, 1))]
+    together = storage.battery_hours(prices, *unit, unit[0] / 2)
+    for i in range(40):
+        alone = battery(prices[i], *[u[i] for u in unit], unit[0][i] / 2)
+        for x, y in zip(alone, together):
+            assert np.allclose(x, y[i], atol=1e-9)
+
+
 def test_negative_price_on_a_full_battery_pays_for_losses():
-    charge, discharge, levels = storage.battery_hours([-10.0], 100.0, 50.0, 0.9, 0.9, 100.0)
+    charge, discharge, levels = battery([-10.0], 100.0, 50.0, 0.9, 0.9, 100.0)
     assert charge[0] == pytest.approx(50) and discharge[0] == pytest.approx(40.5)
     assert levels[0] == pytest.approx(100)
 
@@ -99,7 +122,7 @@ def test_generation_reaches_the_grid_optimum(seed):
     demands = np.random.default_rng(seed).uniform(100, 1700, 8)
     caps, costs = np.array([300.0, 500.0, 800.0]), np.array([0.03, 0.05, 0.08])
     setting = (200.0, 0.9, 10.0, 100.0, 50.0)  # power, efficiency, lowest, highest, first level
-    plan = storage.supply_hours(demands, caps, costs, *setting)
+    plan = supply(demands, caps, costs, *setting)
     grid = grid_cost(demands, caps, costs, *setting)
     if plan is None:
         assert not np.isfinite(grid)
@@ -115,9 +138,9 @@ def test_generation_reaches_the_grid_optimum(seed):
 
 def test_too_much_demand_is_infeasible():
     caps, costs = np.array([300.0, 500.0, 800.0]), np.array([0.03, 0.05, 0.08])
-    assert storage.supply_hours([50_000.0], caps, costs, 200.0, 0.9, 0.1, 1.0, 0.5) is None
-    assert storage.supply_hours([1600.4], caps, costs, 200.0, 0.9, 0.1, 1.0, 0.5) is not None
-    assert storage.supply_hours([1600.41], caps, costs, 200.0, 0.9, 0.1, 1.0, 0.5) is None
+    assert supply([50_000.0], caps, costs, 200.0, 0.9, 0.1, 1.0, 0.5) is None
+    assert supply([1600.4], caps, costs, 200.0, 0.9, 0.1, 1.0, 0.5) is not None
+    assert supply([1600.41], caps, costs, 200.0, 0.9, 0.1, 1.0, 0.5) is None
 
 
 def prices(spark, n=30, series=("a", "b")):

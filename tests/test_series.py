@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hourwatt.operators import analytics as A
-from hourwatt.operators.frames import forward_fill, row_frames
+from hourwatt.operators.frames import forward_fill, moving_means
 from hourwatt.operators.grid import HOUR, future_hours, hour_grid
 from hourwatt.operators.keys import latest_per_key, newest_rows
 from hourwatt.operators.quantiles import exact_quantiles
@@ -74,13 +74,22 @@ def test_forward_fill_carries_over_empty_months_and_keeps_leading_nulls(spark):
     assert [r[2] for r in rows_of(forward_fill(df, ["demand_mw"]), HOUR)] == [None] + [7.0] * 5
 
 
-@pytest.mark.parametrize("lo, hi", [(-23, 0), (-84, 83), (-1, -1), (1, 5)])
-def test_row_frames_equal_one_window(spark, lo, hi):
-    df = hours(spark, 1500).where("demand_mw is not null")
+@pytest.mark.parametrize("lo, hi", [(-23, 0), (-84, 83), (-1, -1), (1, 5), (0, 0), (5, 9)])
+@pytest.mark.parametrize("nulls", [False, True])
+def test_moving_means_equal_one_window(spark, lo, hi, nulls):
+    df = hours(spark, 1500)
+    df = df if nulls else df.where("demand_mw is not null")
     w = Window.partitionBy("series_id").orderBy(HOUR).rowsBetween(lo, hi)
-    plain = df.withColumn("m", F.round(F.avg("demand_mw").over(w), 9))
-    got = row_frames(df, {"m": (F.avg("demand_mw"), lo, hi)}, rows_per_task=200)
-    assert rows_of(got.withColumn("m", F.round("m", 9)), *KEY) == rows_of(plain, *KEY)
+    plain = rows_of(df.withColumn("m", F.avg("demand_mw").over(w)), *KEY)
+    got = rows_of(moving_means(df, "demand_mw", {"m": (lo, hi)}, rows_per_run=200), *KEY)
+    assert [r[:3] for r in got] == [r[:3] for r in plain]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in plain], abs=1e-9)
+
+
+def test_moving_means_without_values(spark):
+    df = hours(spark, 50).withColumn("demand_mw", F.lit(None).cast("double"))
+    got = moving_means(df, "demand_mw", {"m": (-3, 0)})
+    assert got.where("m is not null").isEmpty() and got.count() == df.count()
 
 
 def test_newest_rolling_rows_equal_the_full_result(spark):

@@ -250,15 +250,14 @@ def generation_dispatch(
     horizons = _by_horizon(rows, "demand_mw", keys)
     horizons = horizons.repartition(task_count(demand.sparkSession), *keys)
 
+    setting = (store.power_mw, store.eta_c, store.low, store.high, store.start)
+
     @F.pandas_udf(_PLAN)
-    def solve(demands: pd.Series) -> pd.DataFrame:
-        setting = (
-            np.array(caps), np.array(costs),
-            store.power_mw, store.eta_c, store.low, store.high, store.start,
-        )
-        return storage.solve_rows(
-            demands, lambda matrix, rows: storage.supply_hours(matrix, *setting)
-        )
+    def solve(demands: pd.Series) -> pd.DataFrame:  # captures plain numbers only
+        def plan(matrix, rows):
+            return storage.supply_hours(matrix, np.array(caps), np.array(costs), *setting)
+
+        return storage.solve_rows(demands, plan)
 
     solved = _by_hour(horizons.withColumn("_plan", solve("_values")), "demand_mw", keys)
     net = F.col("demand_mw") + F.col("charge_mwh") - F.col("discharge_mwh")

@@ -865,7 +865,8 @@ def nightly_refresh(t):
 
 @query(f"{HOUR}:ts demand_mw:x event_count:l")
 def stream_hourly(t):
-    stream = ST.file_stream(t.spark, t.sf_dir, EVENTS, "events.parquet")
+    session = ST.stream_session(t.spark, t.spark.sparkContext.defaultParallelism)
+    stream = ST.file_stream(session, t.sf_dir, EVENTS, "events.parquet")
     stream = stream.withColumn("series_id", F.lit("all"))
     target = new_folder(t.spark, "hours")
     hours = ST.hourly_stream(stream)

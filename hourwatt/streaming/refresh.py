@@ -7,11 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hourwatt.operators.grid import HOUR
+from hourwatt.session import pin_utc
 from hourwatt.sources.store import TableStore
 
 WATERMARK = "2 hours"
 
 
+def stream_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session of the same application whose streams keep their state in that many partitions.
+
+    The number stays with a stream for its lifetime, so it is chosen and not left to a default.
+    """
+    session = pin_utc(spark.newSession())
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
+
+
 def file_stream(
     spark: SparkSession, folder: str, schema, pattern: str | None = None, files: int = 1000
 ) -> DataFrame:

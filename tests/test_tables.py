@@ -1,7 +1,10 @@
 """Feeds, stored tables, the nightly run and streams."""
 
 import json
+import subprocess
+import sys
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,6 +206,21 @@ def test_stream_into_table_takes_late_corrections(spark, tmp_path):
     assert [r.demand_mw for r in store["bronze_demand"].collect()] == [3.0]
 
 
+def test_tasks_need_no_installed_package(tmp_path):
+    """Executors that cannot import the package still run the Python steps."""
+    root = Path(__file__).resolve().parent.parent
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from __spark_entry__ import queries
+from hourwatt.session import build_session
+spark = build_session(master="local[2]", spark__sql__shuffle__partitions="2")
+for name in ("additive_forecast", "battery_dispatch", "generation_dispatch"):
+    assert queries()[name](spark, "/root/testdata/sf0.001").count()
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=300)
+
+
 def test_horizon_skips_old_partitions(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     t = SampleTables(spark, "/root/testdata/sf0.001")

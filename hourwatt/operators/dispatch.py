@@ -125,7 +125,7 @@ def battery_dispatch(
     prices: DataFrame,
     fleet: Sequence[Battery] | DataFrame = FLEET,
     per: Sequence[str] = (),
-    horizon: int | None = 48,
+    horizon: int = 48,
 ) -> DataFrame:
     """Charge and discharge per scenario and hour with the largest trading value, and the bid.
 
@@ -134,9 +134,7 @@ def battery_dispatch(
     one row, so that a batch handed to Python holds many scenarios.
     """
     keys = ["series_id", *per]
-    prices = prices.select(*keys, HOUR, "price")
-    if horizon is not None:
-        prices = horizon_rows(prices, horizon, keys)
+    prices = horizon_rows(prices.select(*keys, HOUR, "price"), horizon, keys)
     scenarios = with_batteries(_by_horizon(prices, "price", keys), fleet)
     scenarios = scenarios.repartition(task_count(prices.sparkSession), *keys, "scenario_id")
 
@@ -237,13 +235,11 @@ def generation_dispatch(
     generators: Sequence[Generator] = GENERATORS,
     store: Store = Store(),
     per: Sequence[str] = ("series_id",),
-    horizon: int | None = 48,
+    horizon: int = 48,
 ) -> DataFrame:
     """Least-cost mix with a store, per horizon; an impossible horizon has no outputs."""
     keys = list(per)
-    rows = demand.select(*keys, HOUR, "demand_mw")
-    if horizon is not None:
-        rows = horizon_rows(rows, horizon, keys)
+    rows = horizon_rows(demand.select(*keys, HOUR, "demand_mw"), horizon, keys)
     ranked = sorted(generators, key=lambda g: g.cost_per_mwh)
     caps = [g.capacity_mw for g in ranked]
     costs = [g.cost_per_mwh for g in ranked]
@@ -299,7 +295,7 @@ def gold_dispatch_rows(
     run_id: str,
     created_at: Column,
     fleet: Sequence[Battery] | DataFrame = FLEET,
-    horizon: int | None = 48,
+    horizon: int = 48,
 ) -> DataFrame:
     """Dispatch, bids and profits as rows of the gold table."""
     solved = dispatch_profit(battery_dispatch(prices, fleet, horizon=horizon))

@@ -37,8 +37,13 @@ def hour_weekday_heatmap(tables: Tables) -> DataFrame:
 def demand_distribution(
     tables: Tables, part: str = "hour", *, by: Sequence[str] = (), exact: bool = True
 ) -> DataFrame:
-    """Minimum, quartiles and maximum by hour, weekday or month."""
-    position = {"hour": F.hour(HOUR), "weekday": F.dayofweek(HOUR), "month": F.month(HOUR)}[part]
+    """Minimum, quartiles and maximum by hour, weekday, date or month."""
+    position = {
+        "hour": F.hour(HOUR),
+        "weekday": F.dayofweek(HOUR),
+        "date": F.to_date(HOUR),
+        "month": F.month(HOUR),
+    }[part]
     df = A.known_demand(tables).select(*by, position.alias("position"), "demand_mw")
     keys = [*by, "position"]
     if exact:

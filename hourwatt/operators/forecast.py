@@ -14,12 +14,17 @@ from pyspark.sql import types as T
 from hourwatt.functions import times as TM
 from hourwatt.operators import additive
 from hourwatt.operators.additive import BAND_Z, Model
-from hourwatt.operators.grid import HOUR, future_hours, within_days
+from hourwatt.operators.grid import HOUR, next_hours, within_days
 from hourwatt.session import task_count
 
 cloudpickle.register_pickle_by_value(additive)  # executors need no installed copy
 
 
+def _hour_cell(ts: Column) -> Column:
+    """Hours of the day, numbered below the hours of the week."""
+    return F.hour(ts) - 24
+
+
 def seasonal_profile_forecast(
     df: DataFrame,
     horizon: int = 48,
@@ -33,27 +38,30 @@ def seasonal_profile_forecast(
     """
     if profile not in ("hour", "hour_of_week"):
         raise ValueError(f"unknown profile: {profile}")
-    keys = list(keys)
-    known = df.where(F.col(value).isNotNull())
-    ahead = future_hours(df, horizon, keys).withColumn("_hour", F.hour(HOUR))
-    hours = known.groupBy(*keys, F.hour(HOUR).alias("_hour")).agg(
-        F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd")
-    )
-    out = ahead.join(hours, [*keys, "_hour"], "left")
-    mean, sd = F.col("_mean"), F.col("_sd")
-    if profile == "hour_of_week":
-        cells = known.groupBy(*keys, TM.hour_of_week(F.col(HOUR)).alias("_cell")).agg(
-            F.avg(value).alias("_cell_mean"),
-            F.stddev_samp(value).alias("_cell_sd"),
-            F.count(F.lit(1)).alias("_n"),
+    keys, ts = list(keys), F.col(HOUR)
+    wanted = [_hour_cell(ts)] + ([TM.hour_of_week(ts)] if profile == "hour_of_week" else [])
+    # One pass: a series becomes at most 24 + 168 cells, then one row with a map of them.
+    cells = (
+        df.select(*keys, HOUR, value, F.explode(F.array(*wanted)).alias("_cell"))
+        .groupBy(*keys, "_cell")
+        .agg(
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("sd"),
+            F.count(value).alias("n"),
+            F.max(HOUR).alias("_last"),
         )
-        cells = cells.where(F.col("_n") >= 2)
-        out = out.withColumn("_cell", TM.hour_of_week(F.col(HOUR)))
-        out = out.join(cells, [*keys, "_cell"], "left")
-        mean = F.coalesce("_cell_mean", mean)
-        sd = F.coalesce("_cell_sd", sd)
-    half = F.coalesce(sd, F.lit(0.0)) * BAND_Z
-    return out.select(
+    )
+    entry = F.struct(F.col("_cell"), F.struct("mean", "sd", "n"))
+    series = cells.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_cells"), F.max("_last").alias(HOUR)
+    )
+    ahead = series.select(*keys, "_cells", F.explode(next_hours(ts, horizon)).alias(HOUR))
+    by_hour = F.try_element_at("_cells", _hour_cell(ts))
+    by_week = F.try_element_at("_cells", TM.hour_of_week(ts))
+    cell = F.when(by_week["n"] >= 2, by_week).otherwise(by_hour)
+    found = ahead.select(*keys, HOUR, cell.alias("_cell"))
+    mean, half = F.col("_cell.mean"), F.coalesce("_cell.sd", F.lit(0.0)) * BAND_Z
+    return found.select(
         *keys,
         HOUR,
         mean.alias("yhat"),

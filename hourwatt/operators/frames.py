@@ -119,7 +119,7 @@ def moving_means(
     )
 
     def at(column: str, rows: int) -> Column:
-        """The running value some rows away: nothing before the key's first row, all after its last."""
+        """The running value some rows away: nothing before the first row, all after the last."""
         if rows > 0:
             return F.coalesce(F.lead(column, rows).over(run), f"{column}_end")
         return F.coalesce(F.lag(column, -rows).over(run), F.lit(0)) if rows else F.col(column)

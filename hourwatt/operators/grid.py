@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourwatt.functions import times as TM
@@ -40,13 +40,15 @@ def future_hours(
     df: DataFrame, horizon: int = 48, keys: Sequence[str] = ("series_id",)
 ) -> DataFrame:
     """The ``horizon`` hours that follow the last one of each key."""
-    last = df.groupBy(*keys).agg(F.date_trunc("hour", F.max(HOUR)).alias("_last"))
-    hours = F.sequence(
-        F.col("_last") + F.expr("INTERVAL 1 HOUR"),
-        F.col("_last") + F.expr(f"INTERVAL {int(horizon)} HOURS"),
-        F.expr("INTERVAL 1 HOUR"),
-    )
-    return last.select(*keys, F.explode(hours).alias(HOUR))
+    last = df.groupBy(*keys).agg(F.max(HOUR).alias(HOUR))
+    return last.select(*keys, F.explode(next_hours(F.col(HOUR), horizon)).alias(HOUR))
+
+
+def next_hours(last: Column, horizon: int) -> Column:
+    """Array of the hours after the one that holds ``last``."""
+    hour = F.date_trunc("hour", last)
+    step = F.expr("INTERVAL 1 HOUR")
+    return F.sequence(hour + step, hour + F.expr(f"INTERVAL {int(horizon)} HOURS"), step)
 
 
 def within_days(df: DataFrame, as_of: datetime, days: int, ts: str = HOUR) -> DataFrame:

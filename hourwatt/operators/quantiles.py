@@ -47,7 +47,7 @@ def exact_quantiles(
     for number in range(rounds):
         slice_column = f"_slice{number}"
         if number == 0:
-            ends = stats.select(*at, F.col("min_value").alias("_lo"), F.col("max_value").alias("_hi"))
+            ends = stats.selectExpr(*at, "min_value as _lo", "max_value as _hi")
         else:
             ends = rest.groupBy(*at).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         cut = F.width_bucket("_v", F.col("_lo"), F.col("_hi"), F.lit(slices))

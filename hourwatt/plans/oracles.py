@@ -617,6 +617,7 @@ SELECT * FROM bronze_demand WHERE timestamp_hour >= {AS_OF} - INTERVAL 14 DAY"""
     + " FROM demand GROUP BY 1",
     "demand_distribution_by_hour": _spread("hour(timestamp_hour)", "demand"),
     "demand_distribution_by_weekday": _spread("dayofweek(timestamp_hour) + 1", "demand"),
+    "demand_distribution_by_date": _spread("CAST(timestamp_hour AS DATE)", "demand"),
     "demand_distribution_by_month": _spread("month(timestamp_hour)", "order_months"),
     "decompose": """
 SELECT *, demand_mw - trend - seasonal AS residual FROM (

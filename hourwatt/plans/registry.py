@@ -830,6 +830,11 @@ def demand_distribution_by_weekday(t):
     return X.demand_distribution(t, "weekday")
 
 
+@query(_SPREAD.replace("position:i", "position:d"))
+def demand_distribution_by_date(t):
+    return X.demand_distribution(t, "date")
+
+
 @query(_SPREAD)
 def demand_distribution_by_month(t):
     return X.demand_distribution(orders_as_demand(t), "month")

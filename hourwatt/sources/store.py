@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,7 @@ def since(df: DataFrame, start: Column, column: str = "timestamp_hour") -> DataF
 
 
 class TableStore:
-    """The five tables below one root folder."""
+    """The five tables below one root folder; writers return how many rows they were given."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -78,24 +78,25 @@ class TableStore:
         # Rebalancing splits a day that holds most rows and joins small days, before files are cut.
         return df.hint("rebalance", F.col(DAY)).sortWithinPartitions(DAY, *KEYS[table])
 
-    def append(self, df: DataFrame, table: str) -> None:
-        self._by_day(df, table).write.mode("append").partitionBy(DAY).parquet(self.path(table))
+    def append(self, df: DataFrame, table: str) -> int:
+        return self._write(df, table, self.path(table))
 
-    def replace(self, df: DataFrame, table: str) -> None:
+    def replace(self, df: DataFrame, table: str) -> int:
         """Full rebuild: the new folder is complete before it takes the place of the old one."""
-        staged = self._stage(df, table)
+        staged, rows = self._stage(df, table)
         files, path = self._hadoop(self.path(table))
         files.delete(path, True)
         if not files.rename(self._hadoop(staged)[1], path):
             raise OSError(f"could not move {staged} to {path}")
+        return rows
 
-    def refresh(self, df: DataFrame, table: str, newest: str | None = None) -> None:
+    def refresh(self, df: DataFrame, table: str, newest: str | None = None) -> int:
         """Add rows, one per key: the largest ``newest`` wins, on a tie the new row.
 
         Only days that occur in ``df`` are read and rewritten. ``df`` is computed once, into a
         staging folder. Spark swaps the rewritten days in when all of them have been written.
         """
-        staged = self._stage(df, table)
+        staged, rows = self._stage(df, table)
         new = self.spark.read.schema(_with_day(table)).parquet(staged)
         first, last = new.agg(F.min(DAY), F.max(DAY)).first()
         if first is not None:
@@ -114,11 +115,18 @@ class TableStore:
             )
         files, path = self._hadoop(staged)
         files.delete(path, True)
+        return rows
 
-    def _stage(self, df: DataFrame, table: str) -> str:
+    def _stage(self, df: DataFrame, table: str) -> tuple[str, int]:
         folder = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
-        self._by_day(df, table).write.partitionBy(DAY).parquet(folder)
-        return folder
+        return folder, self._write(df, table, folder)
+
+    def _write(self, df: DataFrame, table: str, folder: str) -> int:
+        """Append to a folder; the rows are counted while they are written."""
+        seen = Observation()
+        counted = self._by_day(df, table).observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("append").partitionBy(DAY).parquet(folder)
+        return seen.get["rows"]
 
 
 def _with_day(table: str) -> T.StructType:

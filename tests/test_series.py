@@ -54,8 +54,8 @@ def test_grid_of_one_hour(spark):
 
 
 def test_future_hours(spark):
-    got = [r[HOUR] for r in future_hours(hours(spark, 50, gap=0), 3).where("series_id='a'").collect()]
-    assert sorted(got) == [START + timedelta(hours=49 + i) for i in (1, 2, 3)]
+    got = future_hours(hours(spark, 50, gap=0), 3).where("series_id = 'a'").collect()
+    assert sorted(r[HOUR] for r in got) == [START + timedelta(hours=49 + i) for i in (1, 2, 3)]
 
 
 def test_forward_fill_equals_one_window(spark):

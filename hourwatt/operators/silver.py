@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -36,9 +37,9 @@ def demand_clean(df: DataFrame, as_of: datetime, days: int = 365) -> DataFrame:
     )
 
 
-def weather_hourly(df: DataFrame) -> DataFrame:
-    """One row per hour: mean temperature and speed, circular mean direction."""
-    return df.groupBy(*KEY).agg(
+def weather_hourly(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """One row per key: mean temperature and speed, circular mean direction."""
+    return df.groupBy(*keys).agg(
         F.avg("temp_c").alias("temp_c"),
         F.avg("wind_speed_mps").alias("wind_speed_mps"),
         N.mean_direction(F.col("wind_dir_deg")).alias("wind_dir_deg"),
@@ -51,16 +52,15 @@ def silver_build(
     """Hour grid of the demand hours, demand and weather beside it, gaps filled forward.
 
     ``newest`` names the column that decides between several demand rows of one hour; without it
-    demand must already have one row per hour. ``weather_by="hour"`` gives the hours of a single
-    station to every series.
+    demand must already have one row per hour. ``weather_by="hour"`` gives every series the weather
+    of its hours, whichever station reported it.
     """
     demand = demand.select(*KEY, *DEMAND, *([newest] if newest else []))
     if newest:
         demand = latest_per_key(demand, KEY, [newest]).drop(newest)
-    weather = weather_hourly(weather)
-    on = KEY
-    if weather_by == "hour":
-        weather, on = weather.drop("series_id"), [HOUR]
-    joined = hour_grid(demand).join(demand, KEY, "left").join(weather, on, "left")
+    on = [HOUR] if weather_by == "hour" else KEY
+    joined = hour_grid(demand).join(demand, KEY, "left").join(
+        weather_hourly(weather, on), on, "left"
+    )
     filled = forward_fill(joined.select(*KEY, *DEMAND, *WEATHER), FILLED)
     return filled.select(*KEY, *DEMAND, *WEATHER)

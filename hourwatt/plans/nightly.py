@@ -47,14 +47,16 @@ def refresh_bronze(
     store.refresh(weather_hourly(weather), "bronze_weather")
 
 
-def refresh_silver(store: TableStore, weather_by: str = "hour") -> None:
-    silver = silver_build(store["bronze_demand"], store["bronze_weather"], weather_by=weather_by)
+def refresh_silver(store: TableStore, config: EngineConfig) -> None:
+    """Demand of all series beside the weather of the configured station."""
+    weather = store["bronze_weather"].where(F.col("series_id") == config.station)
+    silver = silver_build(store["bronze_demand"], weather, weather_by="hour")
     store.replace(silver, "silver_demand_weather")
 
 
 def refresh_bronze_silver(spark, store, config, as_of, demand_path, weather_path) -> None:
     refresh_bronze(spark, store, config, as_of, demand_path, weather_path)
-    refresh_silver(store)
+    refresh_silver(store, config)
 
 
 def forecast_to_gold(

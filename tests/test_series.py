@@ -1,4 +1,4 @@
-"""Grid, forward fill, row frames, silver, keys and quantiles against plain references."""
+"""Grid, forward fill, moving means, silver, keys and quantiles against their plain forms."""
 
 import random
 from datetime import datetime, timedelta
@@ -144,6 +144,19 @@ def test_silver_takes_the_newest_of_several_rows(spark):
     assert [r[5:] for r in got] == [(15.0, 2.0, 5.0)] * 4
 
 
+def test_two_stations_do_not_multiply_hours(spark):
+    demand = spark.createDataFrame(
+        [(s, START, 1.0) for s in "ab"], f"series_id string, {HOUR} timestamp, demand_mw double"
+    ).selectExpr("*", "demand_mw as generation_mw", "cast(null as double) as forecast_demand_mw")
+    weather = spark.createDataFrame(
+        [("x", START, 10.0, 1.0, 0.0), ("y", START, 20.0, 1.0, 0.0)],
+        f"series_id string, {HOUR} timestamp, temp_c double, wind_speed_mps double,"
+        " wind_dir_deg double",
+    )
+    got = rows_of(silver_build(demand, weather, weather_by="hour"), *KEY)
+    assert [r[5] for r in got] == [15.0, 15.0]
+
+
 def test_demand_clean_derives_only_what_is_missing(spark):
     df = spark.createDataFrame(
         [("a", START, 100.0, 80.0), ("a", START + timedelta(hours=1), 100.0, None)],

@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourwatt.llm.bagminhash import classes
 from hourwatt.llm.common import id_crc, table
+from hourwatt.llm.mixing import mix_by_weight, words_in
 from hourwatt.llm.quality import quality
+from hourwatt.llm.tokenfile import written_and_read
 from hourwatt.llm.toxicity import toxicity
+from hourwatt.llm.treebpe import round_trips
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,9 +32,37 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed, sizes, targets = mix_by_weight(docs, "passes")
+    facts = spark.createDataFrame(
+        [(s, sizes[s], float(targets[s])) for s in sizes], "name string, source_size long, target double"
+    )  # a row per source
+    size = words_in(F.col("text"))
+    return mixed.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("name"))).select(
+        "doc_id", size.alias("size"), "source_size", "target", (size * F.col("passes")).alias("taken")
+    )
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_and_read(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trips(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op3_mixing": op3_mixing,
+    "op4_token_files": op4_token_files,
+    "op7_tree_bpe": op7_tree_bpe,
+    "op10_bagminhash": op10_bagminhash,
 }
 
 ORACLES: dict[str, str] = {}

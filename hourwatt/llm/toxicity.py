@@ -44,6 +44,7 @@ SECOND_PERSON = frozenset(
     """you your yours yourself u ur du dich dir dein deine deinen euch euer ihr sie tu te toi ton ta
     tes vous votre vos usted ustedes ti tus vosotros os""".split()
 )
+_LISTED = INSULTS | SECOND_PERSON
 FOLDS = 4
 NAMES = (
     "fixed_density fixed_hits learned_density learned_top learned_kinds learned_hits near_person"
@@ -52,8 +53,8 @@ NAMES = (
 ).split()
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:[*@$!|0-9]+[^\W\d_]+)*")
-_SYMBOL = re.compile(r"[#*$%&|<>]")
-_PUNCT = re.compile(r"[.,;:!?'\"()\[\]-]")
+_SYMBOLS = "#*$%&|<>"
+_PUNCTUATION = ".,;:!?'\"()[]-"
 _STRETCH = re.compile(r"([^\W\d_])\1\1")
 _MASKS = str.maketrans("@$!|013457", "asiloieast")
 
@@ -98,59 +99,80 @@ def evidence(a: int, b: int, n1: int, n0: int) -> float:
     return 2 * out
 
 
+def looked_up(chunk: str, weights: dict[str, float]) -> int | tuple:
+    """What a run of characters between blanks adds to the counts.
+
+    Its number of words if it adds nothing else, otherwise (words, fixed hits, learned hits, sum of their
+    weights, largest weight, its stem, persons, odd spellings, unmasked hits, words in capitals,
+    capitals, stretched words).
+    """
+    if chunk.isalpha() and chunk.islower() and not any(s in weights or s in _LISTED for s in stems(chunk)):
+        if not _STRETCH.search(chunk):
+            return 1
+    words = _TOKEN.findall(chunk)
+    fixed = learned = persons = odd = unmasked = upper = stretched = 0
+    total, top, top_stem = 0.0, 0.0, ""
+    for word in words:
+        low = word.lower()
+        plain = low if low.isalpha() else low.translate(_MASKS)
+        best, stem = max(((weights[s], s) for s in stems(plain) if s in weights), default=(0.0, ""))
+        fixed += low in INSULTS
+        persons += low in SECOND_PERSON
+        odd += not word.isalpha()
+        unmasked += plain != low and (plain in INSULTS or best > 0)
+        upper += len(word) > 1 and word.isupper()
+        stretched += _STRETCH.search(word) is not None
+        if stem:
+            learned += 1
+            total += best
+            if best > top:
+                top, top_stem = best, stem
+    capitals = sum(map(str.isupper, chunk))
+    if fixed or learned or persons or odd or unmasked or capitals or stretched:
+        return len(words), fixed, learned, total, top, top_stem, persons, odd, unmasked, upper, capitals, stretched
+    return len(words)
+
+
 def features(text: str, weights: dict[str, float], known: dict) -> list[float]:
-    """The dense features; ``known`` keeps what was found out about a word."""
+    """The dense features; ``known`` keeps what was found out about a run of characters."""
     out = [0.0] * len(NAMES)
-    if not text:
+    chunks = text.split()
+    if not chunks:
         return out
-    words = _TOKEN.findall(text)
-    n = max(len(words), 1)
-    person, hits = [], []
-    fixed = learned = odd = unmasked = upper = 0
+    n = fixed = learned = odd = unmasked = upper = capitals = stretched = 0
     top, total, kinds = 0.0, 0.0, set()
-    for i, word in enumerate(words):
-        found = known.get(word)
+    person: list[int] = []
+    hits: list[int] = []
+    for chunk in chunks:
+        found = known.get(chunk)
         if found is None:
-            low = word.lower()
-            plain = low if low.isalpha() else low.translate(_MASKS)
-            best = max(((weights[s], s) for s in stems(plain) if s in weights), default=(0.0, ""))
-            found = (
-                low in INSULTS, best, low in SECOND_PERSON, not word.isalpha(),
-                plain != low and (plain in INSULTS or best[0] > 0),
-                len(word) > 1 and word.isupper(),
-            )
-            if not any(found[:1] + found[2:]) and not best[1]:
-                found = 0
-            known[word] = found
-        if not found:
+            found = known[chunk] = looked_up(chunk, weights)
+        if found.__class__ is int:
+            n += found
             continue
-        is_fixed, (weight, stem), is_person, is_odd, is_unmasked, is_upper = found
-        fixed += is_fixed
-        odd += is_odd
-        unmasked += is_unmasked
-        upper += is_upper
-        if stem:
-            learned += 1
-            total += weight
-            top = max(top, weight)
+        words, f, k, weight, high, stem, persons, o, u, caps, c, s = found
+        fixed, odd, unmasked, upper = fixed + f, odd + o, unmasked + u, upper + caps
+        capitals, stretched = capitals + c, stretched + s
+        if k:
+            learned, total, top = learned + k, total + weight, max(top, high)
             kinds.add(stem)
-        if is_person:
-            person.append(i)
-        if is_fixed or stem or is_unmasked:
-            hits.append(i)
+        if persons:
+            person.append(n)
+        if f or k or u:
+            hits.append(n)
+        n += words
     near = 0
     if hits and person:
         at = np.searchsorted(person, hits)
         spots = np.array([-9, *person, 10**9])
         here = np.array(hits)
         near = int(((here - spots[at] <= 4) | (spots[at + 1] - here <= 4)).sum())
-    chars = len(text)
-    letters = max(sum(map(len, words)), 1)
+    n, chars = max(n, 1), len(text)
     out[:] = (
         fixed / n, math.log1p(fixed), total / n, top, math.log1p(len(kinds)), math.log1p(learned),
-        near / n, len(person) / n, sum(c.isupper() for c in text) / letters, upper / n,
-        len(_PUNCT.findall(text)) / chars, text.count("!") / chars, len(_SYMBOL.findall(text)) / chars,
-        odd / n, math.log1p(unmasked), len(_STRETCH.findall(text)) / n, math.log1p(len(words)),
+        near / n, len(person) / n, capitals / chars, upper / n,
+        sum(map(text.count, _PUNCTUATION)) / chars, text.count("!") / chars, sum(map(text.count, _SYMBOLS)) / chars,
+        odd / n, math.log1p(unmasked), stretched / n, math.log1p(n),
     )
     return out
 
@@ -219,7 +241,7 @@ def features_column(lexicon: Lexicon, text: Column, fold: Column | None = None)
 
     def row(value: str | None, f: int | None, kept: dict) -> list[float]:
         known = kept["known"][str(f)]
-        if len(known) > 300_000:
+        if len(known) > 500_000:
             known.clear()
         return features(value or "", kept[str(f)], known)
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourwatt.llm.bagminhash import one_per_class
 from hourwatt.llm.common import fresh, handed_over, table
+from hourwatt.llm.mixing import mix_by_weight
 from hourwatt.llm.quality import quality
 from hourwatt.llm.toxicity import toxicity
+from hourwatt.llm.treebpe import round_trips
 
 #: A document goes when its score says so with this certainty.
 TOXIC, BAD = 0.5, 0.5
@@ -27,9 +30,30 @@ def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col(out) >= BAD).select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    return one_per_class(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources brought to their target weights: a document occurs as often as the mix takes it."""
+    out, nth = fresh(docs, "passes"), fresh(docs, "nth")
+    mixed, _, _ = mix_by_weight(docs, out)
+    taken = mixed.where(F.col(out) > 0).withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(out))))
+    return taken.select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document: their number, and digests of the ids and of the decoded text."""
+    return round_trips(docs.select("doc_id", "text"))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality", drop_bad),
+    ("near_duplicates", drop_near_copies),
+    ("mixing", mix_sources),
+    ("encoding", encode),
 ]
 
 #: Models, signatures and token ids are no SQL; tests/llm hold the stages against brute force.

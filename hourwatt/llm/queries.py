@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from hourwatt.llm.bagminhash import classes
 from hourwatt.llm.common import id_crc, table
+from hourwatt.llm.fertility import judged
+from hourwatt.llm.licences import scan
 from hourwatt.llm.mixing import mix_by_weight, words_in
+from hourwatt.llm.permindex import neighbours
 from hourwatt.llm.quality import quality
+from hourwatt.llm.suffixtree import scores
 from hourwatt.llm.tokenfile import written_and_read
 from hourwatt.llm.toxicity import toxicity
 from hourwatt.llm.treebpe import round_trips
@@ -48,10 +52,26 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_and_read(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents").select("doc_id", "text"), id_crc() % 7 != 2)
+
+
 def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"))
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
@@ -61,7 +81,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
     "op4_token_files": op4_token_files,
+    "op5_permutation_index": op5_permutation_index,
+    "op6_suffix_tree": op6_suffix_tree,
     "op7_tree_bpe": op7_tree_bpe,
+    "op8_fertility": op8_fertility,
+    "op9_licences": op9_licences,
     "op10_bagminhash": op10_bagminhash,
 }
 

@@ -8,9 +8,11 @@ component is its value, so two components agree with the probability of the weig
 similarity. Points later than a horizon that leaves no component empty are never drawn.
 
 Links: texts that agree in a band are compared with that band's leader (another one in each band);
-a verified overlap of at least the threshold links them. Members of a bucket that are then still in
-different classes are compared in blocks, by signature first and then exactly, so a bucket of any
-size loses no link. Equal texts are one node; classes are connected components of nodes.
+a verified overlap of at least the threshold links them. Then the members of a bucket that are not
+yet linked alike are compared with all its members, block by block, through an inverted index of
+the block's shingles; only links that join two classes of the block leave the task, so a bucket of
+any size loses no link and no list of pairs is made. Equal texts are one node; classes are
+connected components of nodes.
 
 Null texts count as empty. Texts without a word are linked to nothing, not even to each other. The
 class id is the smallest doc_id of the class (null if all are null). Repeated rows share a class;
@@ -197,13 +199,7 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def star_pairs(members: DataFrame) -> DataFrame:
     """(a, b): each member of a bucket with the bucket's leader, each pair once."""
-    order = F.xxhash64("node", "key")
-    leaders = (
-        members.groupBy("key")
-        .agg(F.min(F.struct(order.alias("o"), F.col("node"))).alias("low"), F.max(F.struct(order, F.col("node"))).alias("high"))
-        .where(F.col("low.node") != F.col("high.node"))
-        .select("key", F.col("low.node").alias("leader"))
-    )
+    leaders = members.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("leader"))
     return (
         members.join(leaders, "key")
         .where(F.col("node") != F.col("leader"))
@@ -212,29 +208,20 @@ def star_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, threshold: float, label: str) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose multisets overlap enough; the signature rules out most others beforehand."""
     likely = handed_over(
         pairs.join(nodes.select(F.col("node").alias("a"), F.col("signature").alias("s")), "a")
         .join(nodes.select(F.col("node").alias("b"), F.col("signature").alias("t")), "b")
         .where(estimate("s", "t") >= LEAST_ESTIMATE)
         .select("a", "b"),
-        f"{label}-likely",
-    )
-    wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    value = F.coalesce(F.col(text), F.lit(""))
-    texts = handed_over(
-        docs.select(node_key(value).alias("node"), value.alias("text"))
-        .join(wanted, "node", "left_semi")
-        .groupBy("node")
-        .agg(F.first("text").alias("text")),
-        f"{label}-texts",
+        "bagminhash-likely",
     )
     both = (
         likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
     )
-    return handed_over(both.where(similarity("x", "y") >= threshold).select("a", "b"), f"{label}-links")
+    return both.where(similarity("x", "y") >= threshold).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -268,74 +255,128 @@ def _mark(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.bit_xor(mark), F.sum(mark.cast("decimal(38,0)"))).first())
 
 
-def residual_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): members of one bucket that are in different classes and agree by signature.
+class BlockIndex:
+    """Shingles of a block's texts: which texts hold a shingle, and how often."""
+
+    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray]]):
+        self.total = np.array([s[1].sum() for s in sets], dtype=np.int64)
+        hashes = np.concatenate([s[0] for s in sets])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.owner = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])[order]
+        self.count = np.concatenate([s[1] for s in sets])[order]
+
+    def overlaps(self, a: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Weighted Jaccard similarity of ``a`` with every text of the block."""
+        low, high = (np.searchsorted(self.hashes, a[0], side) for side in ("left", "right"))
+        sizes = high - low
+        n = int(sizes.sum())
+        at = np.arange(n) + np.repeat(low - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+        shared = np.minimum(self.count[at], np.repeat(a[1], sizes))
+        both = np.bincount(self.owner[at], weights=shared, minlength=len(self.total))
+        return both / (self.total + a[1].sum() - both)
+
+
+def block_links(
+    asks: list[int], roots: list, bands: np.ndarray, band: int, sets: list[tuple[np.ndarray, np.ndarray]], threshold: float
+) -> list[tuple[int, int]]:
+    """Links between rows of one block that join what ``roots`` and earlier links leave apart.
 
-    Buckets of two are left out, their one pair has been compared. Each bucket's largest class is
-    only looked up; all its other members are compared with everything, block by block.
+    A pair that agrees in several bands is compared in the first of them.
     """
-    label = F.coalesce("root", "node")
-    rows = members.join(roots, "node", "left").select("key", "node", label.alias("root"))
-    sizes = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    _, label = np.unique(np.array(roots, dtype=object), return_inverse=True)
+    index, out = BlockIndex(sets), []
+    for q in asks:
+        apart = label != label[q]
+        if not apart.any():
+            continue
+        apart &= (bands == bands[q]).argmax(axis=1) == band
+        if not apart.any():
+            continue
+        for i in np.flatnonzero(apart & (index.overlaps(sets[q]) >= threshold)):
+            if label[i] != label[q]:
+                out.append((q, int(i)))
+                label[label == label[i]] = label[q]
+    return out
+
+
+def residual_links(members: DataFrame, links: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): verified links that the stars left out.
+
+    Buckets of two are complete. Of the others, each row outside the bucket's largest star is
+    compared with all rows of the bucket, a block of askers and a block of rows in a task.
+    """
+    both = links.union(links.select("b", "a")).toDF("node", "other")
+    roots = both.groupBy("node").agg(F.min(F.least("node", "other")).alias("root"))
+    rows = members.join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"))
+    sizes = rows.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
     buckets = (
-        sizes.groupBy("key")
-        .agg(F.sum("n").alias("total"), F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("classes"))
-        .where((F.col("classes") > 1) & (F.col("total") > 2))
-        .select("key", "total", F.col("top.root").alias("top"), (F.col("total") - F.col("top.n")).alias("others"))
+        sizes.groupBy("band", "key")
+        .agg(F.sum("n").alias("total"), F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("kinds"))
+        .where((F.col("kinds") > 1) & (F.col("total") > 2))
+        .select("band", "key", "total", F.col("top.root").alias("top"), (F.col("total") - F.col("top.n")).alias("others"))
     )
-    # A bucket that some other bucket repeats member by member adds nothing.
-    prints = rows.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"))
-    once = prints.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key")
-    rows = rows.join(buckets.join(once, "key", "left_semi"), "key").join(nodes, "node")
+    # Of buckets with the same members only the one of the first band is needed.
+    mark = F.xxhash64("node")
+    prints = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(mark.cast("decimal(38,0)")).alias("s"))
+    once = prints.groupBy("n", "x", "s").agg(F.min(F.struct("band", "key")).alias("k")).select("k.*")
+    rows = rows.join(buckets.join(once, ["band", "key"], "left_semi"), ["band", "key"])
     q_blocks = F.ceil(F.col("others") / BLOCK).cast("int")
     c_blocks = F.ceil(F.col("total") / BLOCK).cast("int")
     place = F.xxhash64("node", "key")
-    asks = rows.where(F.col("root") != F.col("top")).select(
-        "key", F.pmod(place, q_blocks).cast("int").alias("qb"), F.explode(F.sequence(F.lit(0), c_blocks - 1)).alias("cb"),
-        F.lit(True).alias("asks"), "node", "root", "signature",
+    outside = F.col("root") != F.col("top")
+    asks = rows.where(outside).select(
+        "band", "key", F.pmod(place, q_blocks).cast("int").alias("qb"),
+        F.explode(F.sequence(F.lit(0), c_blocks - 1)).alias("cb"), F.lit(True).alias("asks"), "node", "root",
     )
     answers = rows.select(
-        "key", F.explode(F.sequence(F.lit(0), q_blocks - 1)).alias("qb"), F.pmod(place, c_blocks).cast("int").alias("cb"),
-        F.lit(False).alias("asks"), "node", "root", "signature",
+        "band", "key", F.explode(F.sequence(F.lit(0), q_blocks - 1)).alias("qb"),
+        F.pmod(place, c_blocks).cast("int").alias("cb"), F.lit(False).alias("asks"), "node", "root",
     )
+    # A row that asks in the block in which it also answers comes once.
+    placed = asks.union(answers).groupBy("band", "key", "qb", "cb", "node", "root").agg(F.max("asks").alias("asks"))
+    full = placed.join(nodes.select("node", "bands"), "node").join(texts, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        q, c = group[group.asks], group[~group.asks]
-        out: list[tuple] = []
-        if len(q) and len(c):
-            sig = np.frombuffer(b"".join(c.signature), np.uint32).reshape(len(c), SIZE)
-            nodes_, roots_ = c.node.to_numpy(), c.root.to_numpy()
-            for node, root, s in zip(q.node, q.root, q.signature):
-                share = (sig == np.frombuffer(s, np.uint32)).mean(axis=1)
-                for i in np.flatnonzero(share >= LEAST_ESTIMATE):
-                    if roots_[i] != root:
-                        out.append((min(node, nodes_[i]), max(node, nodes_[i])))
-        return pd.DataFrame(out, columns=["a", "b"])
+        known: dict = {}
+        sets = [shingles(t, known) for t in group.text]
+        asking = np.flatnonzero(group.asks.to_numpy(dtype=bool)).tolist()
+        found = block_links(asking, list(group.root), np.stack(group.bands.to_numpy()), int(group.band.iloc[0]), sets, threshold)
+        names = group.node.to_numpy()
+        rows = [(min(names[i], names[j]), max(names[i], names[j])) for i, j in found]
+        return pd.DataFrame(rows, columns=["a", "b"])
 
-    return asks.union(answers).groupBy("key", "qb", "cb").applyInPandas(compare, "a binary, b binary").distinct()
+    return full.groupBy("band", "key", "qb", "cb").applyInPandas(compare, "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, node, class_id) for every row of ``docs``."""
     signs = handed_over(signed(docs, text), "bagminhash")
-    nodes = signs.where(F.length("signature") > 0).groupBy("node").agg(F.first("signature").alias("signature"))
-    spread = signs.where(F.length("signature") > 0).select(F.explode("bands").alias("key"), "node")
-    pairs = handed_over(star_pairs(spread), "bagminhash-pairs")
-    links = verified(pairs, nodes, docs, text, threshold, "stars")
-    roots = handed_over(components(links), "roots")
-    crowded = spread.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    members = handed_over(spread.join(crowded, "key", "left_semi").distinct(), "bagminhash-members")
-    more = handed_over(residual_pairs(members, roots, nodes), "bagminhash-rest")
-    if not more.isEmpty():
-        links = links.union(verified(more, nodes, docs, text, threshold, "rest"))
-        roots = handed_over(components(links), "roots")
+    worded = F.length("signature") > 0
+    nodes = signs.where(worded).groupBy("node").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+    spread = signs.where(worded).select(F.posexplode("bands").alias("band", "key"), "node")
+    crowded = spread.groupBy("band", "key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    members = handed_over(spread.join(crowded, ["band", "key"], "left_semi").distinct(), "bagminhash-members")
+    value = F.coalesce(F.col(text), F.lit(""))
+    texts = handed_over(
+        docs.select(node_key(value).alias("node"), value.alias("text"))
+        .join(members.select("node").distinct(), "node", "left_semi")
+        .groupBy("node")
+        .agg(F.first("text").alias("text")),
+        "bagminhash-texts",
+    )
+    near = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    near = handed_over(near, "bagminhash-nodes")
+    links = handed_over(verified(star_pairs(members), near, texts, threshold), "bagminhash-stars")
+    rest = handed_over(residual_links(members, links, near, texts, threshold), "bagminhash-rest")
+    roots = components(links.union(rest))
     per_node = signs.groupBy("node").agg(F.min("doc_id").alias("low"), F.max(F.length("signature")).alias("n"))
     named = per_node.where("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     class_ids = named.groupBy("root").agg(F.min("low").alias("class_id"))
     final = named.join(class_ids, "root").select("node", "class_id")
-    worded = signs.where(F.length("signature") > 0).select("doc_id", "node").join(final, "node")
+    rows = signs.where(worded).select("doc_id", "node").join(final, "node").select("doc_id", "node", "class_id")
     blank = signs.where(F.length("signature") == 0)
-    return worded.select("doc_id", "node", "class_id").union(blank.select("doc_id", "node", F.col("doc_id").alias("class_id")))
+    return rows.union(blank.select("doc_id", "node", F.col("doc_id").alias("class_id")))
 
 
 def one_per_class(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

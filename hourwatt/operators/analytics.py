@@ -24,6 +24,8 @@ ALL_TABLES = (*CORE_TABLES, "gold_forecasts", "gold_dispatch")
 FULL_DAY = 20  # fixed value: readings that make a day count as complete
 OUTLIER_Z = 3.0  # fixed value
 DAY_ROWS, WEEK_ROWS, MONTH_ROWS = 24, 168, 720
+RUN_ORDER = ("created_at", "run_id")
+SERIES = ("series_id",)
 
 
 def known_demand(tables: Tables) -> DataFrame:
@@ -39,7 +41,15 @@ def _weathered(tables: Tables) -> DataFrame:
 def newest_run(df: DataFrame) -> DataFrame:
     """Forecast or dispatch rows of the newest run for each hour."""
     keys = [c for c in ("series_id", "scenario_id", HOUR) if c in df.columns]
-    return latest_per_key(df, keys, ["created_at"])
+    return latest_per_key(df, keys, [c for c in RUN_ORDER if c in df.columns])
+
+
+def one_run(df: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Rows of one run: the named one, or the newest (a run without ``created_at`` is the oldest)."""
+    if run_id is not None:
+        return df.where(F.col("run_id") == run_id)
+    newest = df.agg(F.max(F.struct(*RUN_ORDER)).alias("run")).select("run.run_id").scalar()
+    return df.where(F.col("run_id").eqNullSafe(newest))
 
 
 def forecasts(tables: Tables, all_runs: bool = False) -> DataFrame:
@@ -234,7 +244,7 @@ def efficiency_daily(
 
 
 def trailing_means(
-    df: DataFrame, windows: Mapping[str, int], *, by: Sequence[str] = ()
+    df: DataFrame, windows: Mapping[str, int], *, by: Sequence[str] = SERIES
 ) -> DataFrame:
     """Means over the last ``n`` readings, gaps not counted, for every row."""
     return moving_means(df, "demand_mw", {name: (1 - n, 0) for name, n in windows.items()}, by)
@@ -243,21 +253,21 @@ def trailing_means(
 def rolling_averages(
     tables: Tables,
     *,
-    by: Sequence[str] = (),
+    by: Sequence[str] = SERIES,
     limit: int | None = 100,
     days30: bool = False,
 ) -> DataFrame:
     """Trailing 24, 168 and on request 720 row means, newest rows first.
 
     With a limit only the newest rows (of each group), and the rows their frames reach, leave the
-    scan; the frames then run over that fixed number of rows.
+    scan; the frames then run over that fixed number of rows. All rows come without an order.
     """
     windows = {"rolling_24h_avg": DAY_ROWS, "rolling_7d_avg": WEEK_ROWS}
     if days30:
         windows["rolling_30d_avg"] = MONTH_ROWS
     df = known_demand(tables).select(*by, HOUR, "demand_mw")
     if limit is None:
-        return trailing_means(df, windows, by=by).orderBy(F.desc(HOUR), *by)
+        return trailing_means(df, windows, by=by)
     reached = newest_rows(df, limit + max(windows.values()) - 1, by)
     run = Window.partitionBy(*by).orderBy(HOUR)
     means = reached.withColumns(

@@ -94,8 +94,12 @@ def with_batteries(prices: DataFrame, fleet: Sequence[Battery] | DataFrame = FLE
     return prices.select("*", F.inline(units))
 
 
-def horizon_rows(prices: DataFrame, horizon: int, per: Sequence[str] = ("series_id",)) -> DataFrame:
-    """The first ``horizon`` hours of each series."""
+def horizon_rows(
+    prices: DataFrame, horizon: int | None, per: Sequence[str] = ("series_id",)
+) -> DataFrame:
+    """The first ``horizon`` hours of each series; all of them for ``None``."""
+    if horizon is None:
+        return prices
     place = F.row_number().over(Window.partitionBy(*per).orderBy(HOUR))
     return prices.withColumn("_place", place).where(F.col("_place") <= horizon).drop("_place")
 
@@ -125,13 +129,15 @@ def battery_dispatch(
     prices: DataFrame,
     fleet: Sequence[Battery] | DataFrame = FLEET,
     per: Sequence[str] = (),
-    horizon: int = 48,
+    horizon: int | None = None,
+    totals: bool = False,
 ) -> DataFrame:
     """Charge and discharge per scenario and hour with the largest trading value, and the bid.
 
     ``prices`` has series_id, timestamp_hour and price; ``per`` adds columns that split a series
-    into separate horizons, such as a delivery day. A horizon, of at most ``horizon`` hours, becomes
-    one row, so that a batch handed to Python holds many scenarios.
+    into separate horizons, such as a delivery day; ``horizon`` keeps only the first hours of each.
+    A horizon becomes one row, so that a batch handed to Python holds many scenarios. ``totals``
+    adds the profit of each horizon as ``expected_profit``, summed before its hours are separated.
     """
     keys = ["series_id", *per]
     prices = horizon_rows(prices.select(*keys, HOUR, "price"), horizon, keys)
@@ -151,14 +157,26 @@ def battery_dispatch(
         return storage.solve_rows(prices, plan)
 
     solved = scenarios.withColumn("_plan", solve("_values", "s_max", "p_max", "eta_c", "eta_d"))
-    hours = _by_hour(solved, "price", [*keys, "scenario_id", *BATTERY_COLUMNS])
+    columns = [*keys, "scenario_id", *BATTERY_COLUMNS]
+    if totals:
+        hour = F.arrays_zip(
+            F.col("_values").alias("p"), F.col("_plan.charge_mwh").alias("c"), F.col("_plan.discharge_mwh").alias("d")
+        )
+        earned = lambda x: x["p"] * (x["d"] - x["c"] + optimal_bid(x["p"], F.col("lam")))
+        total = F.aggregate(hour, F.lit(0.0), lambda a, x: a + F.coalesce(earned(x), F.lit(0.0)))
+        total = F.when(F.col("_plan.status") == "optimal", total)
+        solved, columns = solved.withColumn("expected_profit", total), [*columns, "expected_profit"]
+    hours = _by_hour(solved, "price", columns)
     return hours.withColumn("bid_mwh", optimal_bid(F.col("price"), F.col("lam")))
 
 
+def hour_profit() -> Column:
+    return F.col("price") * (F.col("discharge_mwh") - F.col("charge_mwh") + F.col("bid_mwh"))
+
+
 def dispatch_profit(df: DataFrame, per: Sequence[str] = SCENARIO) -> DataFrame:
     """Profit of each hour, and the run total that is repeated on each row of its scenario."""
-    earned = F.col("price") * (F.col("discharge_mwh") - F.col("charge_mwh") + F.col("bid_mwh"))
-    df = df.withColumn("hour_profit", earned)
+    df = df.withColumn("hour_profit", hour_profit())
     totals = df.groupBy(*per).agg(F.sum("hour_profit").alias("expected_profit"))
     return df.join(totals, list(per))
 
@@ -216,16 +234,19 @@ def dispatch_feasibility(
     store: Store = Store(),
     per: Sequence[str] = ("series_id",),
 ) -> DataFrame:
-    """Demand against all capacity; an hour above it makes its cost infinite."""
-    total = sum(g.capacity_mw for g in generators) + store.power_mw
-    fits = F.col("demand_mw") <= total
-    mix = merit_order(df.select(*per, HOUR, "demand_mw"), "demand_mw", generators)
-    return mix.select(
+    """Whether each horizon can be served by the generators and the store, and what it costs.
+
+    The status is that of the plan itself, so it counts only energy that the store can hold. An
+    impossible horizon costs infinitely much in each of its hours.
+    """
+    plan = generation_dispatch(df, generators, store, per)
+    fits = F.col("status") == "optimal"
+    return plan.select(
         *per,
         HOUR,
         "demand_mw",
-        F.lit(total).alias("capacity_mw"),
-        F.when(fits, "optimal").otherwise("infeasible").alias("status"),
+        F.lit(sum(g.capacity_mw for g in generators)).alias("capacity_mw"),
+        "status",
         F.when(fits, F.col("cost")).otherwise(F.lit(float("inf"))).alias("cost"),
     )
 
@@ -235,7 +256,7 @@ def generation_dispatch(
     generators: Sequence[Generator] = GENERATORS,
     store: Store = Store(),
     per: Sequence[str] = ("series_id",),
-    horizon: int = 48,
+    horizon: int | None = None,
 ) -> DataFrame:
     """Least-cost mix with a store, per horizon; an impossible horizon has no outputs."""
     keys = list(per)
@@ -295,8 +316,10 @@ def gold_dispatch_rows(
     run_id: str,
     created_at: Column,
     fleet: Sequence[Battery] | DataFrame = FLEET,
-    horizon: int = 48,
+    horizon: int | None = None,
 ) -> DataFrame:
     """Dispatch, bids and profits as rows of the gold table."""
-    solved = dispatch_profit(battery_dispatch(prices, fleet, horizon=horizon))
-    return solved.withColumns({"run_id": F.lit(run_id), "created_at": created_at})
+    solved = battery_dispatch(prices, fleet, horizon=horizon, totals=True)
+    return solved.withColumns(
+        {"hour_profit": hour_profit(), "run_id": F.lit(run_id), "created_at": created_at}
+    )

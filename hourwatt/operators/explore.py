@@ -60,7 +60,7 @@ def demand_distribution(
     return out.select(*keys, "min_value", *QUARTILES, "max_value").orderBy(*keys)
 
 
-def decompose(tables: Tables, *, by: Sequence[str] = ()) -> DataFrame:
+def decompose(tables: Tables, *, by: Sequence[str] = A.SERIES) -> DataFrame:
     """Trend (centred 168-row mean), hour-of-week pattern of what is left, and the residual.
 
     The frame has 84 rows before and 83 after the row; it is shorter at both ends.

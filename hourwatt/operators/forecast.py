@@ -31,10 +31,12 @@ def seasonal_profile_forecast(
     profile: str = "hour_of_week",
     value: str = "demand_mw",
     keys: Sequence[str] = ("series_id",),
+    least_readings: int = 2,
 ) -> DataFrame:
     """Mean of the same hour of the week (or day) with an 80 % band around it.
 
-    An hour of the week seen fewer than twice falls back to its hour of the day.
+    An hour of the week seen fewer than ``least_readings`` times falls back to its hour of the day;
+    ``profile_used`` says which one a row comes from.
     """
     if profile not in ("hour", "hour_of_week"):
         raise ValueError(f"unknown profile: {profile}")
@@ -58,8 +60,10 @@ def seasonal_profile_forecast(
     ahead = series.select(*keys, "_cells", F.explode(next_hours(ts, horizon)).alias(HOUR))
     by_hour = F.try_element_at("_cells", _hour_cell(ts))
     by_week = F.try_element_at("_cells", TM.hour_of_week(ts))
-    cell = F.when(by_week["n"] >= 2, by_week).otherwise(by_hour)
-    found = ahead.select(*keys, HOUR, cell.alias("_cell"))
+    weekly = F.coalesce(by_week["n"] >= least_readings, F.lit(False))
+    cell = F.when(weekly, by_week).otherwise(by_hour)
+    used = F.when(weekly, "hour_of_week").otherwise("hour").alias("profile_used")
+    found = ahead.select(*keys, HOUR, cell.alias("_cell"), used)
     mean, half = F.col("_cell.mean"), F.coalesce("_cell.sd", F.lit(0.0)) * BAND_Z
     return found.select(
         *keys,
@@ -67,6 +71,7 @@ def seasonal_profile_forecast(
         mean.alias("yhat"),
         (mean - half).alias("yhat_lower"),
         (mean + half).alias("yhat_upper"),
+        "profile_used",
     )
 
 
@@ -81,11 +86,14 @@ def additive_forecast(
 ) -> DataFrame:
     """Trend, daily, weekly and yearly terms fitted to each series, with an 80 % band.
 
-    With ``as_of`` the history is cut to ``history_days``. A series is reduced to one weighted row
-    per hour before its rows meet in one task, so a task holds at most the hours of the history.
+    The history is cut to ``history_days`` before ``as_of``, or else before the last hour of any
+    series. A series is reduced to one weighted row per hour before its rows meet in one task, so a
+    task holds at most the hours of the history.
     """
     keys = list(keys)
     known = df.where(F.col(value).isNotNull())
+    if as_of is None:
+        as_of = known.agg(F.max(HOUR)).first()[0]
     if as_of is not None:
         known = within_days(known, as_of, history_days)
     hours = known.groupBy(*keys, F.date_trunc("hour", HOUR).alias("_hour")).agg(

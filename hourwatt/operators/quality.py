@@ -24,6 +24,8 @@ class Limits:
     max_lag_hours: float = 72.0
     max_outlier_pct: float = 5.0
     max_duplicate_keys: int = 0
+    max_rejected_pct: float = 1.0
+    max_unsolved_hours: int = 0
 
 
 class QualityError(Exception):
@@ -74,8 +76,13 @@ def quality_gate(
     as_of: datetime,
     limits: Limits = Limits(),
     keys: Mapping[str, list[str]] = KEYS,
+    landed: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """One row per check and table. A table without rows fails its row count."""
+    """One row per check and table. A table without rows fails its row count.
+
+    ``landed`` has the counts of landed and rejected rows of the feeds. Hours of the newest
+    dispatch run without an optimal plan are counted too.
+    """
     facts = table_facts(tables, as_of, keys)
     rows = [
         ("row_count", limits.min_rows, ">="),
@@ -90,11 +97,21 @@ def quality_gate(
             F.try_divide(F.lit(100.0) * F.first(outliers.scalar()), F.count(F.lit(1))), F.lit(0.0)
         ).alias("outlier_pct"),
     )
+    newest = A.one_run(tables["gold_dispatch"])
+    plans = newest.agg(
+        F.lit("gold_dispatch").alias("table_name"),
+        F.count_if(~F.col("status").eqNullSafe("optimal")).alias("unsolved_hours"),
+    )
     parts = [
+        _checks(plans, [("unsolved_hours", limits.max_unsolved_hours, "<=")]),
         _checks(facts, rows).where(~late | F.col("table_name").isin(*A.CORE_TABLES)),
         _checks(A.missing_data(tables), [("missing_pct", limits.max_missing_pct, "<=")]),
         _checks(share, [("outlier_pct", limits.max_outlier_pct, "<=")]),
     ]
+    for counts in landed:
+        lost = F.coalesce(F.try_divide(100.0 * F.col("rows_rejected"), F.col("rows_landed")), F.lit(0.0))
+        found = counts.select("table_name", lost.alias("rejected_pct"))
+        parts.append(_checks(found, [("rejected_pct", limits.max_rejected_pct, "<=")]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -122,16 +122,20 @@ def insights(tables: Tables, *, faithful: bool = False) -> DataFrame:
 
 
 def actual_vs_forecast(
-    tables: Tables, *, actual_rows: int = 168, by: Sequence[str] = ()
+    tables: Tables,
+    *,
+    actual_rows: int = 168,
+    by: Sequence[str] = (),
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Last actual hours and the forecast on one time axis, with the boundary between them."""
+    """Last actual hours and one forecast run on one time axis, with the boundary between them."""
     actual = newest_rows(
         tables["silver_demand_weather"].select(*by, HOUR, F.col("demand_mw").alias("value")),
         actual_rows,
         by,
     )
     ends = actual.groupBy(*by).agg(F.max(HOUR).alias("now_boundary"))
-    planned = A.forecasts(tables).select(
+    planned = A.one_run(tables["gold_forecasts"], run_id).select(
         *by, HOUR, F.col("yhat").alias("value"), "yhat_lower", "yhat_upper"
     )
     both = actual.withColumn("kind", F.lit("actual")).unionByName(
@@ -176,10 +180,13 @@ def temp_demand_pairs(tables: Tables) -> DataFrame:
     return df.where(both).select(HOUR, "temp_c", "demand_mw")
 
 
-def forecast_run_summary(tables: Tables, *, actual_rows: int = 168) -> DataFrame:
+def forecast_run_summary(
+    tables: Tables, *, actual_rows: int = 168, run_id: str | None = None
+) -> DataFrame:
+    """Hours and values of one forecast run, beside the last actual hours."""
     actual = newest_rows(tables["silver_demand_weather"].select(HOUR, "demand_mw"), actual_rows)
     seen = actual.agg(F.min("demand_mw").alias("lo"), F.max("demand_mw").alias("hi"))
-    return A.forecasts(tables).agg(
+    return A.one_run(tables["gold_forecasts"], run_id).agg(
         F.min(HOUR).alias("forecast_start"),
         F.max(HOUR).alias("forecast_end"),
         F.avg("yhat").alias("avg_forecast_mw"),
@@ -194,10 +201,10 @@ def forecast_run_summary(tables: Tables, *, actual_rows: int = 168) -> DataFrame
     )
 
 
-def dispatch_run_summary(
-    tables: Tables, *, by: Sequence[str] = (), all_runs: bool = False
-) -> DataFrame:
-    return A.dispatch(tables, all_runs).groupBy(*by).agg(
+def dispatch_run_summary(tables: Tables, *, run_id: str | None = None) -> DataFrame:
+    """One dispatch run. Batteries of one price path are alternatives, so each has its own row."""
+    rows = A.one_run(tables["gold_dispatch"], run_id)
+    return rows.groupBy("run_id", "series_id", "scenario_id").agg(
         F.sum("charge_mwh").alias("total_charge_mwh"),
         F.sum("discharge_mwh").alias("total_discharge_mwh"),
         F.max("soc_mwh").alias("max_soc_mwh"),

@@ -13,9 +13,11 @@ from hourwatt.operators import serving as S
 from hourwatt.operators.additive import Model
 from hourwatt.operators.dispatch import FLEET, gold_dispatch_rows
 from hourwatt.operators.forecast import additive_forecast, gold_forecast_rows
+from hourwatt.operators.keys import latest_per_key
 from hourwatt.operators.quality import Limits, enforce, quality_gate
 from hourwatt.operators.silver import demand_clean, silver_build, weather_hourly
 from hourwatt.session import pin_utc
+from hourwatt.sources import feeds
 from hourwatt.sources.feeds import read_demand_json, read_weather_json
 from hourwatt.sources.store import TableStore
 
@@ -35,12 +37,8 @@ def refresh_bronze(
     """Landed demand and weather files into the bronze tables, one row per series and hour."""
     demand = read_demand_json(spark, demand_path, config.respondent, config.feed_type)
     demand = demand_clean(demand, as_of, config.history_days)
-    # Two values for one hour in the same feed: the larger one, so that reruns agree.
-    demand = demand.groupBy("series_id", "timestamp_hour").agg(
-        F.max("demand_mw").alias("demand_mw"),
-        F.max("generation_mw").alias("generation_mw"),
-        F.max("forecast_demand_mw").alias("forecast_demand_mw"),
-    )
+    # Several records for one hour in the same feed: one whole record, so that reruns agree.
+    demand = latest_per_key(demand, ["series_id", "timestamp_hour"], ["demand_mw"])
     store.refresh(demand.withColumn("loaded_at", TM.at(as_of)), "bronze_demand", "loaded_at")
     first = (as_of - timedelta(days=config.history_days)).date()
     weather = read_weather_json(spark, weather_path, config.station, first, as_of.date())
@@ -69,7 +67,9 @@ def forecast_to_gold(
     ).where(F.col("demand_mw").isNotNull())
     if history.isEmpty():
         raise ValueError("no history to forecast from")
-    forecast = additive_forecast(history, config.horizon_hours, model)
+    forecast = additive_forecast(
+        history, config.horizon_hours, model, as_of=as_of, history_days=config.history_days
+    )
     rows = gold_forecast_rows(forecast, run_name(as_of), TM.at(as_of))
     store.refresh(rows, "gold_forecasts", "created_at")
 
@@ -81,9 +81,7 @@ def dispatch_to_gold(
     prices = S.forecast_horizon(store, as_of).withColumnRenamed("yhat", "price")
     if prices.isEmpty():
         raise ValueError("no forecast from the current hour on")
-    rows = gold_dispatch_rows(
-        prices, run_name(as_of), TM.at(as_of), fleet, config.horizon_hours
-    )
+    rows = gold_dispatch_rows(prices, run_name(as_of), TM.at(as_of), fleet)
     store.refresh(rows, "gold_dispatch", "created_at")
 
 
@@ -105,6 +103,10 @@ def nightly(
     refresh_bronze_silver(spark, store, config, as_of, demand_path, weather_path)
     forecast_to_gold(store, config, as_of)
     dispatch_to_gold(store, config, as_of)
-    checks = quality_gate(store, as_of, limits)
+    landed = [
+        feeds.rejected_demand(feeds.demand_feed_rows(spark, demand_path)),
+        feeds.rejected_weather(feeds.weather_feed_rows(spark, weather_path)),
+    ]
+    checks = quality_gate(store, as_of, limits, landed=landed)
     enforce(checks)
     return checks

@@ -73,6 +73,15 @@ two_runs AS (
          yhat * 1.1 AS yhat, yhat_lower * 1.1 AS yhat_lower, yhat_upper * 1.1 AS yhat_upper
   FROM gold_forecasts
 ),
+shifted_runs AS (
+  SELECT series_id, timestamp_hour + INTERVAL 1 DAY * (n - 1) AS timestamp_hour, n,
+         yhat * (0.9 + n / 10.0) AS yhat, yhat_lower * (0.9 + n / 10.0) AS yhat_lower,
+         yhat_upper * (0.9 + n / 10.0) AS yhat_upper
+  FROM gold_forecasts, (VALUES (1), (2), (3)) AS night(n)
+),
+shifted_newest AS (
+  SELECT * FROM shifted_runs QUALIFY row_number() OVER (PARTITION BY timestamp_hour ORDER BY n DESC) = 1
+),
 dispatch_hours AS (
   SELECT timestamp_hour,
          coalesce(sum(value) FILTER (event_type = 'click'), 0) AS price,
@@ -90,6 +99,19 @@ gold_dispatch AS (
   SELECT *, (SELECT sum(hour_profit) FROM dispatch_profits) AS expected_profit
   FROM dispatch_profits
 ),
+dispatch_runs AS (
+  SELECT * EXCLUDE (timestamp_hour, soc_mwh, charge_mwh),
+         CASE WHEN n = 1 THEN timestamp_hour ELSE timestamp_hour + INTERVAL 40 DAY END AS timestamp_hour,
+         CASE WHEN n = 1 THEN 'run-1' ELSE 'run-2' END AS run_id,
+         CASE WHEN n = 3 THEN 'other' ELSE 'fixture' END AS scenario_id,
+         CASE WHEN n = 1 THEN soc_mwh ELSE soc_mwh / 2 END AS soc_mwh,
+         CASE WHEN n = 3 THEN charge_mwh / 4 ELSE charge_mwh END AS charge_mwh
+  FROM gold_dispatch, (VALUES (1), (2), (3)) AS copy(n)
+),
+dispatch_newest AS (
+  SELECT * FROM dispatch_runs
+  QUALIFY row_number() OVER (PARTITION BY scenario_id, timestamp_hour ORDER BY run_id DESC) = 1
+),
 weather_raw AS (
   SELECT event_id, ts AS seen, timestamp_hour,
          CASE WHEN event_id % 50 = 0 THEN '+9999,9' WHEN event_id % 77 = 0 THEN ''
@@ -238,6 +260,65 @@ def _merit(load: str) -> str:
        CASE WHEN {load} IS NOT NULL THEN greatest({load} - 1600, 0) END AS unserved_mw"""
 
 
+def _fast_battery(day: str) -> str:
+    """Value of each end level; such a battery is empty, full, or as full as before."""
+    return f"""
+  WITH RECURSIVE steps AS (
+    SELECT *, count(*) OVER (PARTITION BY series_id, day) AS total
+    FROM (SELECT series_id, {day} AS day, demand_mw AS price,
+                 row_number() OVER (PARTITION BY series_id, {day} ORDER BY timestamp_hour) AS n
+          FROM demand)
+  ),
+  states AS (
+    SELECT DISTINCT series_id, day, CAST(0 AS BIGINT) AS n, 50 AS level, CAST(0 AS DOUBLE) AS v
+    FROM steps
+    UNION ALL
+    SELECT series_id, day, n, level, max(v) AS v FROM (
+      SELECT s.series_id, s.day, p.n, m.level AS level,
+             s.v + p.price * CASE WHEN m.level < s.level THEN (s.level - m.level) * 0.95
+                                  ELSE -(m.level - s.level) / 0.95 END AS v
+      FROM states s JOIN steps p ON p.series_id = s.series_id AND p.day = s.day AND p.n = s.n + 1
+           JOIN (VALUES (0), (50), (100)) AS m(level) ON m.level <> 50 OR s.level = 50)
+    GROUP BY 1, 2, 3, 4
+  )
+  SELECT s.* FROM states s JOIN (SELECT DISTINCT series_id, day, total FROM steps) e
+    ON e.series_id = s.series_id AND e.day = s.day AND e.total = s.n"""
+
+
+_LEAST_COST = """
+SELECT d.series_id, d.day, hours, CASE WHEN c.cost IS NULL THEN 'infeasible' ELSE 'optimal' END AS status,
+       c.cost AS total_cost
+FROM (SELECT series_id, CAST(timestamp_hour AS DATE) AS day, count(*) AS hours FROM silver
+      WHERE demand_mw IS NOT NULL GROUP BY 1, 2) d
+LEFT JOIN (
+  WITH RECURSIVE steps AS (
+    SELECT *, count(*) OVER (PARTITION BY series_id, day) AS total
+    FROM (SELECT series_id, CAST(timestamp_hour AS DATE) AS day,
+                 CAST(floor(demand_mw * 6 / 10) * 10 AS INTEGER) AS load,
+                 row_number() OVER (PARTITION BY series_id, CAST(timestamp_hour AS DATE)
+                                    ORDER BY timestamp_hour) AS n
+          FROM silver WHERE demand_mw IS NOT NULL)
+  ),
+  states AS (
+    SELECT DISTINCT series_id, day, CAST(0 AS BIGINT) AS n, 50 AS level, CAST(0 AS DOUBLE) AS cost
+    FROM steps
+    UNION ALL
+    SELECT series_id, day, n, level, min(cost) AS cost FROM (
+      SELECT s.series_id, s.day, p.n, m.level,
+             s.cost + 0.03 * least(greatest(p.load + m.level - s.level, 0), 300)
+                    + 0.05 * least(greatest(p.load + m.level - s.level - 300, 0), 500)
+                    + 0.08 * least(greatest(p.load + m.level - s.level - 800, 0), 800) AS cost
+      FROM states s JOIN steps p ON p.series_id = s.series_id AND p.day = s.day AND p.n = s.n + 1
+           JOIN (SELECT unnest(range(10, 101, 10)) AS level) m
+             ON p.load + m.level - s.level <= 1600)
+    GROUP BY 1, 2, 3, 4
+  )
+  SELECT s.series_id, s.day, min(s.cost) AS cost
+  FROM states s JOIN (SELECT DISTINCT series_id, day, total FROM steps) e
+    ON e.series_id = s.series_id AND e.day = s.day AND e.total = s.n
+  GROUP BY 1, 2) c ON c.series_id = d.series_id AND c.day = d.day"""
+
+
 def _spread(position: str, table: str) -> str:
     return f"""
 SELECT {position} AS position, min(demand_mw) AS min_value,
@@ -276,6 +357,7 @@ SELECT check_name, table_name, value, limit_value,
 FROM (
   SELECT 'row_count' AS check_name, table_name, row_count AS value, 1.0 AS limit_value
   FROM ({_overview(_ALL)})
+  UNION ALL SELECT 'unsolved_hours', 'gold_dispatch', 0.0, 0.0
   UNION ALL SELECT 'missing_pct', table_name, missing_pct, 10.0 FROM ({_MISSING})
   UNION ALL SELECT 'lag_hours', table_name, lag_hours, 72.0 FROM ({_fresh(_CORE)})
   UNION ALL SELECT 'outlier_pct', 'bronze_demand',
@@ -351,9 +433,10 @@ SELECT * FROM weather_obs
 WHERE CAST(seen AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
     "demand_feed_json": "SELECT timestamp_hour, demand_mw FROM landed",
     "demand_feed_select": """
-SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS period,
+SELECT strftime(ts + INTERVAL 1 DAY * days, '%Y-%m-%dT%H:%M:%S') AS period,
        CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR) AS value, 'D' AS type
-FROM events WHERE event_type = 'click' ORDER BY period DESC, value DESC LIMIT 500""",
+FROM events, (VALUES (0), (365)) AS again(days) WHERE event_id % 8 <> 0
+ORDER BY period DESC, value DESC LIMIT 10000""",
     "first_non_empty_feed": "SELECT * FROM bronze_demand",
     "demand_clean": """
 SELECT timestamp_hour, value AS demand_mw, 0.95 * value AS generation_mw,
@@ -439,14 +522,17 @@ SELECT count(*) AS points, avg(abs(y - f) / nullif(abs(y), 0)) * 100 AS mape_pct
        avg(CASE WHEN y BETWEEN lo AND hi THEN 1.0 ELSE 0.0 END) * 100 AS coverage_pct
 FROM (
   SELECT demand_mw AS y, m AS f, m - 1.2816 * sd AS lo, m + 1.2816 * sd AS hi,
-         lag(demand_mw) OVER (ORDER BY timestamp_hour) AS py,
-         lag(m) OVER (ORDER BY timestamp_hour) AS pf
-  FROM silver JOIN (
+         CASE WHEN lag(timestamp_hour) OVER t = timestamp_hour - INTERVAL 1 HOUR
+              THEN lag(demand_mw) OVER t END AS py,
+         CASE WHEN lag(timestamp_hour) OVER t = timestamp_hour - INTERVAL 1 HOUR
+              THEN lag(m) OVER t END AS pf
+  FROM demand JOIN (
     SELECT hour(timestamp_hour) AS h, avg(demand_mw) AS m, stddev_samp(demand_mw) AS sd
     FROM silver WHERE demand_mw IS NOT NULL AND timestamp_hour < TIMESTAMP '2024-01-29 00:00:00'
     GROUP BY 1) ON h = hour(timestamp_hour)
   WHERE timestamp_hour >= TIMESTAMP '2024-01-29 00:00:00'
-    AND timestamp_hour < TIMESTAMP '2024-01-31 00:00:00')""",
+    AND timestamp_hour < TIMESTAMP '2024-01-31 00:00:00'
+  WINDOW t AS (ORDER BY timestamp_hour))""",
     "forecast_to_gold": "SELECT * FROM gold_forecasts",
     "dispatch_daily": _dispatch_daily("hour_profit"),
     "dispatch_daily_run_totals": _dispatch_daily("expected_profit"),
@@ -462,9 +548,15 @@ SELECT {_profits("hour_profit")}, avg(soc_mwh) AS avg_soc_mwh,
        sum(charge_mwh) AS total_charge_mwh, sum(discharge_mwh) AS total_discharge_mwh
 FROM gold_dispatch""",
     "dispatch_run_summary": """
-SELECT sum(charge_mwh) AS total_charge_mwh, sum(discharge_mwh) AS total_discharge_mwh,
+SELECT 'run-1' AS run_id, 'all' AS series_id, 'fixture' AS scenario_id,
+       sum(charge_mwh) AS total_charge_mwh, sum(discharge_mwh) AS total_discharge_mwh,
        max(soc_mwh) AS max_soc_mwh, min(soc_mwh) AS min_soc_mwh, sum(hour_profit) AS run_profit
 FROM gold_dispatch""",
+    "dispatch_run_summary_runs": """
+SELECT run_id, 'all' AS series_id, scenario_id,
+       sum(charge_mwh) AS total_charge_mwh, sum(discharge_mwh) AS total_discharge_mwh,
+       max(soc_mwh) AS max_soc_mwh, min(soc_mwh) AS min_soc_mwh, sum(hour_profit) AS run_profit
+FROM dispatch_runs WHERE run_id = 'run-2' GROUP BY 1, 2, 3""",
     "optimal_bid": """
 SELECT timestamp_hour, price - 100 AS price, greatest(0, (price - 100) / 0.02) AS bid_mwh
 FROM gold_dispatch""",
@@ -491,6 +583,15 @@ SELECT series_id, day, max(v) AS trading_value FROM (
   SELECT s.* FROM states s JOIN (SELECT DISTINCT series_id, day, total FROM steps) e
     ON e.series_id = s.series_id AND e.day = s.day AND e.total = s.n
 ) GROUP BY 1, 2""",
+    "battery_dispatch_lossy_value": f"""
+SELECT series_id, day, max(v) AS trading_value
+FROM ({_fast_battery("CAST(timestamp_hour AS DATE)")}) GROUP BY 1, 2""",
+    "battery_dispatch_long": f"""
+SELECT series_id, hours, trading_value, trading_value + bids AS run_total FROM (
+  SELECT series_id, max(v) AS trading_value
+  FROM ({_fast_battery("DATE '2024-01-01'")}) GROUP BY 1
+) JOIN (SELECT series_id, count(*) AS hours, sum(demand_mw * demand_mw / 0.02) AS bids FROM demand GROUP BY 1)
+  USING (series_id)""",
     "battery_dispatch_audit": f"""
 SELECT scenario_id, count(*) AS hours,
        count(DISTINCT (series_id, CAST(timestamp_hour AS DATE))) AS horizons, 0 AS violations,
@@ -507,13 +608,11 @@ WHERE balance OR level OR power""",
     "merit_order": f"""
 SELECT timestamp_hour, demand_mw, {_merit("demand_mw")}
 FROM (SELECT timestamp_hour, demand_mw * 4 AS demand_mw FROM silver)""",
-    "dispatch_feasibility": f"""
-SELECT *, CASE WHEN status = 'optimal' THEN full_cost END AS cost FROM (
-  SELECT timestamp_hour, demand_mw, 1800.0 AS capacity_mw,
-         CASE WHEN demand_mw <= 1800 THEN 'optimal' ELSE 'infeasible' END AS status,
-         cost AS full_cost
-  FROM (SELECT timestamp_hour, demand_mw, {_merit("demand_mw")}
-        FROM (SELECT timestamp_hour, demand_mw * 6 AS demand_mw FROM silver)))""",
+    "generation_dispatch_least_cost": _LEAST_COST,
+    "dispatch_feasibility": _LEAST_COST,
+    "dispatch_feasibility_agrees": """
+SELECT series_id, count(*) AS hours, 0 AS differing FROM silver WHERE demand_mw IS NOT NULL
+GROUP BY 1""",
     "generation_dispatch_audit": """
 SELECT series_id, count(*) AS hours, 0 AS violations, 0 AS dearer_days FROM silver GROUP BY 1""",
     "generation_dispatch_without_store": f"""
@@ -579,6 +678,35 @@ SELECT *, (SELECT max(timestamp_hour) FROM silver) AS now_boundary FROM (
   UNION ALL
   SELECT 'forecast' AS kind, timestamp_hour, yhat AS value, yhat_lower, yhat_upper
   FROM gold_forecasts)""",
+    "actual_vs_forecast_runs": """
+SELECT *, (SELECT max(timestamp_hour) FROM silver) AS now_boundary FROM (
+  (SELECT 'actual' AS kind, timestamp_hour, demand_mw AS value, CAST(NULL AS DOUBLE) AS yhat_lower,
+          CAST(NULL AS DOUBLE) AS yhat_upper FROM silver ORDER BY timestamp_hour DESC LIMIT 168)
+  UNION ALL
+  SELECT 'forecast' AS kind, timestamp_hour, yhat AS value, yhat_lower, yhat_upper
+  FROM shifted_runs WHERE n = 3)""",
+    "forecast_horizon_view_runs": f"""
+SELECT strftime(timestamp_hour, '%Y-%m-%dT%H:%M:%SZ') AS timestamp_hour, yhat, yhat_lower,
+       yhat_upper FROM shifted_newest WHERE timestamp_hour >= {NOW_HOUR}""",
+    "forecast_cards_runs": f"""
+SELECT round(avg(yhat)) AS avg_demand, round(max(yhat)) AS peak_demand,
+       round(min(yhat)) AS min_demand, count(*) AS data_points
+FROM shifted_newest WHERE timestamp_hour >= {NOW_HOUR}""",
+    "dispatch_cards_runs": f"""
+SELECT sum(charge_mwh) AS total_charge_mwh, sum(discharge_mwh) AS total_discharge_mwh,
+       avg(soc_mwh) AS avg_soc_mwh, sum(hour_profit) AS total_profit, avg(price) AS avg_price,
+       sum(discharge_mwh) / nullif(sum(charge_mwh), 0) * 100 AS round_trip_pct,
+       count(*) AS data_points
+FROM dispatch_newest WHERE timestamp_hour >= {MID_MONTH_HOUR}""",
+    "forecast_run_summary_runs": """
+SELECT min(timestamp_hour) AS forecast_start, max(timestamp_hour) AS forecast_end,
+       avg(yhat) AS avg_forecast_mw, max(yhat) AS max_forecast_mw, min(yhat) AS min_forecast_mw,
+       count(*) AS forecast_points,
+       (SELECT min(demand_mw) FROM (SELECT demand_mw FROM silver ORDER BY timestamp_hour DESC
+                                    LIMIT 168)) AS min_actual_mw,
+       (SELECT max(demand_mw) FROM (SELECT demand_mw FROM silver ORDER BY timestamp_hour DESC
+                                    LIMIT 168)) AS max_actual_mw
+FROM shifted_runs WHERE n = 3""",
     "profile_exploration": """
 SELECT 'hour' AS profile, hour(timestamp_hour) AS position, avg(demand_mw) AS avg_demand_mw
 FROM silver WHERE demand_mw IS NOT NULL GROUP BY 2

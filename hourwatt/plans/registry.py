@@ -42,6 +42,8 @@ KINDS = {
 SERIES = 5  # series in the multi-series variants
 MID_MONTH = datetime(2024, 1, 15, 12, 34)  # clock of the dispatch views
 LOSSLESS = D.Battery("lossless", 100.0, 50.0, 1.0, 1.0)
+FAST = D.Battery("fast", 100.0, 200.0)  # fills or empties within an hour
+STEPS = D.Store(eta_c=1.0, low=10.0, high=100.0, start=50.0)  # levels in steps of 10 suffice
 
 
 def nudge(digits: int) -> float:
@@ -288,13 +290,14 @@ def demand_feed_json(t):
 
 @query("period:s value:s type:s")
 def demand_feed_select(t):
-    rows = t.of_type("click", "error").select(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("period"),
+    """What one request serves of a feed that holds more: every event, and again a year later."""
+    rows = t.events.select("*", F.explode(F.array(F.lit(0), F.lit(365))).alias("days")).select(
+        F.date_format(F.col("ts") + F.make_dt_interval("days"), "yyyy-MM-dd'T'HH:mm:ss").alias("period"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("value"),
         F.lit("ERCO").alias("respondent"),
-        F.when(F.col("event_type") == "click", "D").otherwise("NG").alias("type"),
+        F.when(F.col("event_id") % 8 == 0, "NG").otherwise("D").alias("type"),
     )
-    return feeds.select_feed(rows, "ERCO", "D", 500)
+    return feeds.select_feed(rows, "ERCO", "D", feeds.FEED_LIMIT)
 
 
 @query(f"{HOUR}:ts demand_mw:x")
@@ -522,10 +525,10 @@ def additive_forecast_shape(t):
 
 @query("points:l mape_pct:x rmse:x direction_pct:x coverage_pct:x")
 def forecast_accuracy(t):
-    silver = t["silver_demand_weather"]
-    past = silver.where(F.col(HOUR) < TM.at(BACKTEST_CUT))
+    """Against hours that were measured; hours filled forward are no actual values."""
+    past = t["silver_demand_weather"].where(F.col(HOUR) < TM.at(BACKTEST_CUT))
     forecast = FC.seasonal_profile_forecast(past, profile="hour")
-    return X.forecast_accuracy(silver, forecast)
+    return X.forecast_accuracy(t["bronze_demand"], forecast)
 
 
 @query(f"run_id:s created_at:ts {_FORECAST}")
@@ -578,11 +581,22 @@ def dispatch_summary(t):
     return A.dispatch_summary(t)
 
 
-@query("total_charge_mwh:x total_discharge_mwh:x max_soc_mwh:x min_soc_mwh:x run_profit:x2")
+_RUN = (
+    "run_id:s series_id:s scenario_id:s total_charge_mwh:x total_discharge_mwh:x max_soc_mwh:x"
+    " min_soc_mwh:x run_profit:x2"
+)
+
+
+@query(_RUN)
 def dispatch_run_summary(t):
     return S.dispatch_run_summary(t)
 
 
+@query(_RUN)
+def dispatch_run_summary_runs(t):
+    return S.dispatch_run_summary(Replaced(t, gold_dispatch=t.dispatch_runs()))
+
+
 @query(f"{HOUR}:ts price:x bid_mwh:x")
 def optimal_bid(t):
     rows = t["gold_dispatch"].withColumn("price", F.col("price") - 100)
@@ -619,6 +633,28 @@ def battery_dispatch_lossless_value(t):
     return solved.groupBy("series_id", "day").agg(F.sum(earned).alias("trading_value"))
 
 
+@query("series_id:s day:d trading_value:x4", series=SERIES)
+def battery_dispatch_lossy_value(t):
+    """Largest trading value per day with the usual losses, where power never binds."""
+    prices = daily_prices(t).withColumn("price", F.col("price") + 40)
+    solved = D.battery_dispatch(prices, [FAST], per=["day"])
+    earned = F.col("price") * (F.col("discharge_mwh") - F.col("charge_mwh"))
+    return solved.groupBy("series_id", "day").agg(F.sum(earned).alias("trading_value"))
+
+
+@query("series_id:s hours:l trading_value:x4 run_total:x3", series=SERIES)
+def battery_dispatch_long(t):
+    """One horizon per series, as long as its history: no hour is left out."""
+    prices = daily_prices(t).withColumn("price", F.col("price") + 40)
+    solved = D.gold_dispatch_rows(prices, "run-1", TM.at(CREATED), [FAST])
+    earned = F.col("price") * (F.col("discharge_mwh") - F.col("charge_mwh"))
+    return solved.groupBy("series_id").agg(
+        F.count("soc_mwh").alias("hours"),
+        F.sum(earned).alias("trading_value"),
+        F.max("expected_profit").alias("run_total"),
+    )
+
+
 @query("scenario_id:s hours:l horizons:l violations:l bid_total:x3", series=SERIES)
 def battery_dispatch_audit(t):
     """Each scenario has a plan for every hour, and no plan breaks a rule."""
@@ -654,11 +690,43 @@ def merit_order(t):
     return D.merit_order(demand)
 
 
-@query(f"{HOUR}:ts demand_mw:x capacity_mw:x status:s cost:x")
+def stepped_demand(t: SampleTables) -> DataFrame:
+    """Demand in steps of 10 MW, around the capacity of the generators."""
+    steps = F.floor(F.col("demand_mw") * 6 / 10) * 10.0
+    rows = t["silver_demand_weather"].where(F.col("demand_mw").isNotNull())
+    return rows.select("series_id", HOUR, F.to_date(HOUR).alias("day"), steps.alias("demand_mw"))
+
+
+@query("series_id:s day:d hours:l status:s total_cost:x4", series=SERIES)
+def generation_dispatch_least_cost(t):
+    """Least cost per day with a store: demand and levels in steps, so that all plans can be tried."""
+    solved = D.generation_dispatch(stepped_demand(t), store=STEPS, per=["series_id", "day"])
+    return solved.groupBy("series_id", "day", "status").agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.sum(F.when(F.col("status") == "optimal", F.col("cost"))).alias("total_cost"),
+    )
+
+
+@query("series_id:s day:d hours:l status:s total_cost:x4", series=SERIES)
 def dispatch_feasibility(t):
-    rows = t["silver_demand_weather"].withColumn("demand_mw", F.col("demand_mw") * 6)
-    costs = D.dispatch_feasibility(rows)
-    return costs.withColumn("cost", F.when(F.col("status") == "optimal", F.col("cost")))
+    costs = D.dispatch_feasibility(stepped_demand(t), store=STEPS, per=["series_id", "day"])
+    return costs.groupBy("series_id", "day", "status").agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.sum(F.when(F.col("status") == "optimal", F.col("cost"))).alias("total_cost"),
+    )
+
+
+@query("series_id:s hours:l differing:l", series=SERIES)
+def dispatch_feasibility_agrees(t):
+    """Between 1,500 and 1,900 MW, with the usual store: the same status from both operators."""
+    rows = stepped_demand(t).withColumn("demand_mw", F.col("demand_mw") % 400 + 1500)
+    per = ["series_id", "day"]
+    a = D.dispatch_feasibility(rows, per=per).select(*per, HOUR, F.col("status").alias("a"))
+    b = D.generation_dispatch(rows, per=per).select(*per, HOUR, F.col("status").alias("b"))
+    both = a.join(b, [*per, HOUR], "full")
+    return both.groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("hours"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("differing")
+    )
 
 
 @query(
@@ -787,6 +855,31 @@ def actual_vs_forecast(t):
     return S.actual_vs_forecast(t)
 
 
+@query(f"kind:s {HOUR}:ts value:x yhat_lower:x yhat_upper:x now_boundary:ts")
+def actual_vs_forecast_runs(t):
+    """Three stored runs: only the newest one is drawn."""
+    return S.actual_vs_forecast(Replaced(t, gold_forecasts=t.forecasts_shifted_runs()))
+
+
+@query(f"{HOUR}:s yhat:x yhat_lower:x yhat_upper:x")
+def forecast_horizon_view_runs(t):
+    """Three stored runs: each hour from the newest run that has it."""
+    return S.forecast_horizon_view(Replaced(t, gold_forecasts=t.forecasts_shifted_runs()), AS_OF)
+
+
+@query("avg_demand:x peak_demand:x min_demand:x data_points:l")
+def forecast_cards_runs(t):
+    return S.forecast_cards(Replaced(t, gold_forecasts=t.forecasts_shifted_runs()), AS_OF)
+
+
+@query(
+    "total_charge_mwh:x total_discharge_mwh:x avg_soc_mwh:x total_profit:x2 avg_price:x"
+    " round_trip_pct:x data_points:l",
+)
+def dispatch_cards_runs(t):
+    return S.dispatch_cards(Replaced(t, gold_dispatch=t.dispatch_runs()), MID_MONTH)
+
+
 @query("profile:s position:i avg_demand_mw:x")
 def profile_exploration(t):
     return S.profile_exploration(t)
@@ -805,6 +898,14 @@ def forecast_run_summary(t):
     return S.forecast_run_summary(t)
 
 
+@query(
+    "forecast_start:ts forecast_end:ts avg_forecast_mw:x max_forecast_mw:x min_forecast_mw:x"
+    " forecast_points:l min_actual_mw:x max_actual_mw:x"
+)
+def forecast_run_summary_runs(t):
+    return S.forecast_run_summary(Replaced(t, gold_forecasts=t.forecasts_shifted_runs()))
+
+
 _LOADED = "row_count:l first_hour:ts last_hour:ts min_value:x max_value:x"
 
 

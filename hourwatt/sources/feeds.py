@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourwatt.functions import numbers as N
@@ -46,6 +47,23 @@ def parse_demand(rows: DataFrame, series: str = "respondent") -> DataFrame:
     )
 
 
+def rejected(rows: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """(table_name, rows_landed, rows_rejected): rows whose time cannot be read are rejected."""
+    return rows.agg(
+        F.lit(name).alias("table_name"),
+        F.count(F.lit(1)).alias("rows_landed"),
+        F.count_if(parsed.isNull()).alias("rows_rejected"),
+    )
+
+
+def rejected_demand(rows: DataFrame) -> DataFrame:
+    return rejected(rows, TM.feed_hour(F.col("period")), "bronze_demand")
+
+
+def rejected_weather(rows: DataFrame) -> DataFrame:
+    return rejected(rows, F.col("DATE").try_cast("timestamp"), "bronze_weather")
+
+
 def read_demand_json(
     spark: SparkSession,
     path: str,
@@ -99,12 +117,16 @@ def read_weather_json(
 
 
 def first_non_empty(*candidates: Callable[[], DataFrame]) -> DataFrame:
-    """The first source that can be read and has rows; the last one is returned as it is."""
+    """The first source that exists and has rows; the last one is returned as it is.
+
+    Only a path that is not there counts as absent. Any other failure is raised.
+    """
     for candidate in candidates[:-1]:
         try:
             found = candidate()
             if not found.isEmpty():
                 return found
-        except Exception as problem:  # an unreadable feed is what the fallback is for
-            print(f"source skipped: {str(problem).splitlines()[0]}")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
     return candidates[-1]()

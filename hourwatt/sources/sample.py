@@ -151,6 +151,38 @@ class SampleTables(Mapping):
         )
         return first.unionByName(second)
 
+    def forecasts_shifted_runs(self) -> DataFrame:
+        """Three nights, a day apart: the first without ``created_at``, the others with the same one."""
+        nights = [("run-1", 0, 1.0, None), ("run-2", 1, 1.1, CREATED), ("run-3", 2, 1.2, CREATED)]
+        rows = []
+        for run, days, factor, created in nights:
+            rows.append(
+                self["gold_forecasts"].withColumns(
+                    {
+                        HOUR: F.col(HOUR) + F.expr(f"INTERVAL {days} DAY"),
+                        **{c: F.col(c) * factor for c in ("yhat", "yhat_lower", "yhat_upper")},
+                        "run_id": F.lit(run),
+                        "created_at": TM.at(created) if created else F.lit(None).cast("timestamp"),
+                    }
+                )
+            )
+        return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+    def dispatch_runs(self) -> DataFrame:
+        """An old run without ``created_at``, then a run of two batteries 40 days later."""
+        old = self["gold_dispatch"].withColumn("created_at", F.lit(None).cast("timestamp"))
+        new = self["gold_dispatch"].withColumns(
+            {
+                HOUR: F.col(HOUR) + F.expr("INTERVAL 40 DAY"),
+                "run_id": F.lit("run-2"),
+                "soc_mwh": F.col("soc_mwh") / 2,
+            }
+        )
+        other = new.withColumns(
+            {"scenario_id": F.lit("other"), "charge_mwh": F.col("charge_mwh") / 4}
+        )
+        return old.unionByName(new).unionByName(other)
+
     def _gold_dispatch(self) -> DataFrame:
         def total(kind: str) -> Column:
             return F.sum(F.when(F.col("event_type") == kind, F.col("value")).otherwise(0.0))

@@ -18,6 +18,7 @@ from hourwatt.operators.keys import latest_per_key
 from hourwatt.schemas import KEYS, SCHEMAS
 
 DAY = "event_date"
+FIRST = f"v{1:012d}"
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -44,8 +45,18 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def versions(self, table: str) -> list[str]:
+        """Complete versions of the table, oldest first: a folder each, marked when it was done."""
+        files, path = self._hadoop(f"{self.root}/{table}")
+        if not files.exists(path):
+            return []
+        names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+        done = [n for n in names if files.exists(self._hadoop(f"{self.root}/{table}/{n}/_SUCCESS")[1])]
+        return sorted(n for n in done if n.startswith("v"))
+
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        """The newest version, or the place of the first one."""
+        return f"{self.root}/{table}/{(self.versions(table) or [FIRST])[-1]}"
 
     def _hadoop(self, path: str):
         sc = self.spark.sparkContext
@@ -53,12 +64,16 @@ class TableStore:
         return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
 
     def exists(self, table: str) -> bool:
-        files, path = self._hadoop(self.path(table))
-        return files.exists(path)
+        return bool(self.versions(table))
+
+    def read(self, table: str, or_empty: bool = False) -> DataFrame:
+        """The table with its ``event_date`` column.
 
-    def read(self, table: str) -> DataFrame:
-        """The table with its ``event_date`` column, or no rows if it was never written."""
+        A table that was never written is an error, unless the caller takes no rows for it.
+        """
         if not self.exists(table):
+            if not or_empty:
+                raise FileNotFoundError(f"no table {table} below {self.root}")
             return self.spark.createDataFrame([], _with_day(table))
         return self.spark.read.schema(_with_day(table)).parquet(self.path(table))
 
@@ -79,15 +94,24 @@ class TableStore:
         return df.hint("rebalance", F.col(DAY)).sortWithinPartitions(DAY, *KEYS[table])
 
     def append(self, df: DataFrame, table: str) -> int:
+        if not self.exists(table):
+            return self.replace(df, table)
         return self._write(df, table, self.path(table))
 
     def replace(self, df: DataFrame, table: str) -> int:
-        """Full rebuild: the new folder is complete before it takes the place of the old one."""
-        staged, rows = self._stage(df, table)
-        files, path = self._hadoop(self.path(table))
-        files.delete(path, True)
-        if not files.rename(self._hadoop(staged)[1], path):
-            raise OSError(f"could not move {staged} to {path}")
+        """Full rebuild as a new version, which counts from the moment its last file is written.
+
+        Readers see the old version or the new one, never none. The version before stays for
+        readers that have begun; older ones go.
+        """
+        have = self.versions(table)
+        number = int(have[-1][1:]) + 1 if have else int(FIRST[1:])
+        folder = f"{self.root}/{table}/v{number:012d}"
+        files, unfinished = self._hadoop(folder)
+        files.delete(unfinished, True)  # what a lost run left of the same version
+        rows = self._write(df, table, folder)
+        for old in have[:-1]:
+            files.delete(self._hadoop(f"{self.root}/{table}/{old}")[1], True)
         return rows
 
     def refresh(self, df: DataFrame, table: str, newest: str | None = None) -> int:
@@ -100,19 +124,22 @@ class TableStore:
         new = self.spark.read.schema(_with_day(table)).parquet(staged)
         first, last = new.agg(F.min(DAY), F.max(DAY)).first()
         if first is not None:
-            old = self.read(table).where(F.col(DAY).between(F.lit(first), F.lit(last)))
+            old = self.read(table, or_empty=True).where(F.col(DAY).between(F.lit(first), F.lit(last)))
             old = old.join(new.select(DAY).distinct(), DAY, "left_semi")
             loaded = F.unix_micros(newest) if newest else F.lit(0)
             order = F.coalesce(loaded, F.lit(0)) * 2  # one number: load time, then new before old
             both = new.withColumn("_order", order + 1).unionByName(old.withColumn("_order", order))
             merged = latest_per_key(both, KEYS[table], ["_order"]).drop("_order")
-            (
-                self._by_day(merged, table)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(DAY)
-                .parquet(self.path(table))
-            )
+            if self.exists(table):
+                (
+                    self._by_day(merged, table)
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy(DAY)
+                    .parquet(self.path(table))
+                )
+            else:
+                self.replace(merged, table)
         files, path = self._hadoop(staged)
         files.delete(path, True)
         return rows

@@ -172,6 +172,28 @@ def test_dispatch_horizon_and_profit(spark):
     assert bids == 0
 
 
+def test_every_hour_has_a_plan_by_default(spark):
+    assert D.battery_dispatch(prices(spark, 100)).count() == 2 * 3 * 100
+    loads = prices(spark, 100).withColumn("demand_mw", F.lit(500.0))
+    assert D.generation_dispatch(loads).count() == 200
+
+
+def test_gold_rows_solve_once_and_sum_their_profits(spark):
+    rows = D.gold_dispatch_rows(prices(spark), "run", F.current_timestamp())
+    for r in rows.groupBy("series_id", "scenario_id").agg(
+        F.sum("hour_profit").alias("s"), F.max("expected_profit").alias("t")
+    ).collect():
+        assert r.s == pytest.approx(r.t)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_impossible_horizons_cost_infinitely_much(spark):
+    loads = prices(spark, 4).withColumn("demand_mw", F.when(F.col("series_id") == "a", 1700.0).otherwise(100.0))
+    for r in D.dispatch_feasibility(loads).collect():
+        assert (r.status, r.cost == float("inf")) == (("infeasible", True) if r.series_id == "a" else ("optimal", False))
+
+
 def test_batteries_of_a_table_trade_their_own_series(spark):
     fleet = spark.createDataFrame(
         [("a", "one", 10.0, 5.0, 0.9, 0.9, 0.01)],

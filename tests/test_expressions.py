@@ -24,6 +24,12 @@ def test_feed_hour(spark, text, hour):
     assert one(spark, TM.feed_hour(F.col("t")), t=text) == hour
 
 
+def test_naive_drops_the_zone(spark):
+    at = datetime(2024, 5, 1, 7, 30)
+    assert one(spark, TM.naive(F.col("t")), t=at) == at
+    assert spark.range(1).select(TM.naive(F.current_timestamp()).alias("x")).dtypes == [("x", "timestamp_ntz")]
+
+
 @pytest.mark.parametrize(
     "text, number",
     [("abc", None), ("", None), ("1d", None), ("NaN", None), ("12.5", 12.5), ("-3e2", -300.0)],

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from hourwatt.config import EngineConfig
 from hourwatt.operators import analytics as A
+from hourwatt.operators import keys as K
 from hourwatt.operators import serving as S
 from hourwatt.operators.grid import HOUR
 from hourwatt.operators.quality import Limits, QualityError, enforce, quality_gate
 from hourwatt.plans import landing
 from hourwatt.plans.nightly import nightly
+from hourwatt.plans.registry import Replaced
 from hourwatt.schemas import KEYS, SCHEMAS
 from hourwatt.sources import feeds
 from hourwatt.sources.sample import AS_OF, SampleTables
@@ -61,6 +63,71 @@ def test_weather_feed(spark, tmp_path):
     ]
 
 
+def test_replace_keeps_readers_of_the_old_version(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.replace(demand(spark, [("a", START, 1.0, START)]), "bronze_demand")
+    old = store["bronze_demand"]
+    store.replace(demand(spark, [("a", START, 2.0, START)]), "bronze_demand")
+    assert [r.demand_mw for r in old.collect()] == [1.0]
+    assert [r.demand_mw for r in store["bronze_demand"].collect()] == [2.0]
+    half = tmp_path / "bronze_demand" / "v000000000003"  # a run that was lost while it wrote
+    half.mkdir()
+    (half / "part-0.parquet").write_text("nothing")
+    assert [r.demand_mw for r in store["bronze_demand"].collect()] == [2.0]
+    store.replace(store["bronze_demand"], "bronze_demand")
+    assert [r.demand_mw for r in store["bronze_demand"].collect()] == [2.0]
+    assert len(store.versions("bronze_demand")) == 2
+
+
+def test_rejected_rows_are_counted_and_gated(spark):
+    rows = spark.createDataFrame([("2025-09-28T16",), ("yesterday",), (None,)], "period string")
+    found = feeds.rejected_demand(rows)
+    assert tuple(found.first()) == ("bronze_demand", 3, 2)
+    tables = SampleTables(spark, "/root/testdata/sf0.001")
+    checks = quality_gate(tables, AS_OF, landed=[found])
+    failed = {r.check_name for r in checks.where("not passed").collect()}
+    assert "rejected_pct" in failed and "unsolved_hours" not in failed
+
+
+def test_unsolved_hours_fail_the_gate(spark):
+    t = SampleTables(spark, "/root/testdata/sf0.001")
+    broken = t["gold_dispatch"].withColumn("status", F.lit("infeasible"))
+    checks = quality_gate(Replaced(t, gold_dispatch=broken), AS_OF)
+    assert checks.where("check_name = 'unsolved_hours' and not passed").count() == 1
+
+
+def test_first_non_empty_raises_other_failures(spark, tmp_path):
+    def broken():
+        raise RuntimeError("disk on fire")
+
+    with pytest.raises(RuntimeError):
+        feeds.first_non_empty(broken, lambda: spark.range(3))
+
+
+def test_newest_run_survives_missing_and_equal_load_times(spark):
+    rows = [
+        ("a", START, "run-1", None, 1.0), ("a", START, "run-2", START, 2.0),
+        ("a", START, "run-3", START, None), ("b", START, "run-1", None, 5.0),
+    ]
+    df = spark.createDataFrame(
+        rows, f"series_id string, {HOUR} timestamp, run_id string, created_at timestamp, yhat double"
+    )
+    got = {r.series_id: (r.run_id, r.yhat) for r in A.newest_run(df).collect()}
+    assert got == {"a": ("run-3", None), "b": ("run-1", 5.0)}
+    assert {r.run_id for r in A.one_run(df).collect()} == {"run-3"}
+    assert A.one_run(df, "run-1").count() == 2
+    nothing = df.withColumn("created_at", F.lit(None).cast("timestamp"))
+    assert A.newest_run(nothing).where("yhat is not null").count() == 1
+
+
+def test_more_newest_rows_than_spark_cuts_by_itself(spark):
+    rows = spark.range(6000).select(
+        (F.col("id") % 2).cast("string").alias("series_id"), F.timestamp_seconds("id").alias(HOUR)
+    )
+    got = K.newest_rows(rows, 1500, ["series_id"])
+    assert got.count() == 3000 and got.agg(F.min(F.unix_timestamp(HOUR))).first()[0] == 3000
+
+
 def test_first_non_empty(spark):
     empty, full = spark.range(0), spark.range(3)
     missing = lambda: spark.read.parquet("/no/such/folder")
@@ -83,21 +150,24 @@ def demand(spark, rows):
 
 def test_refresh_keeps_the_newest_load_and_other_days(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    assert store["bronze_demand"].isEmpty()
+    with pytest.raises(FileNotFoundError):
+        store["bronze_demand"]
+    assert store.read("bronze_demand", or_empty=True).isEmpty()
     night = [START + timedelta(days=i) for i in range(3)]
     day2 = START + timedelta(days=1)
     store.refresh(
         demand(spark, [("a", START, 1.0, night[1]), ("a", day2, 2.0, night[1])]),
         "bronze_demand", "loaded_at",
     )
-    untouched = {f for f in (tmp_path / "bronze_demand/event_date=2024-01-01").iterdir()}
+    first_day = Path(store.path("bronze_demand")) / "event_date=2024-01-01"
+    untouched = set(first_day.iterdir())
     store.refresh(demand(spark, [("a", day2, 3.0, night[2])]), "bronze_demand", "loaded_at")
     assert 1 == store.refresh(
         demand(spark, [("a", day2, 9.0, night[0])]), "bronze_demand", "loaded_at"
     )
     got = store["bronze_demand"].orderBy(HOUR).collect()
     assert [r.demand_mw for r in got] == [1.0, 3.0]
-    assert untouched == {f for f in (tmp_path / "bronze_demand/event_date=2024-01-01").iterdir()}
+    assert untouched == set(first_day.iterdir())
     assert store.refresh(demand(spark, []), "bronze_demand", "loaded_at") == 0
     assert store["bronze_demand"].count() == 2
 
@@ -149,6 +219,8 @@ def test_gate_fails_on_old_or_repeated_rows(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     rows = [("a", START, 1.0, START), ("a", START, 2.0, START)]
     store.append(demand(spark, rows), "bronze_demand")
+    for name in set(SCHEMAS) - {"bronze_demand"}:
+        store.append(store.read(name, or_empty=True), name)
     checks = quality_gate(store, START + timedelta(days=30))
     failed = {(r.check_name, r.table_name) for r in checks.where("not passed").collect()}
     assert ("duplicate_keys", "bronze_demand") in failed
@@ -162,6 +234,10 @@ def test_empty_history_raises(spark, tmp_path):
     from hourwatt.plans.nightly import dispatch_to_gold, forecast_to_gold
 
     store, config = TableStore(spark, str(tmp_path)), EngineConfig(str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        forecast_to_gold(store, config, AS_OF)
+    for name in SCHEMAS:
+        store.append(store.read(name, or_empty=True), name)
     with pytest.raises(ValueError):
         forecast_to_gold(store, config, AS_OF)
     with pytest.raises(ValueError):

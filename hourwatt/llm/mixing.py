@@ -18,13 +18,13 @@ from __future__ import annotations
 
 import math
 from collections import deque
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourwatt.llm.common import WORD, fresh
+from hourwatt.llm.common import WORD, fresh, handed_over
 
 EPOCHS = 3
 COSTS = (0, 1, 4)  # of the first, second and third pass over a document
@@ -122,21 +122,31 @@ def fill(rows: list[tuple[int, int]], room: int) -> tuple[int | None, list[int]]
     return last, later
 
 
+def measured(docs: DataFrame, sources: Column, size: Column, identity: Sequence[str], seed: int) -> tuple[DataFrame, tuple[str, str, str]]:
+    """``docs`` with their membership pattern, size and seeded order, and the names of these columns."""
+    names = tuple(fresh(docs, x) for x in ("pattern", "words", "order"))
+    values = (F.sort_array(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>")))), size.cast("long"), F.xxhash64(F.lit(seed), *identity))
+    return docs.withColumns(dict(zip(names, values))), names
+
+
 def mixed_passes(
-    docs: DataFrame, sources: Column, size: Column, targets: dict[str, float], out: str,
-    identity: Sequence[str] = ("doc_id", "text"), costs: Sequence[int] = COSTS, seed: int = 17,
+    docs: DataFrame, sources: Column, size: Column, targets: dict[str, float] | Callable[[dict[tuple, int]], dict[str, float]],
+    out: str, identity: Sequence[str] = ("doc_id", "text"), costs: Sequence[int] = COSTS, seed: int = 17,
 ) -> DataFrame:
     """``docs`` with the column ``out``: how often the mix takes each document.
 
-    ``sources`` is an array of source names, ``targets`` the words wanted of each source.
+    ``sources`` is an array of source names, ``targets`` the words wanted of each source, or a
+    function that makes them from the words of each pattern.
     """
     spark = docs.sparkSession
-    pat, words, order, bucket = (fresh(docs, x) for x in ("pattern", "words", "order", "bucket"))
-    df = docs.withColumn(pat, F.sort_array(F.array_distinct(sources))).withColumn(words, size.cast("long"))
-    df = df.withColumn(order, F.xxhash64(F.lit(seed), *identity))
-    totals = df.groupBy(pat).agg(F.sum(words), F.count("*")).collect()
+    df, (pat, words, order) = measured(docs, sources, size, identity, seed)
+    bucket = fresh(df, "bucket")
+    sized = handed_over(df.select(pat, words, order), "sizes")  # texts are measured once
+    totals = sized.groupBy(pat).agg(F.sum(words), F.count("*")).collect()
     capacity = {tuple(p): int(w or 0) for p, w, _ in totals}
     rows_of = {tuple(p): n for p, _, n in totals}
+    if callable(targets):
+        targets = targets(capacity)
     flow = route({p: w for p, w in capacity.items() if w}, {s: round(t) for s, t in targets.items()}, costs)
     plan = {}
     for p, w in capacity.items():
@@ -147,7 +157,7 @@ def mixed_passes(
         return spark.createDataFrame([(list(p), *v) for p, v in values.items()], f"p array<string>, {kind}")
 
     steps = lookup(plan, "passes long, rest long, buckets long")
-    small = df.select(pat, words, order).join(F.broadcast(steps), F.col(pat) == F.col("p"))
+    small = sized.join(F.broadcast(steps), F.col(pat) == F.col("p"))
     small = small.where("rest > 0").select("p", "rest", words, order, F.pmod(order, F.col("buckets")).alias(bucket))
     sums = small.groupBy("p", bucket).agg(F.sum(words).alias("n"), F.max("rest").alias("rest"))
 
@@ -195,15 +205,16 @@ def source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), source))
 
 
-def source_sizes(docs: DataFrame, source: str = "source", text: str = "text") -> dict[str | None, int]:
-    rows = docs.groupBy(source).agg(F.sum(words_in(F.col(text)))).collect()
-    return {s: int(n or 0) for s, n in rows}
-
-
 def mix_by_weight(docs: DataFrame, out: str, source: str = "source", text: str = "text", **settings) -> tuple[DataFrame, dict, dict]:
     """``docs`` with passes by weighted targets; also the sizes and the targets of the sources."""
-    sizes = source_sizes(docs, source, text)
-    targets = weighted_targets(sizes)
-    named = {("null" if s is None else f"={s}"): t for s, t in targets.items()}
-    df = mixed_passes(docs, F.array(source_key(F.col(source))), words_in(F.col(text)), named, out, ("doc_id", text), **settings)
+    sizes: dict[str | None, int] = {}
+    targets: dict[str | None, float] = {}
+
+    def weigh(capacity: dict[tuple, int]) -> dict[str, float]:
+        sizes.update({None if p == ("null",) else p[0][1:]: n for p, n in capacity.items()})
+        targets.update(weighted_targets(sizes))
+        return {("null" if s is None else f"={s}"): t for s, t in targets.items()}
+
+    key = F.array(source_key(F.col(source)))
+    df = mixed_passes(docs, key, words_in(F.col(text)), weigh, out, ("doc_id", text), **settings)
     return df, sizes, targets

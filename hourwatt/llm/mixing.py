@@ -6,8 +6,8 @@ one before (convex repetition costs), so repetition is spread before it deepens.
 then taken in whole passes, plus a seeded selection that fills the rest of its flow.
 
 Only one row per pattern and per source reaches the driver. The selection is a bucket threshold, an order
-threshold inside the one bucket where the flow ends, and the later documents of that bucket that
-still fit. A bucket holds about sixteen times the square root of a pattern's documents.
+threshold inside the one bucket where the flow ends, and a few documents around that threshold
+whose sizes fill the rest. A bucket holds about sixteen times the square root of a pattern's documents.
 
 Null sources are a source of their own, null texts have size 0, and documents without words or
 without a target are never taken. Rows that agree in id and text are taken together. An
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from hourwatt.llm.common import WORD, fresh, handed_over
 
 EPOCHS = 3
+SWAP = 16  # documents on either side of the edge that are chosen anew
 COSTS = (0, 1, 4)  # of the first, second and third pass over a document
 
 
@@ -108,18 +109,30 @@ def route(capacity: dict[tuple, int], quota: dict, costs: Sequence[int] = COSTS)
 
 
 def fill(rows: list[tuple[int, int]], room: int) -> tuple[int | None, list[int]]:
-    """Of (order, words) pairs: the last order taken without a gap, and later ones that still fit."""
-    last, later, gap = None, [], False
-    for order, words in sorted(rows):
-        if words <= room:
-            room -= words
-            if gap:
-                later.append(order)
-            else:
-                last = order
-        else:
-            gap = True
-    return last, later
+    """Of (order, words) pairs: the last order taken without a gap, and single ones taken after it.
+
+    Documents are taken in order while they fit. Then the last ``SWAP`` taken and the next ``SWAP``
+    are chosen anew, so that together they come as near to the room as they can.
+    """
+    rows = sorted(rows)
+    taken = total = 0
+    while taken < len(rows) and total + rows[taken][1] <= room:
+        total += rows[taken][1]
+        taken += 1
+    sure = taken if taken == len(rows) else max(0, taken - SWAP)
+    last = rows[sure - 1][0] if sure else None
+    room -= sum(words for _, words in rows[:sure])
+    open_ = rows[sure : taken + SWAP]
+    reach, steps = 1, []  # bit n: some choice of the documents so far has n words
+    for _, words in open_:
+        steps.append(reach)
+        reach = (reach | reach << words) & ((2 << room) - 1)
+    left, chosen = reach.bit_length() - 1, []
+    for (order, words), before in zip(reversed(open_), reversed(steps)):
+        if not before >> left & 1:
+            chosen.append(order)
+            left -= words
+    return last, sorted(chosen)
 
 
 def measured(docs: DataFrame, sources: Column, size: Column, identity: Sequence[str], seed: int) -> tuple[DataFrame, tuple[str, str, str]]:

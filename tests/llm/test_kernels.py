@@ -143,9 +143,19 @@ def test_flow_is_maximal_and_cheapest():
 
 
 def test_fill():
-    assert M.fill([(3, 5), (1, 4), (2, 9)], 10) == (1, [3])
+    rng = random.Random(6)
     assert M.fill([], 5) == (None, [])
     assert M.fill([(1, 6)], 5) == (None, [])
+    assert M.fill([(2, 3), (1, 2)], 9) == (2, [])
+    for n in (3, 8, 40):
+        rows = [(i * 7 % 101, rng.randint(1, 30)) for i in range(n)]
+        room = sum(w for _, w in rows) // 2
+        last, later = M.fill(rows, room)
+        taken = sum(w for o, w in rows if o in later or (last is not None and o <= last))
+        best = max(
+            sum(c) for k in range(n + 1) for c in itertools.combinations([w for _, w in rows], k) if sum(c) <= room
+        ) if n < 10 else room
+        assert taken == best and not {o for o in later if last is not None and o <= last}
 
 
 def test_permutation_index_finds_equal_and_near():

@@ -180,7 +180,8 @@ def test_probabilities_sum_to_one():
         for symbol, count in single.items():
             number = symbol if isinstance(symbol, int) else S.OTHER
             chances = S.probabilities(
-                np.array([*before, number]), tree.single(np.array([*[single[b] for b in before], count])), arrays, base
+                np.array([S.START, *before, number]),
+                np.array([1.0, *tree.single(np.array([*[single[b] for b in before], count]))]), arrays, base,
             )
             total += chances[-1]
         assert total == pytest.approx(1.0)

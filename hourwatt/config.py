@@ -13,8 +13,18 @@ class EngineConfig:
     """
 
     root: str
-    respondent: str = "ERCO"  # fixed value: public balancing-authority code of the demand feed
-    feed_type: str = "D"  # fixed value: "D" marks demand rows in that feed
-    station: str = "72243012960"  # fixed value: public weather station number
+    # fixed values: public balancing-authority codes of the demand feed, the mark of its demand
+    # rows, and the number of the public weather station that stands for each authority
+    respondent: str | tuple[str, ...] = "ERCO"
+    feed_type: str = "D"
+    station: str | tuple[str, ...] = "72243012960"
     history_days: int = 365
     horizon_hours: int = 48
+
+    @property
+    def stations(self) -> dict[str, str]:
+        """The station of each respondent; one station may serve several, or all."""
+        names = (self.respondent,) if isinstance(self.respondent, str) else self.respondent
+        if isinstance(self.station, str):
+            return dict.fromkeys(names, self.station)
+        return dict(zip(names, self.station, strict=True))

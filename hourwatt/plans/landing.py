@@ -11,8 +11,12 @@ from hourwatt.sources.sample import SampleTables
 PAGE = 5000  # event numbers per page, so a page has at most this many rows
 
 
-def land_demand(t: SampleTables, respondent: str) -> str:
-    """Pages of ``{"response": {"data": [...]}}``; errors are landed as rows of another type."""
+def land_demand(t: SampleTables, respondent: str | None = None) -> str:
+    """Pages of ``{"response": {"data": [...]}}``; errors are landed as rows of another type.
+
+    Without a respondent each series is one.
+    """
+    name = F.lit(respondent) if respondent else F.col("series_id")
     rows = t.of_type("click", "error").select(
         F.floor(F.col("event_id") / PAGE).alias("page"),
         F.struct(
@@ -20,7 +24,7 @@ def land_demand(t: SampleTables, respondent: str) -> str:
             F.when(F.col("event_id") % 97 == 0, "n/a")
             .otherwise(F.col("value").cast("string"))
             .alias("value"),
-            F.lit(respondent).alias("respondent"),
+            name.alias("respondent"),
             F.when(F.col("event_type") == "click", "D").otherwise("NG").alias("type"),
         ).alias("row"),
     )
@@ -28,11 +32,12 @@ def land_demand(t: SampleTables, respondent: str) -> str:
     return _land(pages.select(F.to_json(F.struct(F.struct("data").alias("response")))), "demand")
 
 
-def land_weather(t: SampleTables, station: str) -> str:
-    """Pages that are arrays of observations."""
+def land_weather(t: SampleTables, station: str | None = None) -> str:
+    """Pages that are arrays of observations; without a station each series is one."""
+    name = F.lit(station) if station else F.col("STATION")
     rows = t.weather_raw_numbered().select(
         F.floor(F.col("event_id") / PAGE).alias("page"),
-        F.struct(F.lit(station).alias("STATION"), "DATE", "TMP", "WND").alias("row"),
+        F.struct(name.alias("STATION"), "DATE", "TMP", "WND").alias("row"),
     )
     pages = rows.groupBy("page").agg(F.collect_list("row").alias("data"))
     return _land(pages.select(F.to_json("data")), "weather")

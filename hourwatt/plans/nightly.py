@@ -35,20 +35,25 @@ def refresh_bronze(
     weather_path: str,
 ) -> None:
     """Landed demand and weather files into the bronze tables, one row per series and hour."""
-    demand = read_demand_json(spark, demand_path, config.respondent, config.feed_type)
+    demand = read_demand_json(spark, demand_path, list(config.stations), config.feed_type)
     demand = demand_clean(demand, as_of, config.history_days)
     # Several records for one hour in the same feed: one whole record, so that reruns agree.
     demand = latest_per_key(demand, ["series_id", "timestamp_hour"], ["demand_mw"])
     store.refresh(demand.withColumn("loaded_at", TM.at(as_of)), "bronze_demand", "loaded_at")
     first = (as_of - timedelta(days=config.history_days)).date()
-    weather = read_weather_json(spark, weather_path, config.station, first, as_of.date())
+    stations = sorted(set(config.stations.values()))
+    weather = read_weather_json(spark, weather_path, stations, first, as_of.date())
     store.refresh(weather_hourly(weather), "bronze_weather")
 
 
 def refresh_silver(store: TableStore, config: EngineConfig) -> None:
-    """Demand of all series beside the weather of the configured station."""
-    weather = store["bronze_weather"].where(F.col("series_id") == config.station)
-    silver = silver_build(store["bronze_demand"], weather, weather_by="hour")
+    """Demand of each series beside the weather of its station."""
+    pairs = store.spark.createDataFrame(
+        list(config.stations.items()), "series_id string, station string"
+    )  # as many rows as the configuration names
+    weather = store["bronze_weather"].withColumnRenamed("series_id", "station")
+    weather = weather.join(F.broadcast(pairs), "station").drop("station")
+    silver = silver_build(store["bronze_demand"], weather)
     store.replace(silver, "silver_demand_weather")
 
 

@@ -6,7 +6,7 @@ files of bounded size; the demand feed serves pages of at most ``FEED_LIMIT`` ro
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -26,12 +26,19 @@ def demand_feed_rows(spark: SparkSession, path: str) -> DataFrame:
     return pages.select(F.explode("response.data").alias("row")).select("row.*")
 
 
+def _one_of(column: str, wanted: str | Sequence[str]) -> Column:
+    return F.col(column).isin([wanted] if isinstance(wanted, str) else list(wanted))
+
+
 def select_feed(
-    rows: DataFrame, respondent: str | None, type: str | None, limit: int | None = None
+    rows: DataFrame,
+    respondent: str | Sequence[str] | None,
+    type: str | None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """One respondent and row type; with ``limit``, the newest rows as one request serves them."""
+    """Given respondents and row type; with ``limit``, the newest rows as one request serves them."""
     if respondent is not None:
-        rows = rows.where(F.col("respondent") == respondent)
+        rows = rows.where(_one_of("respondent", respondent))
     if type is not None:
         rows = rows.where(F.col("type") == type)
     if limit is not None:
@@ -67,7 +74,7 @@ def rejected_weather(rows: DataFrame) -> DataFrame:
 def read_demand_json(
     spark: SparkSession,
     path: str,
-    respondent: str | None = None,
+    respondent: str | Sequence[str] | None = None,
     type: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
@@ -105,14 +112,14 @@ def clean_weather(
 def read_weather_json(
     spark: SparkSession,
     path: str,
-    station: str | None = None,
+    station: str | Sequence[str] | None = None,
     start: date | None = None,
     end: date | None = None,
     keep_sentinels: bool = False,
 ) -> DataFrame:
     rows = weather_feed_rows(spark, path)
     if station is not None:
-        rows = rows.where(F.col("STATION") == station)
+        rows = rows.where(_one_of("STATION", station))
     return clean_weather(rows, start, end, keep_sentinels)
 
 

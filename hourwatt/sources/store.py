@@ -117,15 +117,26 @@ class TableStore:
     def refresh(self, df: DataFrame, table: str, newest: str | None = None) -> int:
         """Add rows, one per key: the largest ``newest`` wins, on a tie the new row.
 
-        Only days that occur in ``df`` are read and rewritten. ``df`` is computed once, into a
-        staging folder. Spark swaps the rewritten days in when all of them have been written.
+        Only days that occur in ``df`` are read, and only those with a row that the table does not
+        have yet (load times aside) are rewritten, so the same feed again rewrites nothing. ``df`` is
+        computed once, into a staging folder. Spark swaps the rewritten days in when all of them
+        have been written.
         """
         staged, rows = self._stage(df, table)
         new = self.spark.read.schema(_with_day(table)).parquet(staged)
         first, last = new.agg(F.min(DAY), F.max(DAY)).first()
         if first is not None:
             old = self.read(table, or_empty=True).where(F.col(DAY).between(F.lit(first), F.lit(last)))
-            old = old.join(new.select(DAY).distinct(), DAY, "left_semi")
+            values = [f.name for f in SCHEMAS[table] if f.name != newest]
+            have = old.select(*[F.col(c).alias(f"_{c}") for c in values])
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in values]
+            days = new.join(have, same, "left_anti").select(DAY).distinct()
+            days = [r[0] for r in days.collect()]  # the days of one load
+            if not days:
+                files, path = self._hadoop(staged)
+                files.delete(path, True)
+                return rows
+            new, old = (x.where(F.col(DAY).isin(days)) for x in (new, old))
             loaded = F.unix_micros(newest) if newest else F.lit(0)
             order = F.coalesce(loaded, F.lit(0)) * 2  # one number: load time, then new before old
             both = new.withColumn("_order", order + 1).unionByName(old.withColumn("_order", order))

@@ -199,10 +199,14 @@ def test_nightly_twice_gives_the_same_tables(spark, tmp_path):
             for n in SCHEMAS
         }
 
-    first = state()
+    def files(*names):
+        return {f for n in names for f in Path(store.path(n)).rglob("*.parquet")}
+
+    first, written = state(), files("bronze_demand", "bronze_weather")
     assert all(first.values())
     nightly(spark, config, AS_OF, *paths, limits)
     again = state()
+    assert files("bronze_demand", "bronze_weather") == written  # nothing was rewritten
     assert {n: len(v) for n, v in first.items()} == {n: len(v) for n, v in again.items()}
     for n in ("bronze_demand", "bronze_weather", "silver_demand_weather"):
         assert first[n] == again[n]
@@ -215,6 +219,25 @@ def test_nightly_twice_gives_the_same_tables(spark, tmp_path):
     assert {r.run_id for r in seen.select("run_id").distinct().collect()} == {"run-20240131T133400"}
 
 
+def test_nightly_for_many_respondents_and_stations(spark, tmp_path):
+    t = SampleTables(spark, "/root/testdata/sf0.001", 5)
+    names = ("0", "1", "2", "3", "4")
+    config = EngineConfig(str(tmp_path), respondent=names, station=("0", "1", "0", "1", "0"))
+    limits = Limits(max_missing_pct=100.0)
+    nightly(spark, config, AS_OF, landing.land_demand(t), landing.land_weather(t), limits)
+    store = TableStore(spark, config.root)
+    assert {r[0] for r in store["bronze_weather"].select("series_id").distinct().collect()} == {"0", "1"}
+    for table in ("bronze_demand", "silver_demand_weather", "gold_forecasts", "gold_dispatch"):
+        assert {r[0] for r in store[table].select("series_id").distinct().collect()} == set(names)
+    silver = store["silver_demand_weather"].select("series_id", HOUR, "temp_c")
+    shared = silver.where("series_id = '0'").join(
+        silver.where("series_id = '2'").select(HOUR, F.col("temp_c").alias("other")), HOUR
+    )
+    weather = store["bronze_weather"].where("series_id = '0' and temp_c is not null").select(HOUR)
+    seen = shared.join(weather, HOUR)
+    assert seen.count() > 10 and seen.where("not temp_c <=> other").isEmpty()
+
+
 def test_gate_fails_on_old_or_repeated_rows(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     rows = [("a", START, 1.0, START), ("a", START, 2.0, START)]

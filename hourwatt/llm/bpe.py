@@ -1,21 +1,30 @@
-"""Encoding with a public tokenizer inside tasks: stretches between plain spaces, each looked up once.
+"""Encoding with a public tokenizer inside tasks: stretches between plain blanks, each encoded once.
 
-White space separates stretches in this kind of vocabulary (it is dropped before merging), so a
-text's ids are the ids of its stretches in order. Only ASCII blanks, tabs and line ends are cut at;
-the library sees everything else.
+White space separates tokens in this kind of vocabulary (it is dropped before merging), so a
+text's ids are the ids of its stretches in order. Only ASCII white space is cut at; the library sees
+everything else. Stretches of printable ASCII are runs of letters, single digits and runs of other
+signs, as the vocabulary's own rule says, and each run goes to the library's merge model; a stretch with an
+apostrophe, a special token or anything beyond ASCII goes through the whole of the library.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from hourwatt.llm.common import task_cache
 
 VOCABULARY = "word_bpe_49k.json"
-KEPT = 300_000  # stretches a worker keeps
+KEPT = 400_000  # stretches, and as many runs, that a worker keeps
+# Printable ASCII without the apostrophe, and the runs that the vocabulary splits it into.
+_PLAIN = re.compile(r"[!-&(-~]+")
+_RUNS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -35,26 +44,51 @@ def tokenizer(path: str):
     return kept[path]
 
 
-def stretches(text: str) -> list[str]:
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+def learn(path: str, words: list[str], memo: dict[str, tuple[int, ...]]) -> None:
+    """Ids of ``words`` into ``memo``."""
+    runs = task_cache(f"runs {path}")
+    if len(runs) > KEPT:
+        runs.clear()
+    model, rest = tokenizer(path).model, []
+    for word in words:
+        if not _PLAIN.fullmatch(word) or "<|" in word:
+            rest.append(word)
+            continue
+        parts = _RUNS.findall(word.lower())
+        for run in parts:
+            if run not in runs:
+                runs[run] = tuple([t.id for t in model.tokenize(run)])
+        memo[word] = runs[parts[0]] if len(parts) == 1 else tuple(chain.from_iterable(map(runs.__getitem__, parts)))
+    for at in range(0, len(rest), 4096):
+        some = rest[at : at + 4096]
+        for word, found in zip(some, tokenizer(path).encode_batch_fast(some, add_special_tokens=False)):
+            memo[word] = tuple(found.ids)
 
 
-def learned(path: str, parts: list[list[str]]) -> dict[str, tuple[int, ...]]:
-    """Ids of every stretch in ``parts``."""
+def learned(path: str, words: list[str]) -> dict[str, tuple[int, ...]]:
+    """Ids by stretch, those of ``words`` at least."""
     memo = task_cache(f"stretches {path}")
     if len(memo) > KEPT:
         memo.clear()
     memo[""] = ()
-    new = list({w for words in parts for w in words if w not in memo})
-    for at in range(0, len(new), 4096):
-        some = new[at : at + 4096]
-        for word, found in zip(some, tokenizer(path).encode_batch_fast(some, add_special_tokens=False)):
-            memo[word] = tuple(found.ids)
+    learn(path, list(set(words).difference(memo)), memo)
     return memo
 
 
-def encode_texts(path: str, texts: list[str]) -> list[list[int]]:
-    """Ids of whole texts."""
-    parts = [stretches(t) for t in texts]
-    memo = learned(path, parts)
-    return [list(chain.from_iterable(map(memo.__getitem__, words))) for words in parts]
+def encode_texts(path: str, texts: list[str]) -> list[np.ndarray]:
+    """Ids of whole texts: their distinct stretches are looked up, their places filled in by numpy."""
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+    words = lists.flatten().dictionary_encode()
+    names = words.dictionary.to_pylist()
+    memo = learned(path, names)
+    found = [memo[w] for w in names]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+    begins = np.cumsum(sizes) - sizes
+    index = words.indices.to_numpy()
+    counts = sizes[index]
+    ends = np.cumsum(counts)
+    n = int(ends[-1]) if len(ends) else 0
+    ids = flat[np.arange(n) + np.repeat(begins[index] - (ends - counts), counts)]
+    stops = np.concatenate([[0], ends])[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
+    return np.split(ids, stops[:-1]) if len(texts) else []

@@ -72,9 +72,9 @@ class ShardWriter:
         self.stream.write(data)
         self.place += len(data)
 
-    def add(self, doc_id: str | None, ids: list[int]) -> None:
+    def add(self, doc_id: str | None, ids: np.ndarray | list[int]) -> None:
         self.documents.append((NO_ID if doc_id is None else str(doc_id).encode(), len(ids)))
-        self.waiting.append(np.array(ids, dtype=np.uint32))
+        self.waiting.append(np.asarray(ids, dtype=np.uint32))
         self.n_waiting += len(ids)
         self.n_ids += len(ids)
         if self.n_waiting >= self.block:
@@ -173,15 +173,14 @@ def write_shards(docs: DataFrame, folder: str, text: str = "text", path: str | N
         uri = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.ids"
         system, place = opened(uri)
         for big in batches:
-            for at in range(0, len(big), 256):
-                batch = big.iloc[at : at + 256]
+            for at in range(0, len(big), 1024):
+                batch = big.iloc[at : at + 1024]
                 if writer is None:
                     system.create_dir(place.rpartition("/")[0], recursive=True)
                     stream = system.open_output_stream(place)
                     writer = ShardWriter(stream, block, bits)
                 for doc_id, ids in zip(batch.doc_id, encode_texts(path, batch.text.tolist())):
-                    ids.append(end_id)
-                    writer.add(doc_id, ids)
+                    writer.add(doc_id, np.append(ids, np.uint32(end_id)))
         if writer is not None:
             writer.close()
             stream.close()

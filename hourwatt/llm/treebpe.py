@@ -67,7 +67,7 @@ class Part:
 
 def leaf(path: str, text: str, start: int, end: int) -> Part:
     words = text[start:end].translate(_TO_SPACE).split(" ")
-    memo = learned(path, [words])
+    memo = learned(path, words)
     if len(words) == 1:
         return Part(start, end, tokens_of(path, text, start, end), [], None, True)
     head = tokens_of(path, text, start, start + len(words[0])) if words[0] else None

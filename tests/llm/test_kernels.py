@@ -55,7 +55,14 @@ def test_tree_concatenation_of_long_unsplit_text():
 @given(st.lists(st.sampled_from(PIECES), max_size=40))
 def test_stretches_give_the_ids_of_the_text(parts):
     text = "".join(parts)
-    assert encode_texts(PATH, [text])[0] == library_ids(text)
+    got = encode_texts(PATH, [text, "", text, "Plain x9, (word)!"])
+    assert [g.tolist() for g in got] == [library_ids(t) for t in (text, "", text, "Plain x9, (word)!")]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x180), max_size=60))
+def test_stretches_of_any_latin_text(text):
+    assert encode_texts(PATH, [text])[0].tolist() == library_ids(text)
 
 
 def test_signatures_estimate_weighted_jaccard():

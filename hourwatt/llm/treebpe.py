@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourwatt.llm.bpe import learned, tokenizer, vocabulary_path
+from hourwatt.llm.bpe import learned, tokenizer, unpacked, vocabulary_path
 from hourwatt.llm.common import split_even, task_cache
 
 LEAF, PIECE, FIRST_WINDOW = 2048, 65_536, 24
@@ -72,7 +72,7 @@ def leaf(path: str, text: str, start: int, end: int) -> Part:
         return Part(start, end, tokens_of(path, text, start, end), [], None, True)
     head = tokens_of(path, text, start, start + len(words[0])) if words[0] else None
     tail = tokens_of(path, text, end - len(words[-1]), end) if words[-1] else None
-    ids = [i for w in words[1:-1] for i in memo[w]]
+    ids = unpacked(map(memo.__getitem__, words[1:-1]))
     return Part(start, end, head, ids, tail)
 
 

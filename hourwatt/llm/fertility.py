@@ -33,20 +33,24 @@ LEAST_WIDTH = {"chars_per_token": 0.2, "chars_per_piece": 0.2, "byte_share": 0.0
 SYMBOLS = "#*$%&|<>"
 # First and last code points of common scripts.
 SCRIPTS = (
-    ("latin", "A", "ɏ"), ("greek", "Ͱ", "Ͽ"), ("cyrillic", "Ѐ", "ӿ"), ("hebrew", "֐", "׿"),
+    ("latin", "ª", "ɏ"), ("greek", "Ͱ", "Ͽ"), ("cyrillic", "Ѐ", "ӿ"), ("hebrew", "֐", "׿"),
     ("arabic", "؀", "ۿ"), ("devanagari", "ऀ", "ॿ"), ("thai", "฀", "๿"), ("hangul", "가", "힣"),
     ("kana", "぀", "ヿ"), ("han", "一", "鿿"),
 )
 _WORDS = re.compile(WORD)
+_ASCII_LETTERS, _ASCII = re.compile("[A-Za-z]+"), re.compile(r"[\x00-\x7f]+")
 _SCRIPT = [(name, re.compile(f"[{a}-{b}]")) for name, a, b in SCRIPTS]
 
 
 def script_of(text: str) -> str:
     """The script of most letters; ``none`` without any."""
-    ascii_letters = sum(map(str.isalpha, text)) if text.isascii() else 0
-    if ascii_letters:
-        return "latin"
-    counts = {name: len(found.findall(text)) for name, found in _SCRIPT}
+    rest = _ASCII_LETTERS.sub("", text)
+    ascii_letters = len(text) - len(rest)
+    if rest.isascii():
+        return "latin" if ascii_letters else "none"
+    rest = _ASCII.sub("", rest)
+    counts = {name: len(found.findall(rest)) for name, found in _SCRIPT}
+    counts["latin"] += ascii_letters
     best = max(counts, key=lambda k: counts[k])
     return best if counts[best] else "none"
 

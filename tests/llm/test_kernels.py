@@ -210,3 +210,10 @@ def test_toxic_features():
     masked = dict(zip(TX.NAMES, TX.features("what an id1ot", {}, {})))
     assert masked["unmasked_hits"] > 0 and masked["obfuscated"] > 0
     assert TX.features("", {}, {}) == [0.0] * len(TX.NAMES)
+
+
+def test_scripts():
+    from hourwatt.llm.fertility import script_of
+
+    texts = ("abc", "123 ...", "élan vital", "Привет мир x", "日本 ok と", "", "é", "안녕하세요")
+    assert [script_of(t) for t in texts] == ["latin", "none", "latin", "cyrillic", "han", "none", "latin", "hangul"]

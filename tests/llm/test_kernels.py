@@ -215,5 +215,5 @@ def test_toxic_features():
 def test_scripts():
     from hourwatt.llm.fertility import script_of
 
-    texts = ("abc", "123 ...", "élan vital", "Привет мир x", "日本 ok と", "", "é", "안녕하세요")
+    texts = ("abc", "123 ...", "élan vital", "Привет мир x", "日本語 ok と", "", "é", "안녕하세요")
     assert [script_of(t) for t in texts] == ["latin", "none", "latin", "cyrillic", "han", "none", "latin", "hangul"]

@@ -12,8 +12,8 @@ from hourwatt.llm.quality import quality
 from hourwatt.llm.toxicity import toxicity
 from hourwatt.llm.treebpe import round_trips
 
-#: A document goes when its score says so with this certainty.
-TOXIC, BAD = 0.5, 0.5
+#: A document goes when it is toxic rather than not, or hardly good: clean documents have to stay.
+TOXIC, BAD = 0.5, 0.3
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is at least one half. All labels teach."""
+    """Documents whose quality score is not low. All labels teach."""
     out = fresh(docs, "quality")
     scored = quality(docs, table(spark, sf_dir, "labels"), F.lit(True), out)
     return scored.where(F.col(out) >= BAD).select(*docs.columns)

@@ -350,7 +350,10 @@ def residual_links(members: DataFrame, links: DataFrame, nodes: DataFrame, texts
 
 
 def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, node, class_id) for every row of ``docs``."""
+    """(doc_id, node, class_id, root) for every row of ``docs``.
+
+    ``root`` names the class, also where ids are null or repeated: its smallest node; null for wordless rows.
+    """
     signs = handed_over(signed(docs, text), "bagminhash")
     worded = F.length("signature") > 0
     nodes = signs.where(worded).groupBy("node").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands"))
@@ -373,10 +376,10 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     per_node = signs.groupBy("node").agg(F.min("doc_id").alias("low"), F.max(F.length("signature")).alias("n"))
     named = per_node.where("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     class_ids = named.groupBy("root").agg(F.min("low").alias("class_id"))
-    final = named.join(class_ids, "root").select("node", "class_id")
-    rows = signs.where(worded).select("doc_id", "node").join(final, "node").select("doc_id", "node", "class_id")
+    final = named.join(class_ids, "root").select("node", "class_id", "root")
+    rows = signs.where(worded).select("doc_id", "node").join(final, "node").select("doc_id", "node", "class_id", "root")
     blank = signs.where(F.length("signature") == 0)
-    return rows.union(blank.select("doc_id", "node", F.col("doc_id").alias("class_id")))
+    return rows.union(blank.select("doc_id", "node", F.col("doc_id").alias("class_id"), F.lit(None).cast("binary").alias("root")))
 
 
 def one_per_class(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -385,7 +388,7 @@ def one_per_class(docs: DataFrame, text: str = "text", threshold: float = THRESH
     key, mark = fresh(docs, "node"), fresh(docs, "mark")
     blank = F.coalesce(F.length(F.regexp_extract(F.coalesce(F.col(text), F.lit("")), WORD, 0)), F.lit(0)) == 0
     low = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)), F.col("node")))
-    stays = found.groupBy("class_id").agg(low.alias("best")).select(F.col("best.col1").alias(mark), F.col("best.node").alias(key))
+    stays = found.where(F.col("root").isNotNull()).groupBy("root").agg(low.alias("best")).select(F.col("best.col1").alias(mark), F.col("best.node").alias(key))
     keyed = docs.withColumn(key, node_key(F.coalesce(F.col(text), F.lit(""))))
     keyed = keyed.withColumn(mark, F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
     rank = fresh(keyed, "rank")

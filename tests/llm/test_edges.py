@@ -143,6 +143,15 @@ def test_near_duplicates(spark, docs, none):
     assert one_per_class(none).count() == 0
 
 
+def test_survivors_of_classes_without_own_ids(spark):
+    first, second, third, fourth = (" ".join(f"{c}{i}" for i in range(30)) for c in "abcd")
+    rows = [(None, first), (None, first), (None, second), (None, ""), (None, " "), (7, third), (7, fourth), (7, fourth), (7, "\n"), (8, third)]
+    kept = one_per_class(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id or 0, r.text) for r in kept)) == sorted(
+        [(0, first), (0, second), (0, ""), (0, " "), (7, third), (7, fourth), (7, "\n")]
+    )
+
+
 def test_large_group_of_near_copies_is_one_class(spark):
     base = [f"w{i}" for i in range(120)]
     rows = []

@@ -1,9 +1,10 @@
 """Licence scans by a positional index of rare words, with DataFrame functions only.
 
 Templates are sentences of well-known licences. A text's licence words are the words of the
-templates, weighed by inverse document frequency over the corpus. Each text looks its highest-weighted
-ones up in the postings (word, template, position); a posting votes for the place where the template
-would begin, and places with enough votes are checked for the template's mandatory phrase.
+templates, weighed by inverse document frequency over the corpus. Each template is posted under its
+highest-weighted words (word, template, position), as many as leave no place with enough of its words
+without a posting; a posting proposes the place where the template would begin. There all of its words are
+counted, and places with enough of them are checked for the template's mandatory phrase.
 Base phrases are postings like any other: each place of a phrase is found from its rarest word
 and verified word by word.
 
@@ -68,7 +69,6 @@ COMMON = frozenset(
     " under use version with work you".split()
 )
 LEAST_SHARE = 0.6  # of a template's words that must stand in place
-RAREST = 48  # licence words a text looks up for templates
 
 
 def words_of(text: Column) -> Column:
@@ -83,7 +83,7 @@ def _phrase_at(words: Column, start: Column, phrase: Column) -> Column:
 
 def scan(
     docs: DataFrame, text: str = "text", base: Mapping[str, str] = BASE,
-    templates: Mapping[str, tuple[str, str]] = TEMPLATES, rarest: int = RAREST, least_share: float = LEAST_SHARE,
+    templates: Mapping[str, tuple[str, str]] = TEMPLATES, least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row.
 
@@ -111,23 +111,21 @@ def scan(
     n_docs = rows.count()
     weights = {w: math.log((n_docs + 1) / n) for w, n in counts}
     rank = {w: k for k, w in enumerate(sorted(licence_words, key=lambda w: (-weights.get(w, 99.0), w)))}
-    postings = [
-        (w, label, i, len(ws), ws, must, kind == "base")
-        for label, kind, ws, must in index
-        for i, w in enumerate(ws)
-        if kind == "template" or i == min(range(len(ws)), key=lambda k: rank[ws[k]])
-    ]  # a base phrase is posted under its rarest word alone
+    # A base phrase is posted under its rarest word alone. With the least number of words in place, a template
+    # lacks size - least of them, so one of any size - least + 1 is in place.
+    postings = []
+    for label, kind, ws, must in index:
+        least = max(1, math.ceil(least_share * len(ws) - 1e-9)) if kind == "template" else len(ws)
+        for i in sorted(range(len(ws)), key=lambda k: rank[ws[k]])[: len(ws) - least + 1]:
+            postings.append((ws[i], label, i, len(ws), ws, must, kind == "base"))
     posted = spark.createDataFrame(
         postings, "w string, label string, at int, size int, phrase array<string>, must array<string>, base boolean"
     )  # as many rows as the templates have words
-    order = F.create_map(*[F.lit(x) for w, k in rank.items() for x in (w, k)])
-    rare = F.slice(F.array_sort(F.transform("kinds", lambda w: order[w])), 1, rarest)
-    spots = F.filter(
-        F.transform(words, lambda w, i: F.struct(order[w].alias("k"), w.alias("w"), i.alias("i"))), lambda x: x["k"].isNotNull()
-    )
+    posted_words = sorted({p[0] for p in postings})
+    spots = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(posted_words))
     texts = rows.where(words.isNotNull())
     place = (F.col("spot.i") - F.col("at")).alias("place")
-    looked_up = texts.select("row", "words", rare.alias("rare"), F.explode(spots).alias("spot")).join(
+    looked_up = texts.select("row", "words", F.explode(spots).alias("spot")).join(
         F.broadcast(posted), F.col("spot.w") == F.col("w")
     )
     # Base phrases: every place, whatever else the text holds.
@@ -140,19 +138,17 @@ def scan(
             F.max("place").cast("long").alias("last_word"), F.collect_set("label").alias("base_set"),
         )
     )
-    # Templates: the rarest kinds of licence words vote for the place where the template begins.
-    votes = (
-        looked_up.where(~F.col("base") & F.array_contains("rare", F.col("spot.k")))
-        .select("row", "label", "size", "must", place)
-        .groupBy("row", "label", "size", "must", "place")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= least_share * F.col("size"))
+    # Templates: each proposed place is counted word by word.
+    in_place = F.filter(
+        F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.get(words, F.col("place") + i) == F.get(F.col("phrase"), i)
     )
     inside = F.sequence(F.greatest(F.col("place"), F.lit(0)), F.greatest(F.col("place") + F.col("size") - F.size("must"), F.lit(0)))
     near = F.exists(inside, lambda k: F.slice(words, k + 1, F.size("must")) == F.col("must"))
     found = (
-        votes.join(texts.select("row", "words"), "row")
-        .where(near)
+        looked_up.where(~F.col("base"))
+        .select("row", "words", "label", "size", "phrase", "must", place)
+        .withColumn("n", F.size(in_place))
+        .where((F.col("n") >= least_share * F.col("size")) & near)
         .groupBy("row")
         .agg(F.collect_set("label").alias("label_set"), F.max(F.col("n") / F.col("size")).alias("share"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from hourwatt.llm.bagminhash import classes, one_per_class
 from hourwatt.llm.fertility import judged
-from hourwatt.llm.licences import scan
+from hourwatt.llm.licences import TEMPLATES, scan
 from hourwatt.llm.mixing import mix_by_weight, mixed_passes, words_in
 from hourwatt.llm.permindex import neighbours
 from hourwatt.llm.quality import quality
@@ -130,6 +130,13 @@ def test_licence_templates(spark):
     assert {"mit-grant", "mit-notice", "apache", "mit"} <= set(row.labels.split(","))
 
 
+def test_text_with_all_licence_templates(spark):
+    notices = "\n\n".join(f"part {i}: {sentence}." for i, (sentence, _) in enumerate(TEMPLATES.values()))
+    rows = [(1, notices), *((i, "Ordinary notes, nothing else in them.") for i in range(2, 40))]
+    row = scan(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).where("doc_id = 1").first()
+    assert set(TEMPLATES) <= set(row.labels.split(","))
+
+
 def test_near_duplicates(spark, docs, none):
     rows = classes(docs).collect()
     by_id = {r.doc_id: r.class_id for r in rows if r.doc_id is not None}

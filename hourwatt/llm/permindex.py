@@ -1,6 +1,7 @@
 """Approximate nearest neighbours by a permutation index, for the largest inner product.
 
-Every vector is represented by the order in which it meets a set of pivots, nearest first. Pivot
+Every vector is represented by the order in which it meets a set of pivots, nearest first. Pivots are chosen
+farthest first in a seeded sample of ``PIVOT_SAMPLE`` distinct vectors, so a cluster of near copies gives few. Pivot
 inverted files hold, per pivot, the vectors with the pivot's place in their order. A query looks up its
 nearest pivots, sums up the differences of places (Spearman's footrule), and the vectors of
 smallest sums are ranked again by the exact inner product.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from hourwatt.llm.common import handed_over
 
-PIVOTS, LOOKED_UP, CANDIDATE_SHARE, LEAST_CANDIDATES = 256, 64, 0.08, 400
+PIVOTS, PIVOT_SAMPLE, LOOKED_UP, CANDIDATE_SHARE, LEAST_CANDIDATES = 256, 4_096, 128, 0.08, 400
 INDEX_BLOCK, QUERY_BLOCK = 16_384, 4_096
 
 
@@ -52,6 +53,16 @@ def orders(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable").astype(np.int16)
 
 
+def spread_out(sample: np.ndarray, n: int) -> np.ndarray:
+    """``n`` rows of ``sample``: the first, then always the one farthest from those chosen."""
+    chosen = [0]
+    nearest = ((sample - sample[0]) ** 2).sum(axis=1)
+    while len(chosen) < min(n, len(sample)):
+        chosen.append(int(nearest.argmax()))
+        nearest = np.minimum(nearest, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+    return sample[chosen]
+
+
 class InvertedFiles:
     """Per pivot, the place that each vector of the block gives it."""
 
@@ -93,7 +104,7 @@ def neighbours(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every query, other rows than its own.
 
-    ``is_query`` is a condition on the column ``id``. Pivots are ``n_pivots`` seeded vectors.
+    ``is_query`` is a condition on the column ``id``. ``n_pivots`` pivots are spread over a seeded sample.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
@@ -111,8 +122,8 @@ def neighbours(
     n_distinct = distinct.count()
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     longest = distinct.agg(F.max(length)).first()[0]
-    picked = distinct.orderBy(F.xxhash64(F.lit(seed), "group")).limit(n_pivots).select("v").collect()
-    pivots = lengthened(np.array([r.v for r in picked]), longest)
+    picked = distinct.orderBy(F.xxhash64(F.lit(seed), "group")).limit(max(n_pivots, PIVOT_SAMPLE)).select("v").collect()
+    pivots = spread_out(lengthened(np.array([r.v for r in picked]), longest), n_pivots)
     asking = rows.where(is_query).select("group", F.col("id").alias("query_id")).distinct()
     queries = asking.select("group").distinct().join(distinct.select("group", "v"), "group")
     asked_for = handed_over(queries, "queries")

@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, columns with clashing names."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +189,27 @@ def test_neighbours(spark):
     assert neighbours(df.where("vec_id < 3"), F.col("id") == 0, 5).count() == 2
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_recall_with_many_near_copies(spark, hot):
+    rng = np.random.default_rng(3)
+    spots = rng.normal(size=(2000, 64))
+    n, copies = 12_288, 4_096 if hot else 0
+    x = np.vstack([
+        spots[rng.integers(0, 2000, n - copies)] + 0.3 * rng.normal(size=(n - copies, 64)),
+        spots[7] + 0.02 * rng.normal(size=(copies, 64)),
+    ])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(n), "embedding": x.tolist()}))
+    found = {}
+    for r in neighbours(df, F.col("id") % 24 == 0, 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    shares = {}
+    for i in range(0, n, 24):
+        best = [k for k in np.argsort(-(x @ x[i]))[:21].tolist() if k != i][:20]
+        shares.setdefault(i >= n - copies, []).append(len(found[i].intersection(best)) / 20)
+    assert all(np.mean(some) >= 0.9 for some in shares.values())
+
+
 def test_pipeline_stages(spark, docs, none, labels, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     for frame in (docs, none):

@@ -118,14 +118,14 @@ def fit(
             sample.where(build & (F.col("label") == y))
             .orderBy("pick", "text")
             .select(part.alias("part"))
-            .limit(sample_bytes // 2000)
             .toLocalIterator()
         )
         texts[y], total = [], 0
         for (t,) in rows:
-            if total < sample_bytes:
-                texts[y].append(t)
-                total += len(t.encode("utf-8", "replace"))
+            texts[y].append(t)
+            total += len(t.encode("utf-8", "replace"))
+            if total >= sample_bytes:
+                break
     if not any(texts[0]) or not any(texts[1]):
         return QualityModel(b"", b"", None)
     good, bad = build_dictionary(texts[1], dictionary_size), build_dictionary(texts[0], dictionary_size)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from hourwatt.llm import quality as quality_module
 from hourwatt.llm.bagminhash import classes, one_per_class
 from hourwatt.llm.fertility import judged
 from hourwatt.llm.licences import TEMPLATES, scan
@@ -61,6 +62,16 @@ def test_classifiers(spark, docs, none, labels, operator):
     assert operator(docs, labels.limit(0), F.lit(True), "result").count() == 14
 
 
+def test_short_texts_fill_the_quality_sample(spark, monkeypatch):
+    rows = [(i, f"{'good' if i % 2 else 'bad'} text {i} " + " ".join(f"w{i * k % 977}" for k in range(40))) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    sizes, build = [], quality_module.build_dictionary
+    monkeypatch.setattr(quality_module, "build_dictionary", lambda texts, size: (sizes.append(sum(map(len, texts))), build(texts, size))[1])
+    quality_module.fit(docs, labels, F.lit(True), sample_bytes=50_000)
+    assert len(sizes) == 2 and all(50_000 <= n < 51_000 for n in sizes)
+
+
 def test_mixing(spark, docs, none):
     mixed, sizes, targets = mix_by_weight(docs, "result")
     rows = mixed.collect()

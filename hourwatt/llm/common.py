@@ -39,6 +39,28 @@ def handed_over(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+class Scratch:
+    """Hand-over tables of one run, below one folder that is dropped when the run has its result."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.folder, self.number = spark, new_folder(spark, label), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written below the folder and read back."""
+        self.number += 1
+        path = f"{self.folder}/{self.number}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self, result: DataFrame, label: str) -> DataFrame:
+        """The result handed over on its own; everything before it is deleted."""
+        out = handed_over(result, label)
+        jvm, sc = self.spark._jvm, self.spark.sparkContext
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        return out
+
+
 def split_even(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Rows dealt by a hash of ``keys``, into as many tasks as shuffles have."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

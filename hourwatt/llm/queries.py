@@ -7,17 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourwatt.llm import oracles
 from hourwatt.llm.bagminhash import classes
+from hourwatt.llm.collocations import collocations
 from hourwatt.llm.common import id_crc, table
 from hourwatt.llm.fertility import judged
 from hourwatt.llm.licences import scan
 from hourwatt.llm.mixing import mix_by_weight, words_in
+from hourwatt.llm.packing import packing
 from hourwatt.llm.permindex import neighbours
 from hourwatt.llm.quality import quality
 from hourwatt.llm.suffixtree import scores
 from hourwatt.llm.tokenfile import written_and_read
 from hourwatt.llm.toxicity import toxicity
 from hourwatt.llm.treebpe import round_trips
+from hourwatt.llm.whitening import whitening
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +80,18 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening(table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -87,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fertility": op8_fertility,
     "op9_licences": op9_licences,
     "op10_bagminhash": op10_bagminhash,
+    "op11_best_fit": op11_best_fit,
+    "op12_whitening": op12_whitening,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_collocations": oracles.COLLOCATIONS}

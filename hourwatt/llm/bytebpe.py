@@ -9,7 +9,6 @@ other stretch (apostrophes, special tokens, other scripts) goes through the whol
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,57 +18,82 @@ import pyarrow.compute as pc
 from hourwatt.llm.bpe import packed, tokenizer
 from hourwatt.llm.common import task_cache
 
-KEPT, LONGEST = 300_000, 64  # stretches, and runs, that a worker keeps; characters of one that is kept
+KEPT, LONGEST = 500_000, 64  # stretches, and runs, that a worker keeps; characters of one that is kept
 _CUT = "\x01"
 _BEFORE_BLANK = r"([!-~\pL\pN])([ \n])"
 # Stretches that the rule splits into letters, digits and other signs, with the blank before them.
-_PLAIN = re.compile(r"[ \n]?[!-&(-~À-ÖØ-öø-ſ]+")
-_RUNS = re.compile(r"\n| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^ \nA-Za-z0-9À-ÖØ-öø-ſ]+")
+_PLAIN = r"^[ \n]?[!-&(-~À-ÖØ-öø-ſ]+$"
+_RUN = r"(\n| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^ \nA-Za-z0-9À-ÖØ-öø-ſ]+)"
 # The byte alphabet: visible Latin-1 characters stand for themselves, other bytes are numbered from 256 on.
 _SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _ALPHABET = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_SELF)))}
+_BLANK = {" ": chr(_ALPHABET[32]), "\n": chr(_ALPHABET[10])}
 
 
-def _learn(path: str, stretches: list[str], memo: dict[str, bytes]) -> None:
-    runs, model, rest = task_cache(f"byte runs {path}"), tokenizer(path).model, []
-    if len(runs) > KEPT:
-        runs.clear()
-    for stretch in stretches:
-        if len(stretch) > LONGEST or "<|" in stretch or not _PLAIN.fullmatch(stretch):
-            rest.append(stretch)
-            continue
-        parts = _RUNS.findall(stretch)
-        for run in parts:
-            if run not in runs:
-                spelled = run.encode().decode("latin-1").translate(_ALPHABET)
-                runs[run] = packed([t.id for t in model.tokenize(spelled)])
-        memo[stretch] = b"".join(map(runs.__getitem__, parts))
+def _spelled(run: str) -> str:
+    """A run in the byte alphabet."""
+    if run.isascii():  # visible but for its first character
+        return _BLANK[run[0]] + run[1:] if run[0] in _BLANK else run
+    return run.encode().decode("latin-1").translate(_ALPHABET)
+
+
+def _kept(name: str) -> dict[str, bytes]:
+    memo = task_cache(name)
+    if len(memo) > KEPT:
+        memo.clear()
+    return memo
+
+
+def _by_runs(path: str, stretches: pa.Array) -> list[bytes]:
+    """Packed ids of plain stretches: their distinct runs go to the merge model."""
+    lists = pc.split_pattern(pc.replace_substring_regex(stretches, _RUN, rf"\1{_CUT}"), _CUT)
+    runs = lists.flatten().dictionary_encode()
+    names = runs.dictionary.to_pylist()
+    memo, model = _kept(f"byte runs {path}"), tokenizer(path).model
+    memo[""] = b""
+    for name in [n for n in names if n not in memo]:
+        memo[name] = packed([t.id for t in model.tokenize(_spelled(name))])
+    ids = [memo[n] for n in names]
+    parts = list(map(ids.__getitem__, runs.indices.to_numpy().tolist()))
+    ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+    return [b"".join(parts[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _learn(path: str, stretches: pa.Array) -> list[bytes]:
+    """Packed ids of distinct stretches."""
+    short = pc.less_equal(pc.utf8_length(stretches), LONGEST)
+    plain = pc.and_(short, pc.match_substring_regex(stretches, _PLAIN))
+    plain = pc.and_(plain, pc.invert(pc.match_substring(stretches, "<|"))).to_numpy(zero_copy_only=False)
+    out: list[bytes] = [b""] * len(stretches)
+    for i, ids in zip(np.flatnonzero(plain).tolist(), _by_runs(path, stretches.filter(pa.array(plain)))):
+        out[i] = ids
+    rest = np.flatnonzero(~plain)
     for at in range(0, len(rest), 1024):
         some = rest[at : at + 1024]
-        for stretch, found in zip(some, tokenizer(path).encode_batch_fast(some, add_special_tokens=False)):
-            memo[stretch] = packed(found.ids)
+        texts = stretches.take(pa.array(some)).to_pylist()
+        for i, found in zip(some.tolist(), tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)):
+            out[i] = packed(found.ids)
+    return out
 
 
 def encoded(path: str, texts: pa.Array) -> Iterator[np.ndarray]:
     """Ids of each text; nulls count as empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if pc.any(pc.match_substring(texts, _CUT)).as_py():  # the mark itself occurs: leave such texts whole
-        marked = pc.replace_substring_regex(texts, _BEFORE_BLANK, rf"\1{_CUT}\2")
-        marked = pc.if_else(pc.match_substring(texts, _CUT), pa.scalar("", pa.large_string()), marked)
+    marked, whole = pc.replace_substring_regex(texts, _BEFORE_BLANK, rf"\1{_CUT}\2"), {}
+    with_mark = pc.match_substring(texts, _CUT)
+    if pc.any(with_mark).as_py():  # the mark itself occurs: such texts stay whole
+        marked = pc.if_else(with_mark, pa.scalar("", pa.large_string()), marked)
         whole = {i: t for i, t in enumerate(texts.to_pylist()) if _CUT in t}
-    else:
-        marked, whole = pc.replace_substring_regex(texts, _BEFORE_BLANK, rf"\1{_CUT}\2"), {}
     lists = pc.split_pattern(marked, _CUT)
     flat = lists.flatten().dictionary_encode()
     names = flat.dictionary.to_pylist()
-    memo = task_cache(f"byte stretches {path}")
-    if len(memo) > KEPT:
-        memo.clear()
-    new = [n for n in names if n not in memo]
-    extra: dict[str, bytes] = {}  # long stretches do not stay
-    _learn(path, [n for n in new if len(n) <= LONGEST], memo)
-    _learn(path, [n for n in new if len(n) > LONGEST], extra)
-    ids = [memo[n] if len(n) <= LONGEST else extra[n] for n in names]
+    memo = _kept(f"byte stretches {path}")
+    ids = list(map(memo.get, names))
+    new = [i for i, found in enumerate(ids) if found is None]
+    for i, found in zip(new, _learn(path, flat.dictionary.take(pa.array(new, pa.int64())))):
+        ids[i] = found
+        if len(names[i]) <= LONGEST:
+            memo[names[i]] = found
     parts = list(map(ids.__getitem__, flat.indices.to_numpy().tolist()))
     ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
     for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):

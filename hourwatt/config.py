@@ -20,6 +20,8 @@ class EngineConfig:
     station: str | tuple[str, ...] = "72243012960"
     history_days: int = 365
     horizon_hours: int = 48
+    # Read each landed file once and keep broken ones apart, instead of the whole folder each night.
+    ledger: bool = False
 
     @property
     def stations(self) -> dict[str, str]:

@@ -1,4 +1,4 @@
-"""Fit of one series: the per-group part of the additive forecast."""
+"""Fit of one series from sums over its rows: the numeric part of the additive forecast."""
 
 from __future__ import annotations
 
@@ -39,29 +39,43 @@ def _design(hours, first, span, model: Model):
     return np.column_stack(columns), np.array(widths)
 
 
-def fit_and_extend(hours, values, weights, horizon: int, model: Model) -> pd.DataFrame:
-    """Fitted values and band for the ``horizon`` hours after the last one."""
-    h = hours.to_numpy(dtype=float)
-    y, w = values.to_numpy(dtype=float), weights.to_numpy(dtype=float)
-    first, span = h.min(), max(h.max() - h.min(), 1.0)
-    scale = np.abs(y).max() or 1.0
-    x, widths = _design(h, first, span, model)
+def shape_of(first: float, last: float) -> tuple[float, float]:
+    """Where the trend begins and how long it is."""
+    return first, max(last - first, 1.0)
+
+
+def sums(hours, values, weights, first: float, last: float, scale: float, model: Model) -> np.ndarray:
+    """Weighted sums of feature products of some rows: adding those of parts gives those of the whole.
+
+    The product matrix row by row, then products with the values, the values' squares, the weight.
+    """
+    x, _ = _design(np.asarray(hours, float), *shape_of(first, last), model)
+    y, w = np.asarray(values, float) / scale, np.asarray(weights, float)
     weighted = x * w[:, None]
-    gram, right = weighted.T @ x, weighted.T @ (y / scale)
+    return np.concatenate([(weighted.T @ x).ravel(), weighted.T @ y, [(w * y * y).sum(), w.sum()]])
+
+
+def solve_and_extend(
+    total, first: float, last: float, scale: float, horizon: int, model: Model
+) -> pd.DataFrame:
+    """Fitted values and band for the ``horizon`` hours after the last one, from the sums alone."""
+    ahead = np.arange(1, horizon + 1) + int(last)
+    x, widths = _design(ahead.astype(float), *shape_of(first, last), model)
+    total, p = np.asarray(total), len(widths)
+    gram, right = total[: p * p].reshape(p, p), total[p * p : p * p + p]
+    squares, weight = total[-2:]
 
     def solve(penalty):
         return np.linalg.lstsq(gram + np.diag(penalty), right, rcond=1e-12)[0]
 
     def spread(beta):
-        rest = y / scale - x @ beta
-        return np.sqrt((w * rest * rest).sum() / max(w.sum() - x.shape[1], 1.0))
+        rest = squares - 2 * beta @ right + beta @ gram @ beta
+        return np.sqrt(max(rest, 0.0) / max(weight - p, 1.0))
 
-    beta = solve(np.zeros(x.shape[1]))
+    beta = solve(np.zeros(p))
     if model.shrink:  # penalties that match normal priors at the noise level just seen
         beta = solve(spread(beta) ** 2 / widths**2)
-    ahead = np.arange(1, horizon + 1) + hours.max()
-    yhat = _design(ahead.astype(float), first, span, model)[0] @ beta * scale
-    half = BAND_Z * spread(beta) * scale
+    yhat, half = x @ beta * scale, BAND_Z * spread(beta) * scale
     return pd.DataFrame(
         {"_h": ahead, "yhat": yhat, "yhat_lower": yhat - half, "yhat_upper": yhat + half}
     )

@@ -24,6 +24,7 @@ ALL_TABLES = (*CORE_TABLES, "gold_forecasts", "gold_dispatch")
 FULL_DAY = 20  # fixed value: readings that make a day count as complete
 OUTLIER_Z = 3.0  # fixed value
 DAY_ROWS, WEEK_ROWS, MONTH_ROWS = 24, 168, 720
+BASE_BATTERY = "base"  # the battery that reports speak of unless told otherwise
 RUN_ORDER = ("created_at", "run_id")
 SERIES = ("series_id",)
 
@@ -57,8 +58,16 @@ def forecasts(tables: Tables, all_runs: bool = False) -> DataFrame:
     return df if all_runs else newest_run(df)
 
 
-def dispatch(tables: Tables, all_runs: bool = False) -> DataFrame:
-    df = tables["gold_dispatch"]
+def one_battery(df: DataFrame, battery: str | None) -> DataFrame:
+    """Dispatch rows of one battery. Those of one price path are alternatives, so totals over several
+    mean nothing; ``None`` takes all, for reports grouped by ``scenario_id``."""
+    return df if battery is None else df.where(F.col("scenario_id") == battery)
+
+
+def dispatch(
+    tables: Tables, all_runs: bool = False, battery: str | None = BASE_BATTERY
+) -> DataFrame:
+    df = one_battery(tables["gold_dispatch"], battery)
     return df if all_runs else newest_run(df)
 
 
@@ -335,9 +344,14 @@ def forecast_by_hour(
 
 
 def dispatch_daily(
-    tables: Tables, *, by: Sequence[str] = (), faithful: bool = False, all_runs: bool = False
+    tables: Tables,
+    *,
+    by: Sequence[str] = (),
+    faithful: bool = False,
+    all_runs: bool = False,
+    battery: str | None = BASE_BATTERY,
 ) -> DataFrame:
-    days = dispatch(tables, all_runs).groupBy(*by, _date().alias("date")).agg(
+    days = dispatch(tables, all_runs, battery).groupBy(*by, _date().alias("date")).agg(
         F.sum("charge_mwh").alias("total_charge_mwh"),
         F.sum("discharge_mwh").alias("total_discharge_mwh"),
         F.avg("soc_mwh").alias("avg_soc_mwh"),
@@ -349,9 +363,13 @@ def dispatch_daily(
 
 
 def dispatch_by_hour(
-    tables: Tables, *, by: Sequence[str] = (), all_runs: bool = False
+    tables: Tables,
+    *,
+    by: Sequence[str] = (),
+    all_runs: bool = False,
+    battery: str | None = BASE_BATTERY,
 ) -> DataFrame:
-    hours = dispatch(tables, all_runs).groupBy(*by, F.hour(HOUR).alias("hour_of_day")).agg(
+    hours = dispatch(tables, all_runs, battery).groupBy(*by, F.hour(HOUR).alias("hour_of_day")).agg(
         F.avg("charge_mwh").alias("avg_charge_mwh"),
         F.avg("discharge_mwh").alias("avg_discharge_mwh"),
         F.avg("soc_mwh").alias("avg_soc_mwh"),
@@ -370,18 +388,28 @@ def _profits(column: str) -> list[Column]:
 
 
 def profit_summary(
-    tables: Tables, *, by: Sequence[str] = (), faithful: bool = False, all_runs: bool = False
+    tables: Tables,
+    *,
+    by: Sequence[str] = (),
+    faithful: bool = False,
+    all_runs: bool = False,
+    battery: str | None = BASE_BATTERY,
 ) -> DataFrame:
     column = profit_column(faithful)
-    return dispatch(tables, all_runs).groupBy(*by).agg(
+    return dispatch(tables, all_runs, battery).groupBy(*by).agg(
         *_profits(column), F.stddev_samp(column).alias("profit_stddev")
     )
 
 
 def dispatch_summary(
-    tables: Tables, *, by: Sequence[str] = (), faithful: bool = False, all_runs: bool = False
+    tables: Tables,
+    *,
+    by: Sequence[str] = (),
+    faithful: bool = False,
+    all_runs: bool = False,
+    battery: str | None = BASE_BATTERY,
 ) -> DataFrame:
-    return dispatch(tables, all_runs).groupBy(*by).agg(
+    return dispatch(tables, all_runs, battery).groupBy(*by).agg(
         *_profits(profit_column(faithful)),
         F.avg("soc_mwh").alias("avg_soc_mwh"),
         F.sum("charge_mwh").alias("total_charge_mwh"),

@@ -19,6 +19,16 @@ _PIECE, _POS, _BEFORE, _INDEX, _HOME, _RUN = (
 )
 
 
+def carried_forward(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str], order: str = HOUR
+) -> DataFrame:
+    """Nulls take the last earlier value of the same keys, which have to bound the rows of a task."""
+    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
+
+
 def forward_fill(
     df: DataFrame,
     columns: Sequence[str],
@@ -31,10 +41,7 @@ def forward_fill(
     Expects one row per key and hour, so a piece has at most the hours of one month.
     """
     df = df.withColumn(_PIECE, F.date_trunc(piece, order))
-    inside = Window.partitionBy(*keys, _PIECE).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    filled = df.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
+    filled = carried_forward(df, columns, [*keys, _PIECE], order)
 
     # The last row of each piece holds its last known values; one row per key and month. Whole
     # rows are taken, so that this branch needs the same columns and shares the shuffle above.

@@ -28,8 +28,13 @@ def forecast_horizon(tables: Tables, as_of: datetime, all_runs: bool = False) ->
     return rows if all_runs else A.newest_run(rows)
 
 
-def dispatch_horizon(tables: Tables, as_of: datetime, all_runs: bool = False) -> DataFrame:
-    rows = since(tables["gold_dispatch"], TM.hour_of(as_of))
+def dispatch_horizon(
+    tables: Tables,
+    as_of: datetime,
+    all_runs: bool = False,
+    battery: str | None = A.BASE_BATTERY,
+) -> DataFrame:
+    rows = A.one_battery(since(tables["gold_dispatch"], TM.hour_of(as_of)), battery)
     return rows if all_runs else A.newest_run(rows)
 
 
@@ -45,9 +50,14 @@ def forecast_horizon_view(
 
 
 def dispatch_horizon_view(
-    tables: Tables, as_of: datetime, *, by: Sequence[str] = (), all_runs: bool = False
+    tables: Tables,
+    as_of: datetime,
+    *,
+    by: Sequence[str] = (),
+    all_runs: bool = False,
+    battery: str | None = A.BASE_BATTERY,
 ) -> DataFrame:
-    return _served(dispatch_horizon(tables, as_of, all_runs), DISPATCH_COLUMNS, by)
+    return _served(dispatch_horizon(tables, as_of, all_runs, battery), DISPATCH_COLUMNS, by)
 
 
 def forecast_cards(
@@ -69,9 +79,10 @@ def dispatch_cards(
     by: Sequence[str] = (),
     faithful: bool = False,
     all_runs: bool = False,
+    battery: str | None = A.BASE_BATTERY,
 ) -> DataFrame:
     """Totals of the horizon; round-trip efficiency is null when nothing was charged."""
-    return dispatch_horizon(tables, as_of, all_runs).groupBy(*by).agg(
+    return dispatch_horizon(tables, as_of, all_runs, battery).groupBy(*by).agg(
         F.sum("charge_mwh").alias("total_charge_mwh"),
         F.sum("discharge_mwh").alias("total_discharge_mwh"),
         F.avg("soc_mwh").alias("avg_soc_mwh"),
@@ -82,9 +93,15 @@ def dispatch_cards(
     )
 
 
-def dispatch_chart(tables: Tables, as_of: datetime, *, by: Sequence[str] = ()) -> DataFrame:
+def dispatch_chart(
+    tables: Tables,
+    as_of: datetime,
+    *,
+    by: Sequence[str] = (),
+    battery: str | None = A.BASE_BATTERY,
+) -> DataFrame:
     """Display rows: discharge drawn below zero, values with two decimals."""
-    rows = dispatch_horizon(tables, as_of).orderBy(HOUR, *by)
+    rows = dispatch_horizon(tables, as_of, battery=battery).orderBy(HOUR, *by)
     return rows.select(
         *by,
         TM.display_label(TM.iso_text(F.col(HOUR))).alias("label"),
@@ -95,7 +112,9 @@ def dispatch_chart(tables: Tables, as_of: datetime, *, by: Sequence[str] = ()) -
     )
 
 
-def insights(tables: Tables, *, faithful: bool = False) -> DataFrame:
+def insights(
+    tables: Tables, *, faithful: bool = False, battery: str | None = A.BASE_BATTERY
+) -> DataFrame:
     """One row: peak and low hour, latest daily correlation, profit, charge level, data volume."""
     profile = A.hourly_profile(tables)
     hour, mean = F.col("hour_of_day"), F.col("avg_demand_mw")
@@ -104,7 +123,7 @@ def insights(tables: Tables, *, faithful: bool = False) -> DataFrame:
     low = F.min(F.struct(mean, hour.alias("h")))
     extremes = profile.agg(peak.alias("peak"), low.alias("low"))
     latest = A.temp_demand_corr(tables, limit=1).select("temp_demand_correlation").scalar()
-    totals = A.dispatch_summary(tables, faithful=faithful)
+    totals = A.dispatch_summary(tables, faithful=faithful, battery=battery)
     volume = A.table_overview(tables, A.CORE_TABLES)
     return extremes.select(
         (-F.col("peak.h")).alias("peak_hour"),

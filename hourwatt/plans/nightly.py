@@ -15,11 +15,12 @@ from hourwatt.operators.dispatch import FLEET, gold_dispatch_rows
 from hourwatt.operators.forecast import additive_forecast, gold_forecast_rows
 from hourwatt.operators.keys import latest_per_key
 from hourwatt.operators.quality import Limits, enforce, quality_gate
-from hourwatt.operators.silver import demand_clean, silver_build, weather_hourly
+from hourwatt.operators.silver import KEY, demand_clean, weather_hourly
+from hourwatt.plans.upkeep import refresh_silver
 from hourwatt.session import pin_utc
 from hourwatt.sources import feeds
-from hourwatt.sources.feeds import read_demand_json, read_weather_json
 from hourwatt.sources.store import TableStore
+from hourwatt.streaming.ledger import ingest
 
 
 def run_name(as_of: datetime) -> str:
@@ -33,43 +34,63 @@ def refresh_bronze(
     as_of: datetime,
     demand_path: str,
     weather_path: str,
-) -> None:
-    """Landed demand and weather files into the bronze tables, one row per series and hour."""
-    demand = read_demand_json(spark, demand_path, list(config.stations), config.feed_type)
-    demand = demand_clean(demand, as_of, config.history_days)
-    # Several records for one hour in the same feed: one whole record, so that reruns agree.
-    demand = latest_per_key(demand, ["series_id", "timestamp_hour"], ["demand_mw"])
-    store.refresh(demand.withColumn("loaded_at", TM.at(as_of)), "bronze_demand", "loaded_at")
-    first = (as_of - timedelta(days=config.history_days)).date()
-    stations = sorted(set(config.stations.values()))
-    weather = read_weather_json(spark, weather_path, stations, first, as_of.date())
-    store.refresh(weather_hourly(weather), "bronze_weather")
-
+) -> list[DataFrame]:
+    """Landed demand and weather files into the bronze tables, one row per series and hour.
 
-def refresh_silver(store: TableStore, config: EngineConfig) -> None:
-    """Demand of each series beside the weather of its station."""
-    pairs = store.spark.createDataFrame(
-        list(config.stations.items()), "series_id string, station string"
-    )  # as many rows as the configuration names
-    weather = store["bronze_weather"].withColumnRenamed("series_id", "station")
-    weather = weather.join(F.broadcast(pairs), "station").drop("station")
-    silver = silver_build(store["bronze_demand"], weather)
-    store.replace(silver, "silver_demand_weather")
+    Returns the counts of landed and rejected rows. With ``config.ledger`` only files that have not
+    been read before are.
+    """
+    if config.ledger:
+        return [
+            ingest(store, "demand", demand_path, lambda rows: load_demand(store, config, as_of, rows)),
+            ingest(store, "weather", weather_path, lambda rows: load_weather(store, config, as_of, rows)),
+        ]
+    demand, weather = feeds.landed_demand(spark, demand_path), feeds.landed_weather(spark, weather_path)
+    load_demand(store, config, as_of, demand)
+    load_weather(store, config, as_of, weather)
+    return [feeds.rejected_demand(demand), feeds.rejected_weather(weather)]
+
+
+def load_demand(store: TableStore, config: EngineConfig, as_of: datetime, landed: DataFrame) -> None:
+    """Landed demand rows into bronze: of several rows for an hour the newest page and place wins."""
+    rows = feeds.select_feed(feeds.readable(landed), list(config.stations), config.feed_type)
+    newest = latest_per_key(feeds.parse_demand(rows), KEY, feeds.LANDED_ORDER)
+    demand = demand_clean(newest, as_of, config.history_days).withColumn("loaded_at", TM.at(as_of))
+    store.refresh(demand, "bronze_demand", "loaded_at", noted=True)
+
+
+def load_weather(store: TableStore, config: EngineConfig, as_of: datetime, landed: DataFrame) -> None:
+    first = (as_of - timedelta(days=config.history_days)).date()
+    wanted = F.col("STATION").isin(sorted(set(config.stations.values())))
+    rows = feeds.readable(landed).where(wanted)
+    weather = feeds.clean_weather(rows, first, as_of.date())
+    store.refresh(weather_hourly(weather), "bronze_weather", noted=True)
 
 
-def refresh_bronze_silver(spark, store, config, as_of, demand_path, weather_path) -> None:
-    refresh_bronze(spark, store, config, as_of, demand_path, weather_path)
-    refresh_silver(store, config)
+def refresh_bronze_silver(
+    spark, store, config, as_of, demand_path, weather_path
+) -> list[DataFrame]:
+    """Feeds to bronze, then the silver pieces that the changed days reach; the feeds' counts."""
+    landed = refresh_bronze(spark, store, config, as_of, demand_path, weather_path)
+    refresh_silver(store, config.stations)
+    return landed
 
 
 def forecast_to_gold(
-    store: TableStore, config: EngineConfig, as_of: datetime, model: Model = Model(yearly=True)
+    store: TableStore,
+    config: EngineConfig,
+    as_of: datetime,
+    model: Model = Model(yearly=True),
+    series: DataFrame | None = None,
 ) -> None:
+    """Forecasts of all series, or of those that ``series`` names."""
     history = store.scan(
         "silver_demand_weather",
         ["series_id", "timestamp_hour", "demand_mw"],
         start=as_of - timedelta(days=config.history_days),
     ).where(F.col("demand_mw").isNotNull())
+    if series is not None:
+        history = history.join(series, "series_id", "left_semi")
     if history.isEmpty():
         raise ValueError("no history to forecast from")
     forecast = additive_forecast(
@@ -80,10 +101,16 @@ def forecast_to_gold(
 
 
 def dispatch_to_gold(
-    store: TableStore, config: EngineConfig, as_of: datetime, fleet=FLEET
+    store: TableStore,
+    config: EngineConfig,
+    as_of: datetime,
+    fleet=FLEET,
+    series: DataFrame | None = None,
 ) -> None:
     """Trade each battery against the newest forecast, whose values stand in for prices."""
     prices = S.forecast_horizon(store, as_of).withColumnRenamed("yhat", "price")
+    if series is not None:
+        prices = prices.join(series, "series_id", "left_semi")
     if prices.isEmpty():
         raise ValueError("no forecast from the current hour on")
     rows = gold_dispatch_rows(prices, run_name(as_of), TM.at(as_of), fleet)
@@ -105,13 +132,9 @@ def nightly(
     """
     pin_utc(spark)
     store = TableStore(spark, config.root)
-    refresh_bronze_silver(spark, store, config, as_of, demand_path, weather_path)
+    landed = refresh_bronze_silver(spark, store, config, as_of, demand_path, weather_path)
     forecast_to_gold(store, config, as_of)
     dispatch_to_gold(store, config, as_of)
-    landed = [
-        feeds.rejected_demand(feeds.demand_feed_rows(spark, demand_path)),
-        feeds.rejected_weather(feeds.weather_feed_rows(spark, weather_path)),
-    ]
     checks = quality_gate(store, as_of, limits, landed=landed)
     enforce(checks)
     return checks

@@ -103,7 +103,7 @@ dispatch_runs AS (
   SELECT * EXCLUDE (timestamp_hour, soc_mwh, charge_mwh),
          CASE WHEN n = 1 THEN timestamp_hour ELSE timestamp_hour + INTERVAL 40 DAY END AS timestamp_hour,
          CASE WHEN n = 1 THEN 'run-1' ELSE 'run-2' END AS run_id,
-         CASE WHEN n = 3 THEN 'other' ELSE 'fixture' END AS scenario_id,
+         CASE WHEN n = 3 THEN 'other' ELSE 'base' END AS scenario_id,
          CASE WHEN n = 1 THEN soc_mwh ELSE soc_mwh / 2 END AS soc_mwh,
          CASE WHEN n = 3 THEN charge_mwh / 4 ELSE charge_mwh END AS charge_mwh
   FROM gold_dispatch, (VALUES (1), (2), (3)) AS copy(n)
@@ -449,6 +449,52 @@ FROM ({_LATEST_DEMAND})""",
     "silver_build": "SELECT * FROM silver",
     "silver_build_by_series": "SELECT * FROM silver",
     "silver_build_from_duplicates": _silver_from(_LATEST_DEMAND, "SELECT * FROM weather_means"),
+    "feed_rejects": """
+SELECT 'bronze_demand' AS table_name, sum(n + 1) AS rows_landed, count(*) AS rows_rejected
+FROM (SELECT count(*) AS n FROM ev WHERE event_type IN ('click', 'error') GROUP BY event_id // 5000)""",
+    "nightly_silver": """
+WITH latest AS (
+  SELECT series_id, timestamp_hour, CASE WHEN event_id % 97 <> 0 THEN value END AS demand_mw
+  FROM ev WHERE event_type = 'click'
+  QUALIFY row_number() OVER (PARTITION BY series_id, timestamp_hour ORDER BY event_id DESC) = 1
+), station AS (
+  SELECT series_id AS station, timestamp_hour,
+         avg(CASE WHEN event_id % 50 <> 0 AND event_id % 77 <> 0 THEN floor(value) / 10 END) AS temp_c,
+         avg(CASE WHEN event_id % 61 <> 0 THEN floor(value) / 10 END) AS wind_speed_mps
+  FROM ev WHERE event_type = 'view' GROUP BY 1, 2
+), seen AS (
+  SELECT s.series_id, timestamp_hour, temp_c, wind_speed_mps
+  FROM station JOIN (VALUES ('0', '0'), ('1', '1'), ('2', '0'), ('3', '1'), ('4', '0'))
+       AS s(series_id, station) USING (station)
+)
+SELECT series_id, timestamp_hour, last_value(demand_mw IGNORE NULLS) OVER w AS demand_mw,
+       0.95 * last_value(demand_mw IGNORE NULLS) OVER w AS generation_mw,
+       last_value(temp_c IGNORE NULLS) OVER w AS temp_c,
+       last_value(wind_speed_mps IGNORE NULLS) OVER w AS wind_speed_mps
+FROM grid LEFT JOIN latest USING (series_id, timestamp_hour)
+          LEFT JOIN seen USING (series_id, timestamp_hour)
+WINDOW w AS (PARTITION BY series_id ORDER BY timestamp_hour
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "nightly_gold": f"""
+SELECT series_id, scenario_id, count(*) AS hours, min(timestamp_hour) AS first_hour,
+       max(timestamp_hour) AS last_hour, sum(greatest(0, yhat / (2 * lam))) AS bids, 0 AS broken
+FROM gold_forecasts, {_BATTERIES} WHERE timestamp_hour >= {NOW_HOUR} GROUP BY 1, 2""",
+    "silver_in_batches": """
+WITH latest AS (
+  SELECT series_id, timestamp_hour, CASE WHEN event_id % 5 <> 0 THEN value END AS demand_mw
+  FROM ev WHERE event_type = 'click'
+  QUALIFY row_number() OVER (PARTITION BY series_id, timestamp_hour ORDER BY ts DESC) = 1
+)
+SELECT series_id, timestamp_hour, last_value(demand_mw IGNORE NULLS) OVER w AS demand_mw,
+       0.95 * last_value(demand_mw IGNORE NULLS) OVER w AS generation_mw,
+       CAST(NULL AS DOUBLE) AS forecast_demand_mw,
+       last_value(temp_c IGNORE NULLS) OVER w AS temp_c,
+       last_value(wind_speed_mps IGNORE NULLS) OVER w AS wind_speed_mps,
+       last_value(wind_dir_deg IGNORE NULLS) OVER w AS wind_dir_deg
+FROM grid LEFT JOIN latest USING (series_id, timestamp_hour)
+          LEFT JOIN bronze_weather USING (series_id, timestamp_hour)
+WINDOW w AS (PARTITION BY series_id ORDER BY timestamp_hour
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "hour_grid": "SELECT * FROM grid",
     "future_hours": "SELECT * FROM ahead",
     "forward_fill_gaps": "SELECT * FROM silver",
@@ -511,6 +557,22 @@ FROM (
                             WHERE demand_mw IS NOT NULL GROUP BY 1) USING (series_id)
           WHERE demand_mw IS NOT NULL)
     GROUP BY 1) f USING (series_id)) a""",
+    "additive_normal_equations": """
+WITH hours AS (SELECT series_id, epoch(timestamp_hour) / 3600 AS x, demand_mw AS y FROM silver
+               WHERE demand_mw IS NOT NULL),
+ends AS (SELECT series_id, min(x) AS x0, max(x) - min(x) AS span, max(abs(y)) AS scale
+         FROM hours GROUP BY 1),
+feature AS (
+  SELECT series_id, x, unnest([
+           1.0, (x - x0) / span,
+           sin(2 * pi() * x / 24), cos(2 * pi() * x / 24),
+           sin(4 * pi() * x / 24), cos(4 * pi() * x / 24),
+           sin(6 * pi() * x / 24), cos(6 * pi() * x / 24),
+           sin(8 * pi() * x / 24), cos(8 * pi() * x / 24), y / scale]) AS v,
+         unnest(range(11)) AS i
+  FROM hours JOIN ends USING (series_id))
+SELECT a.series_id, a.i, b.i AS j, sum(a.v * b.v) AS total
+FROM feature a JOIN feature b USING (series_id, x) WHERE a.i < 10 GROUP BY ALL""",
     "additive_forecast_shape": """
 SELECT series_id, min(timestamp_hour) AS first_hour, max(timestamp_hour) AS last_hour,
        count(*) AS points, true AS ordered FROM ahead GROUP BY 1""",
@@ -547,8 +609,13 @@ SELECT {_profits("hour_profit")}, stddev_samp(hour_profit) AS profit_stddev FROM
 SELECT {_profits("hour_profit")}, avg(soc_mwh) AS avg_soc_mwh,
        sum(charge_mwh) AS total_charge_mwh, sum(discharge_mwh) AS total_discharge_mwh
 FROM gold_dispatch""",
+    "dispatch_summary_by_battery": f"""
+SELECT scenario_id, {_profits("hour_profit * part")}, avg(soc_mwh * part) AS avg_soc_mwh,
+       sum(charge_mwh * part) AS total_charge_mwh, sum(discharge_mwh * part) AS total_discharge_mwh
+FROM gold_dispatch, (VALUES ('base', 1.0), ('unit', 0.01), ('large', 2.0)) AS b(scenario_id, part)
+GROUP BY 1""",
     "dispatch_run_summary": """
-SELECT 'run-1' AS run_id, 'all' AS series_id, 'fixture' AS scenario_id,
+SELECT 'run-1' AS run_id, 'all' AS series_id, 'base' AS scenario_id,
        sum(charge_mwh) AS total_charge_mwh, sum(discharge_mwh) AS total_discharge_mwh,
        max(soc_mwh) AS max_soc_mwh, min(soc_mwh) AS min_soc_mwh, sum(hour_profit) AS run_profit
 FROM gold_dispatch""",
@@ -697,7 +764,7 @@ SELECT sum(charge_mwh) AS total_charge_mwh, sum(discharge_mwh) AS total_discharg
        avg(soc_mwh) AS avg_soc_mwh, sum(hour_profit) AS total_profit, avg(price) AS avg_price,
        sum(discharge_mwh) / nullif(sum(charge_mwh), 0) * 100 AS round_trip_pct,
        count(*) AS data_points
-FROM dispatch_newest WHERE timestamp_hour >= {MID_MONTH_HOUR}""",
+FROM dispatch_newest WHERE timestamp_hour >= {MID_MONTH_HOUR} AND scenario_id = 'base'""",
     "forecast_run_summary_runs": """
 SELECT min(timestamp_hour) AS forecast_start, max(timestamp_hour) AS forecast_end,
        avg(yhat) AS avg_forecast_mw, max(yhat) AS max_forecast_mw, min(yhat) AS min_forecast_mw,
@@ -792,6 +859,16 @@ FROM ev WHERE event_type = 'click' GROUP BY 1, 2""",
 }
 
 
+# Reports of a fleet's dispatch table speak of the base battery alone.
+BODIES |= {
+    f"{name}_fleet": BODIES[name]
+    for name in (
+        "dispatch_daily", "dispatch_by_hour", "profit_summary", "dispatch_summary",
+        "dispatch_cards", "dispatch_horizon_view", "insights",
+    )
+}
+
+
 def _finish(name: str) -> str:
     entry = REGISTRY[name]
     cells = []

@@ -28,11 +28,12 @@ from hourwatt.operators import silver as SV
 from hourwatt.operators.additive import Model
 from hourwatt.operators.frames import forward_fill
 from hourwatt.operators.grid import HOUR
-from hourwatt.plans import landing, nightly
+from hourwatt.plans import landing, nightly, upkeep
 from hourwatt.session import new_folder
 from hourwatt.sources import feeds
 from hourwatt.sources.sample import AS_OF, BACKTEST_CUT, CREATED, EVENTS, SampleTables
 from hourwatt.sources.store import TableStore, conform, since
+from hourwatt.streaming import ledger
 from hourwatt.streaming import refresh as ST
 
 KINDS = {
@@ -511,6 +512,21 @@ def additive_forecast_trend_only(t):
     return FC.additive_forecast(t["silver_demand_weather"], model=line)
 
 
+@query("series_id:s i:i j:i total:x4", series=SERIES)
+def additive_normal_equations(t):
+    """Sums of feature products of a trend with a daily season; column 10 is that of the values."""
+    model = Model(weekly=False, yearly=False, hinges=0)
+    found = FC.normal_equations(t["silver_demand_weather"], model)
+    cells = found.select("series_id", F.posexplode("sums").alias("p", "total")).where("p < 110")
+    place = F.col("p")
+    return cells.withColumns(
+        {
+            "i": F.when(place < 100, F.floor(place / 10)).otherwise(place - 100),
+            "j": F.when(place < 100, place % 10).otherwise(10),
+        }
+    )
+
+
 @query("series_id:s first_hour:ts last_hour:ts points:l ordered:b", series=SERIES)
 def additive_forecast_shape(t):
     df = FC.additive_forecast(t["silver_demand_weather"], as_of=AS_OF)
@@ -581,6 +597,36 @@ def dispatch_summary(t):
     return A.dispatch_summary(t)
 
 
+def _fleet(t) -> Replaced:
+    """The dispatch table as a nightly run leaves it: three batteries, alternatives to each other."""
+    return Replaced(t, gold_dispatch=t.dispatch_fleet())
+
+
+@query(_DISPATCH_DAY)
+def dispatch_daily_fleet(t):
+    return A.dispatch_daily(_fleet(t))
+
+
+@query("hour_of_day:i avg_charge_mwh:x avg_discharge_mwh:x avg_soc_mwh:x observations:l")
+def dispatch_by_hour_fleet(t):
+    return A.dispatch_by_hour(_fleet(t))
+
+
+@query(f"{_PROFITS} profit_stddev:x3")
+def profit_summary_fleet(t):
+    return A.profit_summary(_fleet(t))
+
+
+@query(f"{_PROFITS} avg_soc_mwh:x total_charge_mwh:x total_discharge_mwh:x")
+def dispatch_summary_fleet(t):
+    return A.dispatch_summary(_fleet(t))
+
+
+@query(f"scenario_id:s {_PROFITS} avg_soc_mwh:x total_charge_mwh:x total_discharge_mwh:x")
+def dispatch_summary_by_battery(t):
+    return A.dispatch_summary(_fleet(t), by=["scenario_id"], battery=None)
+
+
 _RUN = (
     "run_id:s series_id:s scenario_id:s total_charge_mwh:x total_discharge_mwh:x max_soc_mwh:x"
     " min_soc_mwh:x run_profit:x2"
@@ -837,6 +883,21 @@ def dispatch_cards(t):
     return S.dispatch_cards(t, MID_MONTH)
 
 
+@query(
+    "total_charge_mwh:x total_discharge_mwh:x avg_soc_mwh:x total_profit:x2 avg_price:x"
+    " round_trip_pct:x data_points:l",
+)
+def dispatch_cards_fleet(t):
+    return S.dispatch_cards(_fleet(t), MID_MONTH)
+
+
+@query(
+    f"{HOUR}:s price:x charge_mwh:x discharge_mwh:x soc_mwh:x bid_mwh:x expected_profit:x2",
+)
+def dispatch_horizon_view_fleet(t):
+    return S.dispatch_horizon_view(_fleet(t), MID_MONTH)
+
+
 @query("label:s charge_mwh:x discharge_mwh:x soc_mwh:x price:x")
 def dispatch_chart(t):
     return S.dispatch_chart(t, MID_MONTH)
@@ -850,6 +911,14 @@ def insights(t):
     return S.insights(t)
 
 
+@query(
+    "peak_hour:i peak_avg_mw:x min_hour:i min_avg_mw:x demand_range_mw:x latest_correlation:x"
+    " correlation_label:s total_profit:x2 avg_soc_mwh:x total_rows:l data_start:ts data_end:ts",
+)
+def insights_fleet(t):
+    return S.insights(_fleet(t))
+
+
 @query(f"kind:s {HOUR}:ts value:x yhat_lower:x yhat_upper:x now_boundary:ts")
 def actual_vs_forecast(t):
     return S.actual_vs_forecast(t)
@@ -998,6 +1067,77 @@ def nightly_refresh(t):
     return A.table_overview(TableStore(t.spark, config.root))
 
 
+@query("table_name:s rows_landed:l rows_rejected:l")
+def feed_rejects(t):
+    """Pages of which each also came torn: every torn page is one rejected row."""
+    store = _store(t)
+    path = landing.land_demand(t, "ERCO", torn=True)
+    return ledger.ingest(store, "demand", path, lambda rows: feeds.readable(rows).count())
+
+
+_FLEET_CONFIG = {"respondent": ("0", "1", "2", "3", "4"), "station": ("0", "1", "0", "1", "0")}
+
+
+@query(
+    f"series_id:s {HOUR}:ts demand_mw:x generation_mw:x temp_c:x wind_speed_mps:x", series=SERIES
+)
+def nightly_silver(t):
+    """What a night stores for five respondents beside the weather of two stations."""
+    store = _store(t)
+    config = EngineConfig(store.root, **_FLEET_CONFIG, ledger=True)
+    demand, weather = landing.land_demand(t), landing.land_weather(t)
+    nightly.refresh_bronze_silver(t.spark, store, config, AS_OF, demand, weather)
+    return store["silver_demand_weather"]
+
+
+@query("series_id:s scenario_id:s hours:l first_hour:ts last_hour:ts bids:x3 broken:l", series=SERIES)
+def nightly_gold(t):
+    """Plans of three batteries for each of five respondents, and hours that break a rule."""
+    store = _store(t)
+    config = EngineConfig(store.root, **_FLEET_CONFIG)
+    store.append(t["silver_demand_weather"], "silver_demand_weather")
+    forecast = FC.seasonal_profile_forecast(store["silver_demand_weather"], profile="hour")
+    store.refresh(FC.gold_forecast_rows(forecast, "run-1", TM.at(CREATED)), "gold_forecasts")
+    nightly.dispatch_to_gold(store, config, AS_OF)
+    units = t.spark.createDataFrame([vars(b) for b in D.FLEET])
+    rows = store["gold_dispatch"].join(units, "scenario_id")
+    broken = D.dispatch_check(rows).select("series_id", "scenario_id", HOUR, F.lit(1).alias("bad"))
+    return rows.join(broken, ["series_id", "scenario_id", HOUR], "left").groupBy(
+        "series_id", "scenario_id"
+    ).agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.min(HOUR).alias("first_hour"),
+        F.max(HOUR).alias("last_hour"),
+        F.sum("bid_mwh").alias("bids"),
+        F.count("bad").alias("broken"),
+    )
+
+
+@query(f"series_id:s {_SILVER}", series=SERIES)
+def silver_in_batches(t):
+    """Silver after a stream of five files, the last with rows of all days, and weather in two parts."""
+    store, folder = _store(t), new_folder(t.spark, "in")
+    noon = F.dayofmonth(HOUR) <= 15
+    store.refresh(t["bronze_weather"].where(noon), "bronze_weather", noted=True)
+    late = F.col("event_id") % 10 == 0
+    rows = t.of_type("click").select(
+        "series_id", HOUR,
+        F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("demand_mw"),
+        F.when(F.col("event_id") % 5 != 0, N.derived_generation(F.col("value"))).alias("generation_mw"),
+        F.col("ts").alias("loaded_at"),
+        F.when(late, 0).otherwise(5 - F.floor(F.dayofmonth(HOUR) / 7)).alias("batch"),
+    )
+    for batch in range(5, 0, -1):
+        part = rows.where(F.least("batch", F.lit(4)) == batch - 1).drop("batch")
+        part.coalesce(1).write.mode("append").parquet(folder)
+    schema = f"series_id string, {HOUR} timestamp, demand_mw double, generation_mw double, loaded_at timestamp"
+    stream = ST.file_stream(t.spark, folder, schema, files=1)
+    ST.refresh_tables(stream, store, "loaded_at", new_folder(t.spark, "stream")).awaitTermination()
+    store.refresh(t["bronze_weather"].where(~noon), "bronze_weather", noted=True)
+    upkeep.refresh_silver(store)
+    return store["silver_demand_weather"]
+
+
 @query(f"{HOUR}:ts demand_mw:x event_count:l")
 def stream_hourly(t):
     session = ST.stream_session(t.spark, t.spark.sparkContext.defaultParallelism)

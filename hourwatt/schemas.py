@@ -11,10 +11,16 @@ def _table(**fields: T.DataType) -> T.StructType:
 
 _S, _D, _TS = T.StringType(), T.DoubleType(), T.TimestampType()
 
-DEMAND_FEED = _table(
-    response=_table(data=T.ArrayType(_table(period=_S, value=_S, respondent=_S, type=_S)))
+# Feed files are JSON documents; ``BROKEN`` holds the text of one that cannot be read.
+BROKEN = "_corrupt_record"
+DEMAND_ROW = _table(period=_S, value=_S, respondent=_S, type=_S)
+DEMAND_FEED = T.StructType(
+    [
+        T.StructField("response", _table(data=T.ArrayType(DEMAND_ROW)), True),
+        T.StructField(BROKEN, _S, True),
+    ]
 )
-WEATHER_FEED = _table(STATION=_S, DATE=_S, TMP=_S, WND=_S)
+WEATHER_FEED = _table(STATION=_S, DATE=_S, TMP=_S, WND=_S, **{BROKEN: _S})
 
 SCHEMAS: dict[str, T.StructType] = {
     "bronze_demand": _table(

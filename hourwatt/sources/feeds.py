@@ -1,7 +1,12 @@
 """Readers of landed feed files.
 
 A feed file is one JSON document and is parsed by one task, so a landing folder holds many
-files of bounded size; the demand feed serves pages of at most ``FEED_LIMIT`` rows.
+files of bounded size; the demand feed serves pages of at most ``FEED_LIMIT`` rows. A file that
+cannot be read as JSON (a truncated page) gives one landed row that holds its text and nothing else:
+it is counted as rejected and takes no part in anything else.
+
+Several rows for one hour: the newest page wins, and in a page the last row. Pages are as new as
+their names say, so they are landed under names that rise.
 """
 
 from __future__ import annotations
@@ -15,15 +20,46 @@ from pyspark.sql import functions as F
 
 from hourwatt.functions import numbers as N
 from hourwatt.functions import times as TM
-from hourwatt.schemas import DEMAND_FEED, WEATHER_FEED
+from hourwatt.schemas import BROKEN, DEMAND_FEED, DEMAND_ROW, WEATHER_FEED
 
 FEED_LIMIT = 10_000  # fixed value: rows the demand feed serves per request, newest first
 
 
+LANDED_ORDER = ("page", "position")  # of the rows of a feed, oldest first
+
+
+def _broken(other: str) -> Column:
+    """The text of a broken file. Named beside another column, since Spark does not answer queries on
+    raw JSON that need the text alone."""
+    return F.coalesce(F.when(F.col(other).isNotNull(), F.col(BROKEN)), F.col(BROKEN)).alias(BROKEN)
+
+
+def demand_rows_of(pages: DataFrame) -> DataFrame:
+    """Rows of ``response.data`` with their page and place in it; a broken page is one row."""
+    nothing = F.lit(None).cast(DEMAND_ROW)
+    data = F.when(F.col(BROKEN).isNotNull(), F.array(nothing)).otherwise(F.col("response.data"))
+    page = F.col("_metadata.file_path").alias("page")
+    rows = pages.select(page, _broken("response"), F.posexplode(data))
+    return rows.select("page", F.col("pos").alias("position"), "col.*", BROKEN)
+
+
+def landed_demand(spark: SparkSession, path: str) -> DataFrame:
+    return demand_rows_of(spark.read.schema(DEMAND_FEED).json(path, multiLine=True))
+
+
+def readable(landed: DataFrame) -> DataFrame:
+    """Landed rows without those that stand for a broken file."""
+    return landed.where(F.col(BROKEN).isNull()).drop(BROKEN)
+
+
+def broken_files(landed: DataFrame) -> DataFrame:
+    """(page, record): the files that cannot be read, and their text."""
+    return landed.where(F.col(BROKEN).isNotNull()).select("page", F.col(BROKEN).alias("record"))
+
+
 def demand_feed_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows of ``response.data`` as landed: period, value, respondent, type (all text)."""
-    pages = spark.read.schema(DEMAND_FEED).json(path, multiLine=True)
-    return pages.select(F.explode("response.data").alias("row")).select("row.*")
+    return readable(landed_demand(spark, path)).drop(*LANDED_ORDER)
 
 
 def _one_of(column: str, wanted: str | Sequence[str]) -> Column:
@@ -47,15 +83,20 @@ def select_feed(
 
 
 def parse_demand(rows: DataFrame, series: str = "respondent") -> DataFrame:
+    """(series_id, timestamp_hour, demand_mw), and the landed order where the rows have it."""
     return rows.select(
         F.coalesce(series, F.lit("")).alias("series_id"),
         TM.feed_hour(F.col("period")).alias("timestamp_hour"),
         N.to_number(F.col("value")).alias("demand_mw"),
+        *[c for c in LANDED_ORDER if c in rows.columns],
     )
 
 
 def rejected(rows: DataFrame, parsed: Column, name: str) -> DataFrame:
-    """(table_name, rows_landed, rows_rejected): rows whose time cannot be read are rejected."""
+    """(table_name, rows_landed, rows_rejected): rows whose time cannot be read are rejected.
+
+    Given landed rows, a broken file counts as one of them.
+    """
     return rows.agg(
         F.lit(name).alias("table_name"),
         F.count(F.lit(1)).alias("rows_landed"),
@@ -83,8 +124,17 @@ def read_demand_json(
     return parse_demand(rows)
 
 
+def weather_rows_of(pages: DataFrame) -> DataFrame:
+    fields = [c for c in WEATHER_FEED.names if c != BROKEN]
+    return pages.select(F.col("_metadata.file_path").alias("page"), *fields, _broken("STATION"))
+
+
+def landed_weather(spark: SparkSession, path: str) -> DataFrame:
+    return weather_rows_of(spark.read.schema(WEATHER_FEED).json(path, multiLine=True))
+
+
 def weather_feed_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(WEATHER_FEED).json(path, multiLine=True)
+    return readable(landed_weather(spark, path)).drop("page")
 
 
 def clean_weather(

@@ -183,6 +183,16 @@ class SampleTables(Mapping):
         )
         return old.unionByName(new).unionByName(other)
 
+    def dispatch_fleet(self) -> DataFrame:
+        """Three batteries that trade the same prices: alternatives to each other."""
+        base, rows = self["gold_dispatch"], []
+        for name, part in (("unit", 0.01), ("large", 2.0)):
+            sized = ("charge_mwh", "discharge_mwh", "soc_mwh", "hour_profit", "expected_profit")
+            rows.append(
+                base.withColumns({"scenario_id": F.lit(name)} | {c: F.col(c) * part for c in sized})
+            )
+        return base.unionByName(rows[0]).unionByName(rows[1])
+
     def _gold_dispatch(self) -> DataFrame:
         def total(kind: str) -> Column:
             return F.sum(F.when(F.col("event_type") == kind, F.col("value")).otherwise(0.0))
@@ -201,7 +211,7 @@ class SampleTables(Mapping):
         run_total = rows.groupBy("series_id").agg(F.sum("hour_profit").alias("expected_profit"))
         return rows.join(run_total, "series_id").withColumns(
             {
-                "scenario_id": F.lit("fixture"),
+                "scenario_id": F.lit("base"),
                 "run_id": F.lit("run-1"),
                 "status": F.lit("optimal"),
                 "created_at": TM.at(CREATED),

@@ -18,6 +18,7 @@ from hourwatt.operators.keys import latest_per_key
 from hourwatt.schemas import KEYS, SCHEMAS
 
 DAY = "event_date"
+CHANGE = "series_id string, event_date date"
 FIRST = f"v{1:012d}"
 
 
@@ -114,13 +115,19 @@ class TableStore:
             files.delete(self._hadoop(f"{self.root}/{table}/{old}")[1], True)
         return rows
 
-    def refresh(self, df: DataFrame, table: str, newest: str | None = None) -> int:
+    def refresh(
+        self, df: DataFrame, table: str, newest: str | None = None, noted: bool = False
+    ) -> int:
         """Add rows, one per key: the largest ``newest`` wins, on a tie the new row.
 
         Only days that occur in ``df`` are read, and only those with a row that the table does not
         have yet (load times aside) are rewritten, so the same feed again rewrites nothing. ``df`` is
-        computed once, into a staging folder. Spark swaps the rewritten days in when all of them
-        have been written.
+        computed once, into a staging folder. Spark writes all rewritten days first and then swaps
+        them in one after the other: a reader in that moment may see some days old and some new.
+
+        ``noted`` writes the series and days that change down before they do, for whoever keeps a
+        table that depends on this one (``changes``); a lost run leaves its notes, and the next one
+        finds them.
         """
         staged, rows = self._stage(df, table)
         new = self.spark.read.schema(_with_day(table)).parquet(staged)
@@ -130,8 +137,12 @@ class TableStore:
             values = [f.name for f in SCHEMAS[table] if f.name != newest]
             have = old.select(*[F.col(c).alias(f"_{c}") for c in values])
             same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in values]
-            days = new.join(have, same, "left_anti").select(DAY).distinct()
-            days = [r[0] for r in days.collect()]  # the days of one load
+            changed = new.join(have, same, "left_anti").select("series_id", DAY).distinct()
+            if noted:
+                folder = f"{self.root}/_changes/{table}/{uuid.uuid4().hex}"
+                changed.write.parquet(folder)
+                changed = self.spark.read.schema(CHANGE).parquet(folder)
+            days = [r[0] for r in changed.select(DAY).distinct().collect()]  # the days of one load
             if not days:
                 files, path = self._hadoop(staged)
                 files.delete(path, True)
@@ -155,6 +166,32 @@ class TableStore:
         files.delete(path, True)
         return rows
 
+    def changes(self, table: str) -> tuple[DataFrame, list[str]]:
+        """(series_id, event_date) noted since they were last settled, and the folders they are in."""
+        files, path = self._hadoop(f"{self.root}/_changes/{table}")
+        found = files.listStatus(path) if files.exists(path) else []
+        folders = [
+            s.getPath().toString() for s in found
+            if files.exists(self._hadoop(f"{s.getPath().toString()}/_SUCCESS")[1])
+        ]
+        if not folders:
+            return self.spark.createDataFrame([], CHANGE), []
+        return self.spark.read.schema(CHANGE).parquet(*folders), folders
+
+    def exists_folder(self, folder: str) -> bool:
+        files, path = self._hadoop(folder)
+        return files.exists(path)
+
+    def has(self, folder: str) -> bool:
+        """A folder that was written to its end."""
+        return self.exists_folder(f"{folder}/_SUCCESS")
+
+    def drop(self, *folders: str) -> None:
+        """Delete folders, such as notes that have been acted upon."""
+        for folder in folders:
+            files, path = self._hadoop(folder)
+            files.delete(path, True)
+
     def _stage(self, df: DataFrame, table: str) -> tuple[str, int]:
         folder = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
         return folder, self._write(df, table, folder)

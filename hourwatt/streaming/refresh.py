@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hourwatt.operators.grid import HOUR
+from hourwatt.plans.upkeep import refresh_silver
 from hourwatt.session import pin_utc
 from hourwatt.sources.store import TableStore
 
@@ -80,3 +84,34 @@ def refresh_table(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def refresh_tables(
+    rows: DataFrame,
+    store: TableStore,
+    newest: str,
+    checkpoint: str,
+    stations: Mapping[str, str] | None = None,
+    gold: Callable[[datetime, DataFrame], None] | None = None,
+) -> StreamingQuery:
+    """Demand rows into bronze and on to silver and gold, micro-batch by micro-batch.
+
+    A batch rewrites the silver days that its rows reach, late rows included, and no others. ``gold`` gets
+    the batch's clock (its largest ``newest``) and the changed series, for forecasts and plans of
+    those series alone. Every step may be repeated, so a batch that runs again after a failure leaves the
+    same tables.
+    """
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        clock = batch.agg(F.max(newest)).first()[0]
+        if clock is None:
+            return
+        store.refresh(batch, "bronze_demand", newest, noted=True)
+        refresh_silver(store, stations, (lambda series: gold(clock, series)) if gold else None)
+
+    return (
+        rows.writeStream.foreachBatch(fold)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -4,9 +4,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hourwatt.operators import additive, forecast
 from hourwatt.operators import explore as X
 from hourwatt.operators.additive import Model
-from hourwatt.operators.forecast import additive_forecast, seasonal_profile_forecast
+from hourwatt.operators.forecast import (
+    additive_forecast,
+    normal_equations,
+    seasonal_profile_forecast,
+)
 from hourwatt.operators.grid import HOUR
 
 START = datetime(2024, 1, 1)
@@ -73,6 +78,49 @@ def test_history_window(spark):
     )
 
 
+def direct_fit(hours, y, w, horizon, model):
+    """The whole design matrix at once."""
+    first, span = hours.min(), max(hours.max() - hours.min(), 1.0)
+    scale = np.abs(y).max()
+    x, widths = additive._design(hours.astype(float), first, span, model)
+    gram, right = x.T @ (w[:, None] * x), x.T @ (w * y / scale)
+
+    def spread(beta):
+        return np.sqrt((w * (y / scale - x @ beta) ** 2).sum() / max(w.sum() - x.shape[1], 1.0))
+
+    beta = np.linalg.lstsq(gram, right, rcond=1e-12)[0]
+    beta = np.linalg.lstsq(gram + np.diag(spread(beta) ** 2 / widths**2), right, rcond=1e-12)[0]
+    ahead = np.arange(1, horizon + 1) + hours.max()
+    yhat = additive._design(ahead.astype(float), first, span, model)[0] @ beta * scale
+    return yhat, additive.BAND_Z * spread(beta) * scale
+
+
+@pytest.mark.parametrize("model", [Model(), Model(yearly=True)])
+def test_chunks_of_a_long_series_give_the_whole_fit(spark, model, monkeypatch):
+    monkeypatch.setattr(forecast, "CHUNK", 500)
+    df = seasonal(spark, 400, series=("a",))
+    rows = df.orderBy(HOUR).collect()
+    hours = np.array([int(r[HOUR].timestamp()) // 3600 for r in rows])
+    y = np.array([r.demand_mw for r in rows])
+    yhat, half = direct_fit(hours, y, np.ones(len(y)), 48, model)
+    got = additive_forecast(df, 48, model, history_days=None).orderBy(HOUR).collect()
+    assert [r.yhat for r in got] == pytest.approx(list(yhat), rel=1e-6)
+    assert [r.yhat_upper - r.yhat for r in got] == pytest.approx([half] * 48, rel=1e-6)
+    assert normal_equations(df, model, history_days=None).count() == 1
+
+
+def test_series_that_ended_long_ago_keep_their_forecast(spark):
+    rows = [
+        (s, START + timedelta(days=d, hours=i), 100.0 + i % 24)
+        for s, d in (("old", 0), ("new", 800)) for i in range(24 * 20)
+    ]
+    df = spark.createDataFrame(rows, f"series_id string, {HOUR} timestamp, demand_mw double")
+    got = additive_forecast(df).groupBy("series_id").agg(F.min(HOUR), F.count(F.lit(1))).collect()
+    assert {tuple(r) for r in got} == {
+        ("old", START + timedelta(days=20), 48), ("new", START + timedelta(days=820), 48)
+    }
+
+
 def test_profile_falls_back_to_the_hour(spark):
     rows = [("a", START + timedelta(hours=i), float(i % 24)) for i in range(72)]
     df = spark.createDataFrame(rows, f"series_id string, {HOUR} timestamp, demand_mw double")
@@ -86,11 +134,11 @@ def test_accuracy_ignores_missing_previous_hour(spark):
         [(START, 10.0), (START + timedelta(hours=1), 12.0), (START + timedelta(hours=3), 0.0)],
         schema,
     )
-    forecast = spark.createDataFrame(
+    planned = spark.createDataFrame(
         [(START + timedelta(hours=i), 10.0 + i, 9.0 + i, 11.0 + i) for i in range(4)],
         f"{HOUR} timestamp, yhat double, yhat_lower double, yhat_upper double",
     )
-    got = X.forecast_accuracy(actual, forecast).first()
+    got = X.forecast_accuracy(actual, planned).first()
     assert got.points == 3 and got.direction_pct == 100.0
     assert got.mape_pct == pytest.approx(100 / 12 / 2)
     assert got.coverage_pct == pytest.approx(200 / 3)

@@ -8,7 +8,8 @@ looked at only where both phrases one word shorter have the support, so the bloc
 
 A shard has many blocks and is counted by many tasks, so nothing grows with the corpus in one task; the number of shards is
 a parameter that stays fixed, so the local support stays useful at any size. A block sends one row per distinct phrase, so a phrase
-that makes up a third of all text is as many rows as there are blocks. Both phases read one shuffle.
+that makes up a third of all text is as many rows as there are blocks. Both phases read one shuffle. Blocks number their own words and phrases, so their
+streams stay small.
 
 Null texts are empty and a null language is ``und``. Repeated rows count each time. Rows with equal score and count
 are ordered by the phrase's UTF-8 bytes. An empty table, or languages without a phrase that reaches the support, give
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from hourwatt.llm.common import Scratch, split_even
 
 SUPPORT, LONGEST, SHARDS, COVERED, BEST = 30, 4, 8, 80, 2000
-BLOCK_WORDS, SLICE_BYTES = 1 << 21, 1 << 22
+BLOCK_WORDS, SLICE_BYTES = 1 << 20, 1 << 22
 _PART = 1 << 20  # blocks of one task at most
 _SEPARATOR = 10
 # The characters that end a piece; A to Z are lowered, all other bytes stay.
@@ -38,7 +39,7 @@ _TABLE[ord("A") : ord("Z") + 1] += 32
 _TABLE[list(b".,;:!?\n\x0b\x0c\r")] = _SEPARATOR
 
 BLOCKS = "block long, lang string, n long, ids binary, words array<string>, counts array<int>"
-STREAM = "block long, least long, ids binary, grams binary"
+STREAM = "block long, least long, ids binary, words binary, grams binary, phrases binary"
 PARTIAL = "prefix long, word long, block long, least long, c long"
 
 
@@ -104,82 +105,65 @@ def blocks(docs: DataFrame, text: str, lang: str, shards: int, size: int = BLOCK
     return rows.mapInArrow(run, BLOCKS)
 
 
-def locally_frequent(partial: DataFrame, keys: list[str], shards: int) -> DataFrame:
-    """The rows of ``partial`` (phrase, block, count) whose phrase reaches the local support in some shard.
+def mined(partial: DataFrame, keys: list[str], shards: int, support: int) -> DataFrame:
+    """(keys, block, least, number, f, id) of the phrases with the support, from their counts by block.
 
-    Both steps use one exchange, by phrase: the shards' counts, and the rows of the phrases that they keep.
+    Three steps that share one exchange, by phrase. Every shard's counts, of which those that reach the shard's share
+    of the support make up the union of candidates; the candidates' exact counts over all blocks; and the blocks'
+    rows of those with the support, with a number for the phrase. One task numbers a phrase and writes all its rows.
     """
     dealt = split_even(partial, *keys)
     shard = F.pmod("block", F.lit(shards)).alias("shard")
-    mined = dealt.groupBy(*keys, shard).agg(F.sum("c").alias("c"), F.first("least").alias("least"))
-    union = mined.where(F.col("c") >= F.col("least")).select(*keys).distinct()
-    return dealt.join(union, keys, "left_semi")
-
-
-def counted(rows: DataFrame, keys: list[str], support: int) -> DataFrame:
-    """Exact counts over all blocks of the phrases in ``rows``, those with the support."""
-    return rows.groupBy(*keys).agg(F.sum("c").alias("f")).where(F.col("f") >= support)
-
-
-def densely_numbered(df: DataFrame, scratch: Scratch) -> DataFrame:
-    """``df`` written with an ``id`` from 0 on without gaps; the driver sees a number per written partition."""
-    low = (1 << 33) - 1
-    kept = scratch.keep(df.withColumn("_nth", F.monotonically_increasing_id()))
-    part = F.shiftright("_nth", 33)
-    sizes = kept.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
-    starts, total = [], 0
-    for row in sizes:
-        starts.append((row.part, total))
-        total += row.n
-    if total >= 2**31:
-        raise ValueError(f"{total} distinct words are more than 32 bits can number")
-    first = df.sparkSession.createDataFrame(starts, "_part long, _first long")
-    return kept.join(first, part == F.col("_part")).select(
-        *df.columns, (F.col("_first") + F.col("_nth").bitwiseAND(F.lit(low))).alias("id")
-    )
+    local = dealt.groupBy(*keys, shard).agg(F.sum("c").alias("c"), F.first("least").alias("least"))
+    candidates = local.where(F.col("c") >= F.col("least")).select(*keys).distinct()
+    exact = dealt.join(candidates, keys, "left_semi").groupBy(*keys).agg(F.sum("c").alias("f"))
+    frequent = exact.where(F.col("f") >= support).withColumn("id", F.monotonically_increasing_id())
+    return dealt.join(frequent, keys)
 
 
-def _runs(keep: np.ndarray, ids: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _runs(keep: np.ndarray, *streams: np.ndarray) -> list[np.ndarray]:
     """The kept positions, with -1 wherever some in between are left out."""
     at = np.flatnonzero(keep)
     gaps = np.flatnonzero(np.diff(at) > 1) + 1
-    return np.insert(ids[at], gaps, -1), np.insert(grams[at], gaps, -1)
+    return [np.insert(stream[at], gaps, -1) for stream in streams]
 
 
-def _stream_row(block: int, least: int, ids: np.ndarray, grams: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([block], pa.int64()), pa.array([least], pa.int64()),
-            pa.array([ids.astype(np.int32).tobytes()], pa.binary()), pa.array([grams.astype(np.int64).tobytes()], pa.binary()),
-        ],
-        ["block", "least", "ids", "grams"],
-    )
+def _stream_row(row: dict, ids: np.ndarray, words: np.ndarray, grams: np.ndarray, phrases: np.ndarray) -> pa.RecordBatch:
+    binary = [pa.array([x.tobytes()], pa.binary()) for x in (ids.astype(np.int32), words, grams.astype(np.int32), phrases)]
+    numbers = [pa.array([row[c]], pa.int64()) for c in ("block", "least")]
+    return pa.RecordBatch.from_arrays([*numbers, *binary], ["block", "least", "ids", "words", "grams", "phrases"])
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows one by one: binary columns as bytes, lists as arrays."""
+    """Rows one by one: numbers, and arrays of what the columns hold."""
+    kinds = {"ids": np.int32, "grams": np.int32, "words": np.int64, "phrases": np.int64}
     for batch in batches:
         for i in range(len(batch)):
             row = {}
             for name, column in zip(batch.schema.names, batch.columns):
                 cell = column[i]
-                row[name] = cell.values.to_numpy() if pa.types.is_list(column.type) else cell.as_py()
+                if pa.types.is_list(column.type):
+                    row[name] = cell.values.to_numpy()
+                else:
+                    row[name] = np.frombuffer(cell.as_buffer(), kinds[name]) if name in kinds else cell.as_py()
             yield row
 
 
 def word_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with the numbers of frequent words; runs of at least two such words stay."""
+    """Blocks with their frequent words alone, numbered in the block (``words`` has the numbers of the corpus);
+    runs of at least two such words stay."""
     for row in _rows(batches):
-        ids = np.frombuffer(row["ids"], np.int32)
-        table = np.full(int(ids.max(initial=0)) + 2, -1, np.int64)
-        table[row["number"]] = row["id"]
-        new = table[ids]
-        pair = (new[:-1] >= 0) & (new[1:] >= 0)
-        keep = np.zeros(len(new), bool)
+        words, place = np.unique(row["id"], return_inverse=True)
+        table = np.full(int(row["ids"].max(initial=0)) + 2, -1, np.int32)
+        table[row["number"]] = place
+        ids = table[row["ids"]]
+        pair = (ids[:-1] >= 0) & (ids[1:] >= 0)
+        keep = np.zeros(len(ids), bool)
         keep[:-1] |= pair
         keep[1:] |= pair
         if keep.any():
-            yield _stream_row(row["block"], row["least"], *_runs(keep, new, new))
+            (ids,) = _runs(keep, ids)
+            yield _stream_row(row, ids, words, ids, words)
 
 
 def phrases_of(length: int):
@@ -187,17 +171,16 @@ def phrases_of(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            ids, grams = np.frombuffer(row["ids"], np.int32), np.frombuffer(row["grams"], np.int64)
+            ids, grams = row["ids"], row["grams"]
             at = np.flatnonzero((grams[:-1] >= 0) & (grams[1:] >= 0))
-            known, short = np.unique(grams[at], return_inverse=True)
-            keys, c = np.unique(short.astype(np.int64) << 32 | ids[at + length - 1], return_counts=True)
+            keys, c = np.unique(grams[at].astype(np.int64) << 32 | ids[at + length - 1], return_counts=True)
             for a in range(0, len(keys), 200_000):
                 some = keys[a : a + 200_000]
                 n = len(some)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(known[some >> 32]), pa.array(some & 0xFFFFFFFF), pa.array(np.full(n, row["block"])),
-                        pa.array(np.full(n, row["least"])), pa.array(c[a : a + 200_000]),
+                        pa.array(row["phrases"][some >> 32]), pa.array(row["words"][some & 0xFFFFFFFF]),
+                        pa.array(np.full(n, row["block"])), pa.array(np.full(n, row["least"])), pa.array(c[a : a + 200_000]),
                     ],
                     ["prefix", "word", "block", "least", "c"],
                 )
@@ -206,28 +189,28 @@ def phrases_of(length: int):
 
 
 def gram_stream(length: int):
-    """Blocks with the numbers of frequent phrases of ``length`` words in place of shorter ones; runs of two stay."""
+    """Blocks with the frequent phrases of ``length`` words in place of shorter ones; runs of two such stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            ids, grams = np.frombuffer(row["ids"], np.int32), np.frombuffer(row["grams"], np.int64)
-            known = np.unique(row["prefix"])
-            keys = np.searchsorted(known, row["prefix"]) << 32 | row["word"]
+            ids, grams = row["ids"], row["grams"]
+            phrases, place = np.unique(row["id"], return_inverse=True)
+            first, last = np.searchsorted(row["phrases"], row["prefix"]), np.searchsorted(row["words"], row["word"])
+            keys = first << 32 | last
             order = np.argsort(keys)
-            keys, numbers = keys[order], row["id"][order]
+            keys, place = keys[order], place[order]
             n = len(ids) - length + 1  # places where a phrase of that length can begin
-            short = np.searchsorted(known, grams[:n])
-            same = known[np.minimum(short, len(known) - 1)] == grams[:n]
-            mine = short << 32 | (ids[length - 1 :].astype(np.int64) & 0xFFFFFFFF)
-            place = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
-            new = np.full(len(ids), -1, np.int64)
-            new[:n] = np.where(same & (keys[place] == mine), numbers[place], -1)
+            mine = grams[:n].astype(np.int64) << 32 | (ids[length - 1 :].astype(np.int64) & 0xFFFFFFFF)
+            found = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+            new = np.full(len(ids), -1, np.int32)
+            new[:n] = np.where(keys[found] == mine, place[found], -1)
             two = np.flatnonzero((new[:-1] >= 0) & (new[1:] >= 0))
             keep = np.zeros(len(ids), bool)
             for k in range(length + 1):
                 keep[two + k] = True
             if len(two):
-                yield _stream_row(row["block"], row["least"], *_runs(keep, ids, new))
+                ids, new = _runs(keep, ids, new)
+                yield _stream_row(row, ids, row["words"], new, phrases)
 
     return run
 
@@ -248,27 +231,23 @@ def frequent_phrases(
 
     words = known.select("block", "lang", "least", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "_w"))
     words = words.select("block", "lang", "least", "number", F.col("_w.words").alias("word"), F.col("_w.counts").cast("long").alias("c"))
-    rows = scratch.keep(locally_frequent(words, ["lang", "word"], shards))
-    found = scratch.keep(densely_numbered(counted(rows, ["lang", "word"], support), scratch))
-    phrases = [found.select("lang", F.array("word").alias("words"), "f", "id")]
-    places = rows.join(found, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("number", "id")).alias("_m"))
+    rows = scratch.keep(mined(words, ["lang", "word"], shards, support).drop("c", "least"))
+    found = rows.select("lang", "word", "f", "id").distinct()
+    phrases = [scratch.keep(found.select("lang", F.array("word").alias("words"), "f", "id"))]
+    single = phrases[0].select(F.col("id").alias("word"), F.col("words")[0].alias("_text"))
+    places = rows.groupBy("block").agg(F.collect_list(F.struct("number", "id")).alias("_m"))
     joined = known.select("block", "least", "ids").join(places, "block")
     stream = scratch.keep(joined.select("block", "least", "ids", "_m.number", "_m.id").mapInArrow(word_stream, STREAM))
-    single = found.select(F.col("id").alias("word"), F.col("word").alias("_text"))
 
     for length in range(2, longest + 1):
-        rows = scratch.keep(locally_frequent(stream.mapInArrow(phrases_of(length), PARTIAL), ["prefix", "word"], shards))
-        found = scratch.keep(counted(rows, ["prefix", "word"], support).withColumn("id", F.monotonically_increasing_id()))
+        counts = stream.mapInArrow(phrases_of(length), PARTIAL)
+        rows = scratch.keep(mined(counts, ["prefix", "word"], shards, support).drop("c", "least"))
         before = phrases[-1].select("lang", "words", F.col("id").alias("prefix"))
-        phrases.append(
-            scratch.keep(
-                found.join(before, "prefix").join(single, "word")
-                .select("lang", F.concat("words", F.array("_text")).alias("words"), "f", "id")
-            )
-        )
+        found = rows.select("prefix", "word", "f", "id").distinct().join(before, "prefix").join(single, "word")
+        phrases.append(scratch.keep(found.select("lang", F.concat("words", F.array("_text")).alias("words"), "f", "id")))
         if length < longest:
-            places = rows.join(found, ["prefix", "word"]).groupBy("block").agg(F.collect_list(F.struct("prefix", "word", "id")).alias("_m"))
-            joined = stream.join(places, "block").select("block", "least", "ids", "grams", "_m.prefix", "_m.word", "_m.id")
+            places = rows.groupBy("block").agg(F.collect_list(F.struct("prefix", "word", "id")).alias("_m"))
+            joined = stream.join(places, "block").select(*stream.columns, "_m.prefix", "_m.word", "_m.id")
             stream = scratch.keep(joined.mapInArrow(gram_stream(length), STREAM))
     every = phrases[0]
     for more in phrases[1:]:

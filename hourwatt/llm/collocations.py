@@ -8,7 +8,7 @@ looked at only where both phrases one word shorter have the support, so the bloc
 
 A shard has many blocks and is counted by many tasks, so nothing grows with the corpus in one task; the number of shards is
 a parameter that stays fixed, so the local support stays useful at any size. A block sends one row per distinct phrase, so a phrase
-that makes up a third of all text is as many rows as there are blocks. Both phases read one shuffle. Blocks number their own words and phrases, so their
+that makes up a third of all text is as many rows as there are blocks. Both phases work on one shuffle. Blocks number their own words and phrases, so their
 streams stay small.
 
 Null texts are empty and a null language is ``und``. Repeated rows count each time. Rows with equal score and count
@@ -106,19 +106,22 @@ def blocks(docs: DataFrame, text: str, lang: str, shards: int, size: int = BLOCK
 
 
 def mined(partial: DataFrame, keys: list[str], shards: int, support: int) -> DataFrame:
-    """(keys, block, least, number, f, id) of the phrases with the support, from their counts by block.
+    """``partial`` (counts by block) without the rows of other phrases than those with the support; ``f`` and ``id`` added.
 
-    Three steps that share one exchange, by phrase. Every shard's counts, of which those that reach the shard's share
-    of the support make up the union of candidates; the candidates' exact counts over all blocks; and the blocks'
-    rows of those with the support, with a number for the phrase. One task numbers a phrase and writes all its rows.
+    One exchange, by phrase, and one sort serve all steps. Every shard's counts: phrases that reach a shard's share
+    of the support are the union of candidates; a candidate's count over all blocks is ``f``, exact; ``id`` is a number
+    for each phrase that is left. One task sees and writes all rows of a phrase, one per block.
     """
-    dealt = split_even(partial, *keys)
-    shard = F.pmod("block", F.lit(shards)).alias("shard")
-    local = dealt.groupBy(*keys, shard).agg(F.sum("c").alias("c"), F.first("least").alias("least"))
-    candidates = local.where(F.col("c") >= F.col("least")).select(*keys).distinct()
-    exact = dealt.join(candidates, keys, "left_semi").groupBy(*keys).agg(F.sum("c").alias("f"))
-    frequent = exact.where(F.col("f") >= support).withColumn("id", F.monotonically_increasing_id())
-    return dealt.join(frequent, keys)
+    dealt = split_even(partial, *keys).withColumns(
+        {"_shard": F.pmod("block", F.lit(shards)), "_row": F.monotonically_increasing_id()}
+    )
+    in_shard, everywhere = Window.partitionBy(*keys, "_shard"), Window.partitionBy(*keys)
+    local = dealt.withColumn("_local", F.sum("c").over(in_shard))
+    candidate = F.max(F.col("_local") >= F.col("least")).over(everywhere)
+    exact = local.withColumns(
+        {"_candidate": candidate, "f": F.sum("c").over(everywhere), "id": F.min("_row").over(everywhere)}
+    )
+    return exact.where(F.col("_candidate") & (F.col("f") >= support)).drop("_shard", "_row", "_local", "_candidate")
 
 
 def _runs(keep: np.ndarray, *streams: np.ndarray) -> list[np.ndarray]:

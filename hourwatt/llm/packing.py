@@ -30,6 +30,7 @@ ROOM, END, VOCABULARY = 1024, 2, "byte_bpe_50k.json"
 PER_GROUP = 32_768  # pieces of one group at first
 MOST = 262_144  # pieces of one group after exchanges: a task holds one group at a time
 ROUNDS = 5
+TEXTS = 4096  # encoded at once
 STEPS = 40  # dual feasible functions of rounding kind: k from 1 to this
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -42,8 +43,8 @@ def pieces(docs: DataFrame, text: str = "text", room: int = ROOM, path: str | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for at in range(0, big.num_rows, 1024):
-                batch = big.slice(at, 1024)
+            for at in range(0, big.num_rows, TEXTS):
+                batch = big.slice(at, TEXTS)
                 whose, piece, start, length, crc = [], [], [], [], []
                 for i, ids in enumerate(encoded(path, batch.column("text"))):
                     ids = np.append(ids, np.uint32(END)).astype("<u4")

@@ -137,7 +137,7 @@ def signed(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, node, bands, signature) per row; both are empty where there is no word."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = task_cache("bagminhash")
+        known = task_cache("words", "bagminhash")
         for big in batches:
             for at in range(0, len(big), 256):
                 batch = big.iloc[at : at + 256]

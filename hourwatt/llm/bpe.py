@@ -38,7 +38,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 def tokenizer(path: str):
-    kept = task_cache("tokenizers")
+    kept = task_cache("tokenizers", "ids")
     if path not in kept:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -63,7 +63,7 @@ def unpacked(parts: Iterable[bytes]) -> list[int]:
 
 def learn(path: str, words: list[str], memo: dict[str, bytes]) -> None:
     """Packed ids of ``words`` into ``memo``."""
-    runs = task_cache(f"runs {path}")
+    runs = task_cache(f"runs {path}", "ids")
     if len(runs) > KEPT:
         runs.clear()
     model, rest = tokenizer(path).model, []
@@ -85,7 +85,7 @@ def learn(path: str, words: list[str], memo: dict[str, bytes]) -> None:
 
 def learned(path: str, words: list[str]) -> dict[str, bytes]:
     """Packed ids by stretch, those of ``words`` at least."""
-    memo = task_cache(f"stretches {path}")
+    memo = task_cache(f"stretches {path}", "ids")
     if len(memo) > KEPT:
         memo.clear()
     memo[""] = b""

@@ -38,7 +38,7 @@ def _spelled(run: str) -> str:
 
 
 def _kept(name: str) -> dict[str, bytes]:
-    memo = task_cache(name)
+    memo = task_cache(name, "ids")
     if len(memo) > KEPT:
         memo.clear()
     return memo

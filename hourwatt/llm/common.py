@@ -67,10 +67,15 @@ def split_even(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.repartition(max(n, 1), *keys)
 
 
-def task_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker, so later tasks reuse what earlier ones made."""
+def task_cache(name: str, owner: str) -> dict:
+    """A dict of the Python worker, so later tasks of an operator reuse what earlier ones made.
+
+    A worker serves one operator after the other: what the one before kept is dropped when another begins.
+    """
     holder = sys.modules.setdefault("_hourwatt_task_cache", types.ModuleType("_hourwatt_task_cache"))
-    return holder.__dict__.setdefault(name, {})
+    if getattr(holder, "owner", None) != owner:
+        holder.owner, holder.kept = owner, {}
+    return holder.kept.setdefault(name, {})
 
 
 def labelled_sample(

@@ -4,8 +4,9 @@ Two public vocabularies encode every word: a byte-level one gives characters per
 entropy of the tokens, a piece vocabulary with byte fallback gives characters per piece and the share of
 byte pieces. Texts are grouped by script, language and size class; each measure has a band per
 group, the quartiles over all documents widened by ``REACH`` times their distance. A text outside
-a band is rejected, as is one that fails the base rules. Groups of fewer than ``LEAST_GROUP`` texts
-use the bands of their script and size class, small ones of those the bands of all texts.
+a band is rejected, as is one that fails the base rules. A group that is a small share of its language leans on
+the quartiles of all sizes of the language. Nothing depends on how many texts there are: a corpus and
+its copies together get the verdicts that the corpus gets alone.
 
 Null texts count as texts without words: no measure, rejected by the base rule. Repeated rows and
 ties get equal results; an empty table gives an empty result.
@@ -14,70 +15,90 @@ ties get equal results; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
 import public_tokenizers
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourwatt.llm.bpe import packed
 from hourwatt.llm.common import WORD, handed_over, task_cache
 
 MEASURES = ("chars_per_token", "chars_per_piece", "byte_share", "token_entropy")
-REACH, LEAST_GROUP, KEPT = 2.0, 200, 400_000
+REACH, KEPT, SLICE = 2.0, 400_000, 512
+SHARE = 0.01  # a group with this share of its language has as much weight in its band as the whole language
+DIGITS, EDGE = 4, 1e-9  # of rounded measures; so much beyond a band is still inside
 #: Least width of a band on either side of the median, so that groups of equal texts reject nothing nearby.
 LEAST_WIDTH = {"chars_per_token": 0.2, "chars_per_piece": 0.2, "byte_share": 0.02, "token_entropy": 0.05}
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 # First and last code points of common scripts.
 SCRIPTS = (
     ("latin", "ª", "ɏ"), ("greek", "Ͱ", "Ͽ"), ("cyrillic", "Ѐ", "ӿ"), ("hebrew", "֐", "׿"),
     ("arabic", "؀", "ۿ"), ("devanagari", "ऀ", "ॿ"), ("thai", "฀", "๿"), ("hangul", "가", "힣"),
     ("kana", "぀", "ヿ"), ("han", "一", "鿿"),
 )
-_WORDS = re.compile(WORD)
 _ASCII_LETTERS, _ASCII = re.compile("[A-Za-z]+"), re.compile(r"[\x00-\x7f]+")
+_LATIN, _BEYOND_LATIN = re.compile(f"[A-Za-z{SCRIPTS[0][1]}-{SCRIPTS[0][2]}]+"), SCRIPTS[1][1]
 _SCRIPT = [(name, re.compile(f"[{a}-{b}]")) for name, a, b in SCRIPTS]
 
 
-def script_of(text: str) -> str:
-    """The script of most letters; ``none`` without any."""
+def letters(text: str) -> Counter:
+    """Letters of each script."""
     rest = _ASCII_LETTERS.sub("", text)
-    ascii_letters = len(text) - len(rest)
-    if rest.isascii():
-        return "latin" if ascii_letters else "none"
-    rest = _ASCII.sub("", rest)
-    counts = {name: len(found.findall(rest)) for name, found in _SCRIPT}
-    counts["latin"] += ascii_letters
+    counts = Counter(latin=len(text) - len(rest))
+    if not rest.isascii():
+        rest = _ASCII.sub("", rest)
+        for name, found in _SCRIPT:
+            counts[name] += len(found.findall(rest))
+    return counts
+
+
+def script_of(text: str) -> str:
+    """The script of most letters, the earlier one on a tie; ``none`` without any."""
+    counts = letters(text)
     best = max(counts, key=lambda k: counts[k])
     return best if counts[best] else "none"
 
 
-def base_counts(words: list[str], text: str) -> tuple[int, int, int, int, int]:
-    """Words, their characters, symbols, repeated lines, words in repeated three-word windows."""
-    seen: set[str] = set()
-    lines = 0
-    for line in text.split("\n"):
-        if line in seen:
-            lines += 1
-        elif _WORDS.search(line):
-            seen.add(line)
-    repeated = 0
-    windows = list(zip(words, words[1:], words[2:]))
-    if len(set(windows)) < len(windows):
-        counts, covered = Counter(windows), -1
-        for i, window in enumerate(windows):
-            if counts[window] > 1:
-                repeated += i + 2 - max(covered, i - 1)
-                covered = i + 2
-    return len(words), sum(map(len, words)), sum(map(text.count, SYMBOLS)), lines, repeated
+def _slices(offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` between consecutive offsets."""
+    upto = np.concatenate([[0], np.cumsum(values)])
+    return upto[offsets[1:]] - upto[offsets[:-1]]
+
+
+def repeated_lines(texts: pa.Array) -> np.ndarray:
+    """Lines with a word that equal an earlier line of their text."""
+    lines = pc.split_pattern(texts, "\n")
+    names = lines.flatten().dictionary_encode()
+    worded = pc.match_substring_regex(names.dictionary, WORD).to_numpy(zero_copy_only=False)
+    line, offsets = names.indices.to_numpy().astype(np.int64), lines.offsets.to_numpy() - lines.offsets[0].as_py()
+    doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    keys, n = np.unique((doc << 32 | line)[worded[line]], return_counts=True)
+    return np.bincount(keys >> 32, weights=n - 1, minlength=len(texts)).astype(np.int64)
+
+
+def repeated_words(doc: np.ndarray, word: np.ndarray, texts: int) -> np.ndarray:
+    """Words inside three-word windows that a text has twice or more."""
+    inside = doc[2:] == doc[:-2]  # where a window begins
+    pairs = np.unique(word[:-1] << 32 | word[1:], return_inverse=True)[1]
+    threes = np.unique(pairs[:-1] << 32 | word[2:], return_inverse=True)[1]
+    _, place, n = np.unique(doc[2:][inside] << 32 | threes[inside], return_inverse=True, return_counts=True)
+    often = np.zeros(len(inside), bool)
+    often[inside] = n[place] > 1
+    covered = np.zeros(len(word), bool)
+    for k in range(3):
+        covered[k : k + len(often)] |= often
+    return np.bincount(doc[covered], minlength=texts)
 
 
 def vocabularies(byte_vocabulary: str, piece_vocabulary: str):
     """The two encoders, kept by the worker."""
-    kept = task_cache("fertility")
+    kept = task_cache("words", "fertility")
     if not kept:
         import sentencepiece
         import tiktoken
@@ -94,42 +115,35 @@ def vocabularies(byte_vocabulary: str, piece_vocabulary: str):
     return kept
 
 
-def learn_words(kept: dict, lists: list[list[str]]) -> dict[str, tuple]:
-    """Of every word: its tokens, its number of pieces, how many of them are bytes."""
+def learned_words(kept: dict, words: list[str]) -> list[tuple[bytes, int, int, int, bool]]:
+    """Of every word: its tokens, number of pieces, how many are bytes, Latin letters, whether it may have letters
+    of another script."""
     memo = kept["words"]
     if len(memo) > KEPT:
         memo.clear()
-    new = list({w for words in lists for w in words if w not in memo})
+    new = [w for w in words if w not in memo]
     if new:
-        bytes_of = kept["byte ids"]
-        pieces = kept["pieces"].encode(new, num_threads=1)
-        for word, found in zip(new, pieces):
-            tokens = kept["bytes"].encode_ordinary(" " + word)
-            n_bytes = 0 if word.isascii() else sum(map(bytes_of.__contains__, found))
-            memo[word] = (tuple(tokens), len(found), n_bytes)
-    return memo
-
-
-def measured(words: list[str], memo: dict[str, tuple]) -> tuple[int, float, float, float, float]:
-    """Number of tokens, then the measures; the entropy is a share of the largest possible one."""
-    tokens: Counter = Counter()
-    n_pieces = n_bytes = chars = 0
-    for word, times in Counter(words).items():
-        ids, pieces, from_bytes = memo[word]
-        n_pieces += pieces * times
-        n_bytes += from_bytes * times
-        chars += len(word) * times
-        for i in ids:
-            tokens[i] += times
-    n = tokens.total()
-    if not n or not n_pieces:
-        return 0, 0.0, 0.0, 0.0, 0.0
-    spread = -sum(c / n * math.log(c / n) for c in tokens.values())
-    return n, chars / n, chars / n_pieces, n_bytes / n_pieces, spread / math.log(n) if n > 1 else 0.0
+        bytes_of, one = kept["byte ids"], kept["bytes"].encode_ordinary
+        for word, found in zip(new, kept["pieces"].encode(new, num_threads=1)):
+            if word.isascii():
+                n_bytes, other = 0, False
+            else:
+                n_bytes, other = sum(map(bytes_of.__contains__, found)), max(word) >= _BEYOND_LATIN
+            latin = len(word) if word.isascii() and word.isalpha() else len(word) - len(_LATIN.sub("", word))
+            memo[word] = (packed(one(" " + word)), len(found), n_bytes, latin, other)
+    return [memo[w] for w in words]
+
+
+def entropies(doc: np.ndarray, tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Entropy of each text's tokens, as a share of the largest possible one."""
+    keys, times = np.unique(doc << 32 | tokens, return_counts=True)
+    spread = np.bincount(keys >> 32, weights=times * np.log(times), minlength=len(n))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(n > 1, 1.0 - spread / (n * np.log(n)), 0.0)
 
 
 FACTS = (
-    "doc_id string, lang string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
+    "doc_id long, lang string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
     " n_repeat_words long, n_tokens long, chars_per_token double, chars_per_piece double, byte_share double,"
     " token_entropy double"
 )
@@ -143,41 +157,93 @@ def measures(docs: DataFrame, text: str = "text", byte_vocabulary: str | None =
     )
     names = [part.split()[0] for part in FACTS.split(",")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def facts_of(kept: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column("text").cast(pa.large_string())
+        n = len(texts)
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        found, word = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        doc = np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
+        if "" in found:  # a text that begins or ends with a blank
+            some = word != found.index("")
+            word, doc = word[some], doc[some]
+        offsets = np.searchsorted(doc, np.arange(n + 1))
+        packs, pieces, from_bytes, latin, other = zip(*learned_words(kept, found)) if found else [()] * 5
+        flat, size = np.frombuffer(b"".join(packs), np.uint32).astype(np.int64), np.array([len(p) // 4 for p in packs], np.int64)
+        begin = np.concatenate([[0], np.cumsum(size)])
+        per_word = size[word]
+        at = np.repeat(begin[word] - np.concatenate([[0], np.cumsum(per_word)[:-1]])[: len(word)], per_word)
+        tokens = flat[at + np.arange(len(at))]
+        sums = [_slices(offsets, np.array(x, np.int64)[word]) for x in (size, pieces, from_bytes, latin, other, [len(w) for w in found])]
+        n_tokens, n_pieces, n_bytes, n_latin, n_other, chars = sums
+        some = (n_tokens > 0) & (n_pieces > 0)
+        script = np.where(n_latin > 0, "latin", "none").astype(object)
+        for i in np.flatnonzero(n_other):
+            script[i] = script_of(texts[int(i)].as_py())
+        share = lambda a, b: np.where(some, a / np.maximum(b, 1), 0.0)
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"), batch.column("lang"), pa.array(script, pa.string()), pa.array(np.diff(offsets)), pa.array(chars),
+                pc.count_substring_regex(texts, SYMBOLS).cast(pa.int64()), pa.array(repeated_lines(texts)),
+                pa.array(repeated_words(doc, word, n)), pa.array(np.where(some, n_tokens, 0)),
+                pa.array(share(chars, n_tokens)), pa.array(share(chars, n_pieces)), pa.array(share(n_bytes, n_pieces)),
+                pa.array(np.where(some, entropies(np.repeat(doc, per_word), tokens, n_tokens), 0.0)),
+            ],
+            names,
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = vocabularies(*paths)
-        for big in batches:
-            for at in range(0, len(big), 256):
-                batch = big.iloc[at : at + 256]
-                lists = [_WORDS.findall(t) for t in batch.text]
-                memo = learn_words(kept, lists)
-                rows = [
-                    (doc_id, lang, script_of(t), *base_counts(words, t), *measured(words, memo))
-                    for doc_id, lang, t, words in zip(batch.doc_id, batch.lang, batch.text, lists)
-                ]
-                yield pd.DataFrame(rows, columns=names)
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                yield facts_of(kept, batch.slice(at, SLICE))
 
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), lang.alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, FACTS).withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, FACTS)
+
+
+GROUP = ["script", "lang_key"]
+
+
+def quartiles(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n, q1, q2, q3) of counted values: the least value that a quarter, a half, three quarters reach.
+
+    A group's values are rounded, so it has a bounded number of distinct ones, however many texts.
+    """
+    upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*keys)
+    each = counts.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+    each = each.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(whole)})
+    least = [F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("value"))).alias(f"q{k}") for k in (1, 2, 3)]
+    return each.groupBy(*keys).agg(F.first("total").alias("total"), *least)
 
 
 def bands(facts: DataFrame) -> DataFrame:
-    """(script, lang, size_class, n, low and high of each measure); null names stand for all."""
-    cuts = [F.percentile_approx(m, [0.25, 0.5, 0.75], 2000).alias(m) for m in MEASURES]
-    # All three, script and size, or nothing given: the levels that a text falls back through.
-    levels = [["script", "lang_key", "size_class"], ["script", "size_class"], []]
-    grouped = facts.where("n_words >= 50").groupingSets(levels, "script", "lang_key", "size_class").agg(
-        F.count("*").alias("n"), F.grouping_id().alias("level"), *cuts
+    """(script, lang_key, size_class) with low and high of each measure.
+
+    Quartiles of the group, blended with those of its script and language over all sizes. The group's weight comes
+    from its share of the language's texts, not from how many they are, so a corpus of copies has the same bands; and
+    no language is ever judged by another one.
+    """
+    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(m, DIGITS).alias("value")) for m in MEASURES])
+    rows = facts.where("n_words >= 50").select(*GROUP, "size_class", F.inline(cells))
+    counts = rows.groupBy(*GROUP, "size_class", "measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    own = quartiles(counts, [*GROUP, "size_class", "measure"])
+    wide = quartiles(counts, [*GROUP, "measure"]).select(
+        *GROUP, "measure", F.col("total").alias("all"), *[F.col(f"q{k}").alias(f"w{k}") for k in (1, 2, 3)]
     )
-    limits = []
-    for m in MEASURES:
-        q1, mid, q3 = (F.col(m)[k] for k in range(3))
-        wide = REACH * (q3 - q1)
-        limits += [
-            F.least(q1 - wide, mid - LEAST_WIDTH[m]).alias(f"{m}_low"),
-            F.greatest(q3 + wide, mid + LEAST_WIDTH[m]).alias(f"{m}_high"),
-        ]
-    return grouped.select("script", "lang_key", "size_class", "n", "level", *limits)
+    share = F.col("total") / F.col("all")
+    weight = share / (share + SHARE)
+    q = [F.col(f"q{k}") * weight + F.col(f"w{k}") * (1 - weight) for k in (1, 2, 3)]
+    least = F.create_map(*[F.lit(x) for item in LEAST_WIDTH.items() for x in item])[F.col("measure")]
+    both = own.join(wide, [*GROUP, "measure"]).select(
+        *GROUP, "size_class", "measure",
+        F.least(q[0] - REACH * (q[2] - q[0]), q[1] - least).alias("low"),
+        F.greatest(q[2] + REACH * (q[2] - q[0]), q[1] + least).alias("high"),
+    )
+    ends = [F.max(F.when(F.col("measure") == m, F.col(end))).alias(f"{m}_{end}") for m in MEASURES for end in ("low", "high")]
+    return both.groupBy(*GROUP, "size_class").agg(*ends)
 
 
 def judged(docs: DataFrame, text: str = "text", **vocabulary: str) -> DataFrame:
@@ -189,21 +255,11 @@ def judged(docs: DataFrame, text: str = "text", **vocabulary: str) -> DataFrame:
         .withColumn("lang_key", F.when(F.col("lang").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), "lang"))),
         "fertility",
     )
-    table = handed_over(bands(facts).where((F.col("n") >= LEAST_GROUP) | (F.col("level") == 7)), "bands")
-    names = [f"{m}_{end}" for m in MEASURES for end in ("low", "high")]
-
-    def level(k: int, on: list[str]) -> DataFrame:
-        return table.where(F.col("level") == k).select(*on, F.struct(*names).alias(f"band{k}"))
-
-    # Languages are many at most, size classes below sixty: these tables stay small.
-    out = facts.join(level(0, ["script", "lang_key", "size_class"]), ["script", "lang_key", "size_class"], "left")
-    out = out.join(level(2, ["script", "size_class"]), ["script", "size_class"], "left")
-    whole = table.where("level = 7").select(*names).first()
-    own = F.coalesce("band0", "band2", F.struct(*[F.lit(None if whole is None else whole[n]).cast("double").alias(n) for n in names]))
-    out = out.withColumn("band", own)
+    out = facts.join(bands(facts), [*GROUP, "size_class"], "left")  # a row per group, which Spark broadcasts while small
     inside = F.lit(True)
     for m in MEASURES:
-        inside &= F.coalesce(F.col(m).between(F.col(f"band.{m}_low"), F.col(f"band.{m}_high")), F.lit(True))
+        value = F.round(m, DIGITS)
+        inside &= F.coalesce(value.between(F.col(f"{m}_low") - EDGE, F.col(f"{m}_high") + EDGE), F.lit(True))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

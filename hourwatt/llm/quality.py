@@ -64,7 +64,7 @@ def difference_column(good: bytes, bad: bytes, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def sizes(texts: pd.Series) -> pd.Series:
-        kept = task_cache("quality")
+        kept = task_cache("dictionaries", "quality")
         if kept.get("key") != key:
             kept.update(key=key, pair=compressors(good, bad))
         return pd.Series([difference(t, *kept["pair"]) for t in texts], dtype="float64")
@@ -92,45 +92,43 @@ class QualityModel:
         return df.withColumn(out, mixed).drop(diff, level)
 
 
+def first_texts(sample: DataFrame, enough: int) -> list[str]:
+    """Texts in the order of ``pick`` until they have ``enough`` bytes.
+
+    Sizes are summed by range of ``pick`` first, so little more than these texts leaves the tasks.
+    """
+    span = F.shiftright("pick", 21)  # 1,024 ranges
+    sizes = sample.groupBy(span.alias("span")).agg(F.sum(F.octet_length("text")).alias("n")).orderBy("span").collect()
+    total, upto = 0, -1
+    for row in sizes:
+        if total >= enough:
+            break
+        total, upto = total + row.n, row.span
+    out, total = [], 0
+    for _, text in sorted(map(tuple, sample.where(span <= upto).select("pick", "text").collect())):
+        if total >= enough:
+            break
+        out.append(text)
+        total += len(text.encode("utf-8", "replace"))
+    return out
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality",
     bound: int = 20_000, dictionary_size: int = 112_640, sample_bytes: int = 6_000_000,
 ) -> QualityModel:
     """Fit on at most ``bound`` labelled ids.
 
-    Six tenths of the texts build the dictionaries, of each class seeded texts of about
-    ``sample_bytes`` bytes; each gives its first, middle and last blocks up to 32. The rest calibrates.
+    Six tenths of the texts build the dictionaries: of each class whole texts in a seeded order until they have
+    ``sample_bytes`` bytes. The rest calibrates.
     """
     sample = handed_over(labelled_sample(docs, labels, label, train, bound), "quality-sample")
-    build = F.col("pick") % 10 < 6
-    pieces = 32 * BLOCK // 3
-    size = F.length("text")
-    part = F.when(size <= 3 * pieces, F.col("text")).otherwise(
-        F.concat(
-            F.substring("text", 1, pieces),
-            F.expr(f"substring(text, int(length(text) / 2), {pieces})"),
-            F.expr(f"substring(text, -{pieces}, {pieces})"),
-        )
-    )
-    texts = {}
-    for y in (0, 1):
-        rows = (
-            sample.where(build & (F.col("label") == y))
-            .orderBy("pick", "text")
-            .select(part.alias("part"))
-            .toLocalIterator()
-        )
-        texts[y], total = [], 0
-        for (t,) in rows:
-            texts[y].append(t)
-            total += len(t.encode("utf-8", "replace"))
-            if total >= sample_bytes:
-                break
+    texts = {y: first_texts(sample.where((F.col("pick") % 10 < 6) & (F.col("label") == y)), sample_bytes) for y in (0, 1)}
     if not any(texts[0]) or not any(texts[1]):
         return QualityModel(b"", b"", None)
     good, bad = build_dictionary(texts[1], dictionary_size), build_dictionary(texts[0], dictionary_size)
     rest = handed_over(
-        sample.where(~build).select(
+        sample.where(F.col("pick") % 10 >= 6).select(
             F.col("label").cast("double").alias("label"),
             difference_column(good, bad, F.col("text")).alias("difference"),
         ),

@@ -46,6 +46,7 @@ SECOND_PERSON = frozenset(
 )
 _LISTED = INSULTS | SECOND_PERSON
 FOLDS = 4
+KEPT = 400_000  # runs of characters that a worker keeps, over all folds
 NAMES = (
     "fixed_density fixed_hits learned_density learned_top learned_kinds learned_hits near_person"
     " person_density capitals capital_words punctuation exclamations symbols obfuscated"
@@ -232,7 +233,7 @@ def features_column(lexicon: Lexicon, text: Column, fold: Column | None = None)
     key = hash((tuple(sorted(lexicon.counts)), lexicon.docs))
 
     def tables() -> dict:
-        kept = task_cache("toxicity")
+        kept = task_cache("words", "toxicity")
         if kept.get("key") != key:
             kept.clear()
             kept.update(key=key, **{str(f): lexicon.weights(f) for f in (None, *range(FOLDS))})
@@ -240,10 +241,10 @@ def features_column(lexicon: Lexicon, text: Column, fold: Column | None = None)
         return kept
 
     def row(value: str | None, f: int | None, kept: dict) -> list[float]:
-        known = kept["known"][str(f)]
-        if len(known) > 500_000:
-            known.clear()
-        return features(value or "", kept[str(f)], known)
+        if sum(map(len, kept["known"].values())) > KEPT:
+            for known in kept["known"].values():
+                known.clear()
+        return features(value or "", kept[str(f)], kept["known"][str(f)])
 
     @F.pandas_udf("array<double>")
     def plain(texts: pd.Series) -> pd.Series:

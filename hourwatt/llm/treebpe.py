@@ -176,7 +176,7 @@ def join_all(path: str, text: str, parts: list[Part]) -> list[int]:
 
 def digest(path: str, ids: list[int]) -> tuple[int, str, str]:
     """Number of ids, sha256 of the ids as text, sha256 of the decoded text."""
-    names = task_cache("id names")
+    names = task_cache("id names", "ids")
     if not names:
         names.update({i: str(i) for i in range(tokenizer(path).get_vocab_size())})
     listed = " ".join(map(names.__getitem__, ids))

@@ -6,7 +6,7 @@ defaults to the length of the published report, ``None`` gives all rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,14 +29,43 @@ RUN_ORDER = ("created_at", "run_id")
 SERIES = ("series_id",)
 
 
+def _known(df: DataFrame) -> DataFrame:
+    return df.where(F.col("demand_mw").isNotNull())
+
+
 def known_demand(tables: Tables) -> DataFrame:
-    return tables["bronze_demand"].where(F.col("demand_mw").isNotNull())
+    return _known(tables["bronze_demand"])
+
+
+def _with_weather(df: DataFrame) -> DataFrame:
+    return df.where(F.col("temp_c").isNotNull() & F.col("demand_mw").isNotNull())
 
 
 def _weathered(tables: Tables) -> DataFrame:
-    return tables["silver_demand_weather"].where(
-        F.col("temp_c").isNotNull() & F.col("demand_mw").isNotNull()
-    )
+    return _with_weather(tables["silver_demand_weather"])
+
+
+def newest_days(
+    tables: Tables,
+    name: str,
+    report: Callable[[DataFrame], DataFrame],
+    order: Sequence[Column | str],
+    limit: int | None,
+) -> DataFrame:
+    """The first ``limit`` rows of a report by day, newest day first, from the newest days alone.
+
+    Stored tables list their days. As many newest ones are read as the report has rows to show, twice as
+    many as long as those do not give enough of them; a table that lists no days is read whole.
+    """
+    listed = getattr(tables, "days", None)
+    days = listed(name) if listed and limit else []
+    width = limit or 0
+    while width < len(days):
+        found = report(tables[name].where(F.col("event_date") >= F.lit(days[width - 1])))
+        if found.limit(limit).count() == limit:
+            return top(found, order, limit)
+        width *= 2
+    return top(report(tables[name]), order, limit)
 
 
 def newest_run(df: DataFrame) -> DataFrame:
@@ -156,12 +185,14 @@ def demand_outliers(
 
 
 def daily_demand(tables: Tables, *, by: Sequence[str] = (), limit: int | None = 30) -> DataFrame:
-    days = known_demand(tables).groupBy(*by, _date().alias("date")).agg(
-        *_demand_stats(),
-        F.stddev_samp("demand_mw").alias("demand_stddev"),
-        F.count(F.lit(1)).alias("hourly_readings"),
-    )
-    return top(days, [F.desc("date"), *by], limit)
+    def days(df: DataFrame) -> DataFrame:
+        return _known(df).groupBy(*by, _date().alias("date")).agg(
+            *_demand_stats(),
+            F.stddev_samp("demand_mw").alias("demand_stddev"),
+            F.count(F.lit(1)).alias("hourly_readings"),
+        )
+
+    return newest_days(tables, "bronze_demand", days, [F.desc("date"), *by], limit)
 
 
 def hourly_profile(tables: Tables, *, by: Sequence[str] = ()) -> DataFrame:
@@ -242,14 +273,16 @@ def volatility_days(
 def efficiency_daily(
     tables: Tables, *, by: Sequence[str] = (), limit: int | None = 30
 ) -> DataFrame:
-    days = known_demand(tables).where(F.col("generation_mw").isNotNull())
-    days = days.groupBy(*by, _date().alias("date")).agg(
-        F.avg("demand_mw").alias("avg_demand"),
-        F.avg("generation_mw").alias("avg_generation"),
-        F.try_divide(F.avg("generation_mw"), F.avg("demand_mw")).alias("efficiency_ratio"),
-        F.count(F.lit(1)).alias("hourly_readings"),
-    )
-    return top(days, [F.desc("date"), *by], limit)
+    def days(df: DataFrame) -> DataFrame:
+        both = _known(df).where(F.col("generation_mw").isNotNull())
+        return both.groupBy(*by, _date().alias("date")).agg(
+            F.avg("demand_mw").alias("avg_demand"),
+            F.avg("generation_mw").alias("avg_generation"),
+            F.try_divide(F.avg("generation_mw"), F.avg("demand_mw")).alias("efficiency_ratio"),
+            F.count(F.lit(1)).alias("hourly_readings"),
+        )
+
+    return newest_days(tables, "bronze_demand", days, [F.desc("date"), *by], limit)
 
 
 def trailing_means(
@@ -291,14 +324,16 @@ def rolling_averages(
 def temp_demand_corr(
     tables: Tables, *, by: Sequence[str] = (), limit: int | None = 30
 ) -> DataFrame:
-    days = _weathered(tables).groupBy(*by, _date().alias("date")).agg(
-        F.avg("temp_c").alias("avg_temp_c"),
-        F.avg("demand_mw").alias("avg_demand_mw"),
-        N.correlation(F.col("temp_c"), F.col("demand_mw")).alias("temp_demand_correlation"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    full = days.where(F.col("_n") >= FULL_DAY).drop("_n")
-    return top(full, [F.desc("date"), *by], limit)
+    def full_days(df: DataFrame) -> DataFrame:
+        days = _with_weather(df).groupBy(*by, _date().alias("date")).agg(
+            F.avg("temp_c").alias("avg_temp_c"),
+            F.avg("demand_mw").alias("avg_demand_mw"),
+            N.correlation(F.col("temp_c"), F.col("demand_mw")).alias("temp_demand_correlation"),
+            F.count(F.lit(1)).alias("_n"),
+        )
+        return days.where(F.col("_n") >= FULL_DAY).drop("_n")
+
+    return newest_days(tables, "silver_demand_weather", full_days, [F.desc("date"), *by], limit)
 
 
 def temp_bucket_impact(tables: Tables, *, by: Sequence[str] = ()) -> DataFrame:
@@ -322,14 +357,17 @@ def temp_bucket_impact(tables: Tables, *, by: Sequence[str] = ()) -> DataFrame:
 def forecast_daily(
     tables: Tables, *, by: Sequence[str] = (), limit: int | None = 10, all_runs: bool = False
 ) -> DataFrame:
-    days = forecasts(tables, all_runs).groupBy(*by, _date().alias("forecast_date")).agg(
-        F.avg("yhat").alias("avg_forecast_mw"),
-        F.avg("yhat_lower").alias("avg_lower_bound"),
-        F.avg("yhat_upper").alias("avg_upper_bound"),
-        F.avg(F.col("yhat_upper") - F.col("yhat_lower")).alias("avg_confidence_interval"),
-        F.count(F.lit(1)).alias("forecast_points"),
-    )
-    return top(days, [F.desc("forecast_date"), *by], limit)
+    def days(df: DataFrame) -> DataFrame:
+        rows = df if all_runs else newest_run(df)  # the runs of an hour lie in the hour's day
+        return rows.groupBy(*by, _date().alias("forecast_date")).agg(
+            F.avg("yhat").alias("avg_forecast_mw"),
+            F.avg("yhat_lower").alias("avg_lower_bound"),
+            F.avg("yhat_upper").alias("avg_upper_bound"),
+            F.avg(F.col("yhat_upper") - F.col("yhat_lower")).alias("avg_confidence_interval"),
+            F.count(F.lit(1)).alias("forecast_points"),
+        )
+
+    return newest_days(tables, "gold_forecasts", days, [F.desc("forecast_date"), *by], limit)
 
 
 def forecast_by_hour(

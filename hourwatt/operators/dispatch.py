@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from hourwatt.functions import numbers as N
 from hourwatt.operators import storage
+from hourwatt.operators.frames import numbered_rows
 from hourwatt.operators.grid import HOUR
-from hourwatt.session import task_count
+from hourwatt.session import new_folder, task_count
 
 cloudpickle.register_pickle_by_value(storage)  # executors need no installed copy
 
@@ -170,6 +171,91 @@ def battery_dispatch(
     return hours.withColumn("bid_mwh", optimal_bid(F.col("price"), F.col("lam")))
 
 
+def long_battery_dispatch(
+    prices: DataFrame,
+    fleet: Sequence[Battery] | DataFrame = FLEET,
+    per: Sequence[str] = (),
+    block: int = 1000,
+) -> DataFrame:
+    """``battery_dispatch`` for horizons of any length: the same plans, solved block by block.
+
+    A block of hours is solved together with its neighbours, from an empty and from a full store and for
+    worthless and priceless remains. Where all four agree on the block, that is the whole horizon's plan.
+    Blocks where they do not agree are solved again with twice as many neighbours, in the end with the
+    whole horizon. A task holds a block and its neighbours.
+    """
+    spark, keys = prices.sparkSession, ["series_id", *per]
+    rows = numbered_rows(prices.select(*keys, HOUR, "price"), keys, name="_at")
+    rows = rows.withColumn("_block", F.floor(F.col("_at") / block))
+    folder = new_folder(spark, "long-horizon")
+
+    def handed(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    rows = handed(rows, "rows")
+    sizes = rows.groupBy(*keys).agg(
+        F.max("_block").alias("_last"), F.bool_and(F.col("price").isNotNull()).alias("_known")
+    )
+    known = sizes.where("_known").drop("_known")
+    blocks = rows.select(*keys, "_block").distinct().join(known, keys)
+    wanted = with_batteries(blocks.withColumnRenamed("_block", "_kernel"), fleet)
+
+    @F.pandas_udf("charge_mwh array<double>, discharge_mwh array<double>, soc_mwh array<double>, met boolean")
+    def solve(
+        prices: pd.Series, shape: pd.DataFrame,
+        s_max: pd.Series, p_max: pd.Series, eta_c: pd.Series, eta_d: pd.Series,
+    ) -> pd.DataFrame:
+        units = [x.to_numpy(dtype=float) for x in (s_max, p_max, eta_c, eta_d)]
+        return storage.solve_middles(prices, shape, units)
+
+    done, around, number = [], 1, 0
+    names = ["scenario_id", *BATTERY_COLUMNS]
+    while True:
+        near = F.sequence(
+            F.greatest(F.col("_kernel") - around, F.lit(0)), F.least(F.col("_kernel") + around, "_last")
+        )
+        # The hours that a kernel needs are the same for all batteries of a series.
+        needed = wanted.select(*keys, "_kernel", "_last").distinct().withColumn("_block", F.explode(near))
+        hours = needed.join(rows, [*keys, "_block"])
+        inside = F.col("_block") == F.col("_kernel")
+        grouped = hours.groupBy(*keys, "_kernel", "_last").agg(
+            F.sort_array(F.collect_list(F.struct("_at", HOUR, "price", inside.alias("inside")))).alias("_all"),
+            F.count_if(F.col("_block") < F.col("_kernel")).alias("lead"),
+            F.count_if(inside).alias("kernel"),
+        )
+        shaped = grouped.join(wanted, [*keys, "_kernel", "_last"]).repartition(
+            task_count(spark), *keys, "scenario_id", "_kernel"
+        )
+        shape = F.struct(
+            "lead", "kernel",
+            (F.col("_kernel") <= around).alias("begins"),
+            (F.col("_kernel") + around >= F.col("_last")).alias("ends"),
+        )
+        plan = solve(F.col("_all.price"), shape, *[F.col(c) for c in ("s_max", "p_max", "eta_c", "eta_d")])
+        mine = F.filter("_all", lambda x: x["inside"])
+        solved = shaped.select(
+            *keys, "_kernel", "_last", *names, mine.alias("_hours"), plan.alias("_plan")
+        )
+        solved = handed(solved, f"round-{number}")
+        done.append(solved.where("_plan.met"))
+        wanted = solved.where("not _plan.met").select(*keys, "_kernel", "_last", *names)
+        if wanted.isEmpty():
+            break
+        around, number = 2 * around, number + 1
+    met = done[0]
+    for more in done[1:]:
+        met = met.unionByName(more)
+    plans = [F.col(f"_plan.{c}").alias(c) for c in ("charge_mwh", "discharge_mwh", "soc_mwh")]
+    hours = F.arrays_zip(F.col(f"_hours.{HOUR}").alias(HOUR), F.col("_hours.price").alias("price"), *plans)
+    found = met.select(*keys, *names, F.lit("optimal").alias("status"), F.inline(hours))
+    unknown = with_batteries(rows.join(sizes.where("not _known"), keys).select(*keys, HOUR, "price"), fleet)
+    nothing = {c: F.lit(None).cast("double") for c in ("charge_mwh", "discharge_mwh", "soc_mwh")}
+    unknown = unknown.withColumns(nothing | {"status": F.lit("infeasible")})
+    both = found.unionByName(unknown.select(*found.columns))
+    return both.withColumn("bid_mwh", optimal_bid(F.col("price"), F.col("lam")))
+
+
 def hour_profit() -> Column:
     return F.col("price") * (F.col("discharge_mwh") - F.col("charge_mwh") + F.col("bid_mwh"))
 

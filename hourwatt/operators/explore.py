@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourwatt.functions import numbers as N
@@ -107,22 +107,22 @@ def forecast_accuracy(
 ) -> DataFrame:
     """Errors over the hours both sides have: MAPE, RMSE, direction hits, band coverage.
 
-    Direction compares the change from the hour before, found by joining on the previous hour.
+    Direction compares the change from the hour before. Windows run over a day; a day's last hour is
+    also copied to the day that follows it.
     """
     keys = [*by, HOUR]
     both = actual.where(F.col("demand_mw").isNotNull()).select(*keys, "demand_mw").join(
         forecast.select(*keys, "yhat", "yhat_lower", "yhat_upper"), keys
     )
-    hour = F.expr("INTERVAL 1 HOUR")
-    before = both.select(
-        *by,
-        (F.col(HOUR) + hour).alias(HOUR),
-        F.col("demand_mw").alias("_demand_before"),
-        F.col("yhat").alias("_yhat_before"),
-    )
-    both = both.join(before, keys, "left")
+    day, last = F.to_date(HOUR), F.hour(HOUR) == 23
+    both = both.withColumn("_day", F.explode(F.array_compact(F.array(day, F.when(last, day + 1)))))
+    run = Window.partitionBy(*by, "_day").orderBy(HOUR)
+    just = F.lag(HOUR).over(run) == F.col(HOUR) - F.expr("INTERVAL 1 HOUR")
+    both = both.withColumns(
+        {f"_{c}_before": F.when(just, F.lag(c).over(run)) for c in ("demand_mw", "yhat")}
+    ).where(F.col("_day") == day)
     y, f = F.col("demand_mw"), F.col("yhat")
-    moved = F.signum(y - F.col("_demand_before"))
+    moved = F.signum(y - F.col("_demand_mw_before"))
     said = F.signum(f - F.col("_yhat_before"))
     inside = y.between(F.col("yhat_lower"), F.col("yhat_upper"))
     return both.groupBy(*by).agg(

@@ -67,6 +67,22 @@ def forward_fill(
     )
 
 
+def numbered_rows(
+    df: DataFrame, keys: Sequence[str], order: str = HOUR, piece: str = "month", name: str = _INDEX
+) -> DataFrame:
+    """``df`` with the place of each row in its key's order, from 0 on; no window runs over a whole key."""
+    columns = df.columns
+    df = df.withColumn(_PIECE, F.date_trunc(piece, order))
+    counts = df.groupBy(*keys, _PIECE).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(
+        *keys, _PIECE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(_BEFORE)
+    )
+    inside = Window.partitionBy(*keys, _PIECE).orderBy(order)
+    placed = df.withColumn(_POS, F.row_number().over(inside) - 1).join(before, [*keys, _PIECE])
+    return placed.select(*columns, (F.col(_BEFORE) + F.col(_POS)).alias(name))
+
+
 def moving_means(
     df: DataFrame,
     value: str,
@@ -87,20 +103,8 @@ def moving_means(
     reach_back = max(0, 1 - min(lo for lo, _ in frames.values()))
     reach_on = max(0, max(hi for _, hi in frames.values()))
     size = max(rows_per_run, reach_back + reach_on + 1)
-
-    df = df.withColumn(_PIECE, F.date_trunc(piece, order))
-    counts = df.groupBy(*keys, _PIECE).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(
-        *keys, _PIECE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(_BEFORE)
-    )
-    inside = Window.partitionBy(*keys, _PIECE).orderBy(order)
-    numbered = (
-        df.withColumn(_POS, F.row_number().over(inside) - 1)
-        .join(before, [*keys, _PIECE])
-        .withColumn(_INDEX, F.col(_BEFORE) + F.col(_POS))
-        .withColumn(_HOME, F.floor(F.col(_INDEX) / size))
-    )
+    kept = df.columns
+    numbered = numbered_rows(df, keys, order, piece).withColumn(_HOME, F.floor(F.col(_INDEX) / size))
     place = F.col(_INDEX) % size
     copies = F.array_compact(
         F.array(
@@ -109,7 +113,7 @@ def moving_means(
             F.when((place < reach_on) & (F.col(_HOME) > 0), F.col(_HOME) - 1),
         )
     )
-    spread = numbered.withColumn(_RUN, F.explode(copies)).drop(_PIECE, _POS, _BEFORE)
+    spread = numbered.withColumn(_RUN, F.explode(copies))
 
     run = Window.partitionBy(*keys, _RUN).orderBy(_INDEX)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -136,6 +140,4 @@ def moving_means(
         return F.col("_mean") + F.try_divide(total, n)
 
     out = out.withColumns({name: mean(lo, hi) for name, (lo, hi) in frames.items()})
-    return out.where(F.col(_RUN) == F.col(_HOME)).select(
-        *[c for c in df.columns if c != _PIECE], *frames
-    )
+    return out.where(F.col(_RUN) == F.col(_HOME)).select(*kept, *frames)

@@ -27,9 +27,12 @@ class Stage(NamedTuple):
     slopes: np.ndarray
 
 
-def best_levels(stages: list[Stage], low, high, level):
-    """Levels after each hour, amounts taken of each stage's segments, and which plans exist."""
-    first, lengths, slopes = low, (high - low)[:, None], np.zeros((len(low), 1))
+def best_levels(stages: list[Stage], low, high, level, worth: float = 0.0):
+    """Levels after each hour, amounts taken of each stage's segments, and which plans exist.
+
+    ``worth`` is the value of a unit that is left at the end.
+    """
+    first, lengths, slopes = low, (high - low)[:, None], np.full((len(low), 1), worth)
     exists, plans = np.ones(len(low), dtype=bool), []
     for stage in reversed(stages):
         own = lengths.shape[1]
@@ -62,7 +65,7 @@ def best_levels(stages: list[Stage], low, high, level):
     return np.stack(levels, axis=1), taken, exists
 
 
-def battery_hours(prices, size, power, eta_c, eta_d, level):
+def battery_hours(prices, size, power, eta_c, eta_d, level, worth: float = 0.0):
     """Charge, discharge and level after each hour with the largest trading value.
 
     An hour starts from full charging; its segments are charging less and discharging.
@@ -71,11 +74,50 @@ def battery_hours(prices, size, power, eta_c, eta_d, level):
     stages = [
         Stage(-eta_c * power, lengths, np.stack([p / eta_c, p * eta_d], axis=1)) for p in prices.T
     ]
-    levels, taken, exists = best_levels(stages, np.zeros_like(size), size, level)
+    levels, taken, exists = best_levels(stages, np.zeros_like(size), size, level, worth)
     less, out = (np.stack([t[:, i] for t in taken], axis=1) for i in (0, 1))
     return power[:, None] - less / eta_c[:, None], out * eta_d[:, None], levels, exists
 
 
+#: More and less than any price makes of a unit: what is left counts above all, or is to be got rid of.
+EXTREMES = (-1e15, 1e15)
+
+
+def middle_hours(prices, lead, kernel, begins, ends, size, power, eta_c, eta_d):
+    """Plan of the ``kernel`` hours after the first ``lead`` ones, and whether it is that of the whole horizon.
+
+    A better-filled store at the beginning, or energy worth more at the end, never makes a level lower. So where
+    the plans from an empty and from a full store, for worthless and for priceless remains, have the same levels,
+    the whole horizon's plan has them too, whatever lies before and after. ``begins`` and ``ends`` say that nothing does.
+    """
+    starts = [size / 2] if begins else [np.zeros_like(size), size]
+    part = slice(lead, lead + kernel)
+    found, same = None, np.ones(len(size), dtype=bool)
+    for level in starts:
+        for worth in (0.0,) if ends else EXTREMES:
+            charge, out, levels, _ = battery_hours(prices, size, power, eta_c, eta_d, level, worth)
+            before = np.column_stack([level, levels])[:, lead : lead + 1]
+            plan = [before, charge[:, part], out[:, part], levels[:, part]]
+            found = found or plan
+            for a, b in zip(found, plan):
+                same &= (np.abs(a - b) <= 1e-9 * np.maximum(size, 1.0)[:, None]).all(axis=1)
+    return (*found[1:], same)
+
+
+def solve_middles(values: pd.Series, shape: pd.DataFrame, units: list[np.ndarray]) -> pd.DataFrame:
+    """``middle_hours`` for rows of hourly prices; ``shape`` has lead, kernel, begins and ends of each."""
+    rows = [None] * len(values)
+    shape = shape.assign(n=values.map(len).to_numpy()).reset_index(drop=True)
+    for (lead, kernel, begins, ends, _), same in shape.groupby(["lead", "kernel", "begins", "ends", "n"]).groups.items():
+        same = same.to_numpy()
+        for part in np.array_split(same, -(-len(same) // BATCH)):
+            matrix = np.stack([np.asarray(values.iloc[i], dtype=float) for i in part])
+            charge, out, levels, met = middle_hours(matrix, lead, kernel, begins, ends, *[u[part] for u in units])
+            for k, i in enumerate(part):
+                rows[i] = (*[np.maximum(x[k], 0.0) for x in (charge, out, levels)], bool(met[k]))
+    return pd.DataFrame(rows, columns=["charge_mwh", "discharge_mwh", "soc_mwh", "met"])
+
+
 def supply_stage(demand, caps, costs, power, eta_c) -> Stage:
     """Generation cost saved by releasing energy, from the highest load that can be served."""
     tops = np.concatenate([[0.0], np.cumsum(caps)])

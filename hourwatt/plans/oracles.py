@@ -416,6 +416,7 @@ SELECT CAST(timestamp_hour AS DATE) AS date, avg(demand_mw) AS avg_demand,
 FROM demand WHERE generation_mw IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT 30""",
     "temp_demand_corr": _CORR + " LIMIT 30",
     "temp_demand_corr_newest10": _CORR + " LIMIT 10",
+    "temp_demand_corr_stored": _CORR + " LIMIT 5",
     "temp_bucket_impact": """
 SELECT CASE WHEN temp_c < 10 THEN 'Cold (<10°C)' WHEN temp_c BETWEEN 10 AND 25
             THEN 'Moderate (10-25°C)' WHEN temp_c > 25 THEN 'Hot (>25°C)' END AS temp_category,
@@ -859,6 +860,8 @@ FROM ev WHERE event_type = 'click' GROUP BY 1, 2""",
 }
 
 
+BODIES["battery_dispatch_blocks"] = BODIES["battery_dispatch_long"]
+
 # Reports of a fleet's dispatch table speak of the base battery alone.
 BODIES |= {
     f"{name}_fleet": BODIES[name]

@@ -37,7 +37,7 @@ from hourwatt.streaming import ledger
 from hourwatt.streaming import refresh as ST
 
 KINDS = {
-    "ts": "timestamp_ntz", "d": "date", "i": "int", "l": "bigint", "x": "double", "s": "string",
+    "d": "date", "i": "int", "l": "bigint", "x": "double", "s": "string",
     "b": "boolean",
 }
 SERIES = 5  # series in the multi-series variants
@@ -70,7 +70,7 @@ class Entry:
         return df.select(*[self._cell(*column).alias(column[0]) for column in self.columns()])
 
     def _cell(self, name: str, kind: str, digits: int) -> Column:
-        value = F.col(name).cast(KINDS[kind])
+        value = TM.naive(F.col(name)) if kind == "ts" else F.col(name).cast(KINDS[kind])
         if kind != "x":
             return value
         value = F.round(value + nudge(digits), digits)
@@ -157,6 +157,14 @@ def quality_gate(t):
     return QL.quality_gate(store, AS_OF)
 
 
+@query("date:d avg_temp_c:x avg_demand_mw:x temp_demand_correlation:x")
+def temp_demand_corr_stored(t):
+    """From a stored table, of which only the newest days are read."""
+    store = _store(t)
+    store.append(t["silver_demand_weather"], "silver_demand_weather")
+    return A.temp_demand_corr(store, limit=5)
+
+
 @query(f"series_id:s {HOUR}:ts copies:l")
 def duplicate_keys(t):
     return QL.duplicate_keys(t.demand_raw(), SV.KEY)
@@ -324,12 +332,12 @@ def latest_per_key(t):
 
 @query(_SILVER)
 def silver_build(t):
-    return t["silver_demand_weather"]
+    return SV.silver_build(t["bronze_demand"], t["bronze_weather"])
 
 
 @query(f"series_id:s {_SILVER}", series=SERIES)
 def silver_build_by_series(t):
-    return t["silver_demand_weather"]
+    return SV.silver_build(t["bronze_demand"], t["bronze_weather"])
 
 
 @query(_SILVER)
@@ -701,6 +709,19 @@ def battery_dispatch_long(t):
     )
 
 
+@query("series_id:s hours:l trading_value:x4 run_total:x3", series=SERIES)
+def battery_dispatch_blocks(t):
+    """The same horizons, solved in blocks of three days with their neighbours."""
+    prices = daily_prices(t).withColumn("price", F.col("price") + 40)
+    solved = D.long_battery_dispatch(prices, [FAST], block=72)
+    earned = F.col("price") * (F.col("discharge_mwh") - F.col("charge_mwh"))
+    return solved.groupBy("series_id").agg(
+        F.count("soc_mwh").alias("hours"),
+        F.sum(earned).alias("trading_value"),
+        F.sum(D.hour_profit()).alias("run_total"),
+    )
+
+
 @query("scenario_id:s hours:l horizons:l violations:l bid_total:x3", series=SERIES)
 def battery_dispatch_audit(t):
     """Each scenario has a plan for every hour, and no plan breaks a rule."""

@@ -7,7 +7,7 @@ gives the same table when it is started again.
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +64,13 @@ class TableStore:
         found = sc._jvm.org.apache.hadoop.fs.Path(path)
         return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
 
+    def days(self, table: str) -> list[date]:
+        """Days that the table has a folder for, newest first; taken from names, no file is read."""
+        files, path = self._hadoop(self.path(table))
+        names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+        found = [n.split("=", 1)[1] for n in names if n.startswith(f"{DAY}=")]
+        return sorted((date.fromisoformat(d) for d in found if d[:1].isdigit()), reverse=True)
+
     def exists(self, table: str) -> bool:
         return bool(self.versions(table))
 

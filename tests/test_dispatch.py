@@ -231,3 +231,50 @@ def test_generation_dispatch_serves_net_load(spark):
         assert r.status == "optimal"
         made = r.wind_mw + r.solar_mw + r.gas_mw
         assert made + 1e-6 >= r.demand_mw + r.charge_mwh - r.discharge_mwh
+
+
+def price_path(spark, hours, seed, series="ab", season=True):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for s in series:
+        wave = 20 * np.sin(np.arange(hours) * 2 * np.pi / 24) if season else 0
+        path = 30 + wave + rng.normal(0, 12, hours)
+        rows += [(s, START + timedelta(hours=i), float(p)) for i, p in enumerate(path)]
+    return spark.createDataFrame(rows, f"series_id string, {HOUR} timestamp, price double")
+
+
+def plan_values(df):
+    earned = F.col("price") * (F.col("discharge_mwh") - F.col("charge_mwh"))
+    found = df.groupBy("series_id", "scenario_id").agg(F.sum(earned).alias("v"), F.count("soc_mwh").alias("n"))
+    return {(r.series_id, r.scenario_id): (r.v, r.n) for r in found.collect()}
+
+
+@pytest.mark.parametrize("hours, block", [(300, 24), (300, 7), (25, 100), (1, 5)])
+def test_blocks_of_a_horizon_give_the_whole_plan(spark, hours, block):
+    fleet = [*D.FLEET, D.Battery("slow", 500.0, 3.0, 0.8, 0.9)]
+    prices = price_path(spark, hours, hours + block)
+    whole, split = D.battery_dispatch(prices, fleet), D.long_battery_dispatch(prices, fleet, block=block)
+    assert split.columns == whole.columns or set(split.columns) == set(whole.columns)
+    a, b = plan_values(whole), plan_values(split)
+    assert a.keys() == b.keys()
+    for key, (value, n) in a.items():
+        assert n == b[key][1] == hours and value == pytest.approx(b[key][0], rel=1e-9, abs=1e-6)
+    assert D.dispatch_check(split).count() == 0
+
+
+def test_blocks_that_never_meet_take_the_whole_horizon(spark):
+    """Equal prices: nothing tells early hours from late ones."""
+    prices = price_path(spark, 60, 1, "a").withColumn("price", F.lit(5.0))
+    a, b = plan_values(D.battery_dispatch(prices)), plan_values(D.long_battery_dispatch(prices, block=6))
+    assert {k: pytest.approx(v) for k, v in a.items()} == b
+    gaps = prices.withColumn("price", F.when(F.hour(HOUR) != 3, F.col("price")))
+    rows = D.long_battery_dispatch(gaps, block=6).collect()
+    assert len(rows) == 180 and {r.status for r in rows} == {"infeasible"} and all(r.soc_mwh is None for r in rows)
+    assert D.long_battery_dispatch(prices.limit(0)).count() == 0
+
+
+def test_five_years_in_one_horizon(spark):
+    prices = price_path(spark, 5 * 8760, 9, "a")
+    base = [D.Battery()]
+    a, b = plan_values(D.battery_dispatch(prices, base)), plan_values(D.long_battery_dispatch(prices, base, block=2000))
+    assert a["a", "base"][0] == pytest.approx(b["a", "base"][0], rel=1e-9) and b["a", "base"][1] == 5 * 8760

@@ -225,3 +225,39 @@ from hourwatt.plans.registry import REGISTRY
 assert set(queries()) == set(REGISTRY) and set(oracle_sql()) <= set(REGISTRY)
 """
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
+def scanned_days(df):
+    """Day partitions that the plan's scans read."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    return {Path(f).parent.name for f in df.inputFiles()}
+
+
+def test_newest_day_reports_read_newest_days(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    hours = [(s, START + timedelta(hours=h), 10.0 + h % 24, START) for s in "ab" for h in range(90 * 24)]
+    load_all = spark.createDataFrame(hours, DEMAND).withColumn("generation_mw", F.col("demand_mw") * 2)
+    store.append(load_all, "bronze_demand")
+    # Of the newest days of silver every second one is not full, and two have no weather at all.
+    partly = F.dayofyear(HOUR) % 2 == 0
+    silver = load_all.withColumn("temp_c", F.when(~partly | (F.hour(HOUR) < 5), F.col("demand_mw") + 1)).where("series_id = 'a'")
+    store.append(silver, SILVER)
+    forecast = load_all.select("series_id", HOUR, F.col("demand_mw").alias("yhat"), F.lit("r").alias("run_id"))
+    store.append(forecast, "gold_forecasts")
+    assert len(store.days(SILVER)) == 90 and store.days(SILVER)[0] == (START + timedelta(days=89)).date()
+    reports = [
+        (A.daily_demand, 7), (A.efficiency_daily, 7), (A.forecast_daily, 7), (A.temp_demand_corr, 14),
+    ]
+    for report, read in reports:
+        found = report(store, limit=7)
+        whole = report({n: store[n] for n in ("bronze_demand", SILVER, "gold_forecasts")}, limit=7)
+        assert silver_rows(found) == silver_rows(whole)
+        assert len(silver_rows(found)) == 7
+        days = "PartitionFilters" in found._jdf.queryExecution().executedPlan().toString()
+        assert days and len(scanned_days(found)) >= 7
+        filters = [str(d) for d in store.days(SILVER)[:read]]
+        assert filters[-1] in found._jdf.queryExecution().executedPlan().toString()
+    by = A.daily_demand(store, by=["series_id"], limit=5)
+    assert silver_rows(by) == silver_rows(A.daily_demand({"bronze_demand": store["bronze_demand"]}, by=["series_id"], limit=5))
+    assert A.daily_demand(store, limit=500).count() == 90 and A.daily_demand(store, limit=None).count() == 90

@@ -10,11 +10,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourwatt.functions import numbers as N
 from hourwatt.functions import times as TM
 from hourwatt.operators import analytics as A
 from hourwatt.operators.analytics import Tables
 from hourwatt.operators.grid import HOUR
 from hourwatt.schemas import KEYS
+from hourwatt.sources.facts import day_facts
 
 
 @dataclass(frozen=True)
@@ -37,23 +39,65 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
+def facts_of(tables: Tables, name: str, keys: Mapping[str, list[str]] = KEYS) -> DataFrame:
+    """Facts of a table's days: those stored when it was written, or else made from its rows."""
+    stored = getattr(tables, "facts", None)
+    if stored is not None and keys[name] == KEYS[name]:
+        return stored(name)
+    return day_facts(tables[name], name, keys[name])
+
+
 def table_facts(tables: Tables, as_of: datetime, keys: Mapping[str, list[str]]) -> DataFrame:
-    """Rows, repeated keys and age of each table, from one pass over its key columns."""
+    """Rows, repeated keys and age of each table, from the facts of its days."""
     facts = []
     for name in A.ALL_TABLES:
-        copies = tables[name].groupBy(*keys[name]).agg(F.count(F.lit(1)).alias("_n"))
         facts.append(
-            copies.agg(
+            facts_of(tables, name, keys).agg(
                 F.lit(name).alias("table_name"),
-                F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
-                F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
-                F.max(HOUR).alias("latest_data"),
+                F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
+                F.coalesce(F.sum("duplicate_keys"), F.lit(0)).alias("duplicate_keys"),
+                F.max("latest_data").alias("latest_data"),
             )
         )
     lag = F.unix_timestamp(TM.at(as_of)) - F.unix_timestamp("latest_data")
     return reduce(DataFrame.unionByName, facts).withColumn("lag_hours", lag / F.lit(3600.0))
 
 
+def missing_share(tables: Tables, name: str, keys: Mapping[str, list[str]]) -> DataFrame:
+    """Share of rows without the measured value, in percent."""
+    total, known = F.sum("row_count"), F.sum("known")
+    found = facts_of(tables, name, keys).agg(N.percent(total - known, total, 2).alias("missing_pct"))
+    return found.select(F.lit(name).alias("table_name"), "missing_pct")
+
+
+def outlier_share(tables: Tables, keys: Mapping[str, list[str]]) -> DataFrame:
+    """Share of demand values more than three deviations from the mean, in percent.
+
+    Mean, deviation and extremes come from the facts; only days whose lowest or highest value lies that far out
+    are counted row by row. Their list is as long as the table has such days.
+    """
+    name = "bronze_demand"
+    facts = facts_of(tables, name, keys)
+    n, total, squares = (F.sum(c) for c in ("known", "total", "squares"))
+    around = F.greatest(squares - F.try_divide(total * total, n), F.lit(0.0))
+    spread = F.sqrt(F.try_divide(around, n - 1))
+    whole = facts.agg(n.alias("n"), F.try_divide(total, n).alias("mean"), spread.alias("sd")).first()
+    count = F.lit(0)
+    if whole.n and whole.sd:
+        low, high = (whole.mean + k * A.OUTLIER_Z * whole.sd for k in (-1, 1))
+        far = facts.where((F.col("low") < low) | (F.col("high") > high))
+        days = [r[0] for r in far.select("event_date").distinct().collect()]
+        if days:
+            rows = A.known_demand(tables)
+            day = F.col("event_date") if "event_date" in rows.columns else F.to_date(HOUR)
+            rows = rows.where(day.isin(days))
+            score = N.z_score(F.col("demand_mw"), F.lit(whole.mean), F.lit(whole.sd))
+            count = rows.agg(F.count_if(score > A.OUTLIER_Z)).scalar()
+    share = F.coalesce(F.try_divide(F.lit(100.0) * count, F.sum("known")), F.lit(0.0))
+    found = facts.agg(share.alias("outlier_pct"))
+    return found.select(F.lit(name).alias("table_name"), "outlier_pct")
+
+
 def _checks(df: DataFrame, rules: Sequence[tuple[str, float, str]]) -> DataFrame:
     """Rows of checks from ``(column, limit, ">=" or "<=")``; a missing value fails."""
     cells = []
@@ -80,6 +124,8 @@ def quality_gate(
 ) -> DataFrame:
     """One row per check and table. A table without rows fails its row count.
 
+    Reads the facts of days, which a store that keeps them has from its writes.
+
     ``landed`` has the counts of landed and rejected rows of the feeds. Hours of the newest
     dispatch run without an optimal plan are counted too.
     """
@@ -90,23 +136,17 @@ def quality_gate(
         ("lag_hours", limits.max_lag_hours, "<="),
     ]
     late = F.col("check_name") == "lag_hours"  # gold tables lie ahead of the clock
-    outliers = A.demand_outliers(tables, limit=None).agg(F.count(F.lit(1)))
-    share = A.known_demand(tables).agg(
-        F.lit("bronze_demand").alias("table_name"),
-        F.coalesce(
-            F.try_divide(F.lit(100.0) * F.first(outliers.scalar()), F.count(F.lit(1))), F.lit(0.0)
-        ).alias("outlier_pct"),
-    )
-    newest = A.one_run(tables["gold_dispatch"])
+    newest = A.one_run(facts_of(tables, "gold_dispatch", keys))
     plans = newest.agg(
         F.lit("gold_dispatch").alias("table_name"),
-        F.count_if(~F.col("status").eqNullSafe("optimal")).alias("unsolved_hours"),
+        F.coalesce(F.sum("unsolved"), F.lit(0)).alias("unsolved_hours"),
     )
+    gaps = [("missing_pct", limits.max_missing_pct, "<=")]
     parts = [
         _checks(plans, [("unsolved_hours", limits.max_unsolved_hours, "<=")]),
         _checks(facts, rows).where(~late | F.col("table_name").isin(*A.CORE_TABLES)),
-        _checks(A.missing_data(tables), [("missing_pct", limits.max_missing_pct, "<=")]),
-        _checks(share, [("outlier_pct", limits.max_outlier_pct, "<=")]),
+        *[_checks(missing_share(tables, n, keys), gaps) for n in ("bronze_demand", "bronze_weather")],
+        _checks(outlier_share(tables, keys), [("outlier_pct", limits.max_outlier_pct, "<=")]),
     ]
     for counts in landed:
         lost = F.coalesce(F.try_divide(100.0 * F.col("rows_rejected"), F.col("rows_landed")), F.lit(0.0))

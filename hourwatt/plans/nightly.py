@@ -131,7 +131,7 @@ def nightly(
     lost its driver is simply started again.
     """
     pin_utc(spark)
-    store = TableStore(spark, config.root)
+    store = TableStore(spark, config.root, facts=True)
     landed = refresh_bronze_silver(spark, store, config, as_of, demand_path, weather_path)
     forecast_to_gold(store, config, as_of)
     dispatch_to_gold(store, config, as_of)

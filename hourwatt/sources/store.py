@@ -7,6 +7,8 @@ gives the same table when it is started again.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 from hourwatt.functions import times as TM
 from hourwatt.operators.keys import latest_per_key
 from hourwatt.schemas import KEYS, SCHEMAS
+from hourwatt.sources.facts import FACTS, day_facts
 
 DAY = "event_date"
 CHANGE = "series_id string, event_date date"
@@ -40,11 +43,16 @@ def since(df: DataFrame, start: Column, column: str = "timestamp_hour") -> DataF
 
 
 class TableStore:
-    """The five tables below one root folder; writers return how many rows they were given."""
+    """The five tables below one root folder; writers return how many rows they were given.
 
-    def __init__(self, spark: SparkSession, root: str):
+    With ``facts`` every write also brings the facts of the days it touched up to date, for checks that then
+    read days and not rows.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, facts: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keeps_facts = facts
 
     def versions(self, table: str) -> list[str]:
         """Complete versions of the table, oldest first: a folder each, marked when it was done."""
@@ -104,7 +112,8 @@ class TableStore:
     def append(self, df: DataFrame, table: str) -> int:
         if not self.exists(table):
             return self.replace(df, table)
-        return self._write(df, table, self.path(table))
+        with self._facts_follow(table, None) as written:
+            return self._write(df, table, self.path(table), written)
 
     def replace(self, df: DataFrame, table: str) -> int:
         """Full rebuild as a new version, which counts from the moment its last file is written.
@@ -117,7 +126,8 @@ class TableStore:
         folder = f"{self.root}/{table}/v{number:012d}"
         files, unfinished = self._hadoop(folder)
         files.delete(unfinished, True)  # what a lost run left of the same version
-        rows = self._write(df, table, folder)
+        with self._facts_follow(table, None):
+            rows = self._write(df, table, folder)
         for old in have[:-1]:
             files.delete(self._hadoop(f"{self.root}/{table}/{old}")[1], True)
         return rows
@@ -160,13 +170,14 @@ class TableStore:
             both = new.withColumn("_order", order + 1).unionByName(old.withColumn("_order", order))
             merged = latest_per_key(both, KEYS[table], ["_order"]).drop("_order")
             if self.exists(table):
-                (
-                    self._by_day(merged, table)
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(DAY)
-                    .parquet(self.path(table))
-                )
+                with self._facts_follow(table, days):
+                    (
+                        self._by_day(merged, table)
+                        .write.mode("overwrite")
+                        .option("partitionOverwriteMode", "dynamic")
+                        .partitionBy(DAY)
+                        .parquet(self.path(table))
+                    )
             else:
                 self.replace(merged, table)
         files, path = self._hadoop(staged)
@@ -203,13 +214,87 @@ class TableStore:
         folder = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
         return folder, self._write(df, table, folder)
 
-    def _write(self, df: DataFrame, table: str, folder: str) -> int:
-        """Append to a folder; the rows are counted while they are written."""
-        seen = Observation()
-        counted = self._by_day(df, table).observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("append").partitionBy(DAY).parquet(folder)
+    def _write(
+        self, df: DataFrame, table: str, folder: str, days: list[date] | None = None
+    ) -> int:
+        """Append to a folder; rows, and for ``days`` their days, are noted while they are written."""
+        seen, cells = Observation(), [F.count(F.lit(1)).alias("rows")]
+        if days is not None:
+            cells.append(F.collect_set(F.coalesce(F.col(DAY).cast("string"), F.lit(""))).alias("days"))
+        self._by_day(df, table).observe(seen, *cells).write.mode("append").partitionBy(DAY).parquet(folder)
+        if days is not None:
+            days.extend(date.fromisoformat(d) if d else None for d in seen.get["days"])
         return seen.get["rows"]
 
+    def facts(self, table: str) -> DataFrame:
+        """Facts of every day and run. Days of a write whose facts did not follow are read anew."""
+        stored, due = self._stored_facts(table), self._facts_due(table)
+        if not self.keeps_facts or stored is None or None in due:
+            return day_facts(self.read(table), table).select(*_names(FACTS))
+        if not due:
+            return stored
+        fresh = day_facts(self.read(table).where(F.col(DAY).isin(list(due))), table)
+        return stored.where(~_on(list(due))).unionByName(fresh)
+
+    def _facts_folder(self, table: str) -> str:
+        return f"{self.root}/_facts/{table}"
+
+    def _stored_facts(self, table: str) -> DataFrame | None:
+        found = [f for f in self._folders(self._facts_folder(table)) if "/v" in f]
+        return self.spark.read.schema(FACTS).parquet(sorted(found)[-1]) if found else None
+
+    def _facts_due(self, table: str) -> set[date | None]:
+        """Days whose facts have to follow a write; None stands for all."""
+        folders = self._folders(f"{self.root}/_facts_due/{table}")
+        if not folders:
+            return set()
+        return {r[0] for r in self.spark.read.schema("event_date date").parquet(*folders).collect()}
+
+    def _folders(self, parent: str) -> list[str]:
+        """Folders below ``parent`` that were written to their end."""
+        files, path = self._hadoop(parent)
+        if not files.exists(path):
+            return []
+        found = [s.getPath().toString() for s in files.listStatus(path) if s.isDirectory()]
+        return [f for f in found if self.has(f)]
+
+    @contextmanager
+    def _facts_follow(self, table: str, days: list[date] | None) -> Iterator[list[date]]:
+        """Around a write: its days are noted as due before it, and their facts stored after it.
+
+        The list that is handed out takes the days of a write that does not know them beforehand;
+        without any, all facts are made anew.
+        """
+        written: list[date] = []
+        if not self.keeps_facts:
+            yield written
+            return
+        note = f"{self.root}/_facts_due/{table}/{uuid.uuid4().hex}"
+        rows = [(d,) for d in days] if days is not None else [(None,)]
+        self.spark.createDataFrame(rows, "event_date date").coalesce(1).write.parquet(note)
+        yield written
+        touched, stored = days if days is not None else written, self._stored_facts(table)
+        if touched and stored is not None:
+            fresh = day_facts(self.read(table).where(_on(touched)), table)
+            every = stored.where(~_on(touched)).unionByName(fresh)
+        else:
+            every = day_facts(self.read(table), table)
+        folder = self._facts_folder(table)
+        old = sorted(f for f in self._folders(folder) if "/v" in f)
+        number = int(old[-1].rsplit("/v", 1)[1]) + 1 if old else 1
+        every.select(*_names(FACTS)).coalesce(1).write.mode("overwrite").parquet(f"{folder}/v{number:012d}")
+        self.drop(note, *old[:-1])
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(",")]
+
+
+def _on(days: list[date | None]) -> Column:
+    """Rows of the given days; None is the day of rows without an hour."""
+    known = F.col(DAY).isin([d for d in days if d is not None])
+    return F.coalesce(known, F.lit(None in days))
+
 
 def _with_day(table: str) -> T.StructType:
     return T.StructType(SCHEMAS[table].fields + [T.StructField(DAY, T.DateType(), True)])

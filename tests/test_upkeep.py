@@ -261,3 +261,50 @@ def test_newest_day_reports_read_newest_days(spark, tmp_path):
     by = A.daily_demand(store, by=["series_id"], limit=5)
     assert silver_rows(by) == silver_rows(A.daily_demand({"bronze_demand": store["bronze_demand"]}, by=["series_id"], limit=5))
     assert A.daily_demand(store, limit=500).count() == 90 and A.daily_demand(store, limit=None).count() == 90
+
+
+def test_facts_follow_every_write(spark, tmp_path):
+    from hourwatt.sources.facts import day_facts
+
+    store = TableStore(spark, str(tmp_path), facts=True)
+
+    def agree(table="bronze_demand"):
+        kept, true = store.facts(table), day_facts(store.read(table), table)
+        assert silver_rows(kept) == silver_rows(true.select(*kept.columns))
+        assert "bronze_demand/v" not in kept._jdf.queryExecution().executedPlan().toString().replace("_facts/bronze_demand/v", "")
+
+    rows = lambda *r: spark.createDataFrame([(s, START + timedelta(hours=h), v, START) for s, h, v in r], DEMAND)
+    store.append(rows(("a", 0, 1.0), ("a", 30, None)), "bronze_demand")
+    agree()
+    store.append(rows(("a", 0, 2.0), ("b", 55, 3.0)), "bronze_demand")  # a repeated key
+    agree()
+    assert store.facts("bronze_demand").agg(F.sum("duplicate_keys")).first()[0] == 1
+    store.refresh(rows(("a", 30, 4.0), ("a", 90, 5.0)), "bronze_demand", "loaded_at")
+    agree()
+    store.replace(rows(("c", 0, 1.0)), "bronze_demand")
+    agree()
+    # A run that is lost between its days and their facts: the days are read anew.
+    lost = store._facts_follow("bronze_demand", [START.date()])
+    lost.__enter__()
+    store.keeps_facts = False
+    store.append(rows(("d", 5, 8.0)), "bronze_demand")
+    store.keeps_facts = True
+    assert store.facts("bronze_demand").agg(F.sum("row_count")).first()[0] == 2
+
+
+def test_gate_on_facts_gives_the_verdicts_of_rows(spark, tmp_path):
+    from hourwatt.operators.quality import quality_gate
+    from hourwatt.sources.sample import AS_OF
+
+    t, store = SampleTables(spark, "/root/testdata/sf0.001"), TableStore(spark, str(tmp_path), facts=True)
+    spike = t["bronze_demand"].limit(1).withColumn("demand_mw", F.lit(1e6))
+    tables = {n: t[n] for n in t} | {"bronze_demand": t["bronze_demand"].unionByName(spike)}
+    for name, df in tables.items():
+        store.append(df, name)
+    from_facts, from_rows = quality_gate(store, AS_OF), quality_gate(tables, AS_OF)
+    assert silver_rows(from_facts) == silver_rows(from_rows)
+    outliers = {r.check_name: r.value for r in from_facts.collect()}["outlier_pct"]
+    n = A.known_demand(tables).count()
+    assert outliers == pytest.approx(100 * A.demand_outliers(tables, limit=None).count() / n) and outliers > 0
+    scans = from_facts._jdf.queryExecution().optimizedPlan().toString()
+    assert scans.count("Relation [series_id") == 1  # no table of rows, but for the outlier's day

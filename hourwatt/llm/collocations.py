@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ def blocks(docs: DataFrame, text: str, lang: str, shards: int, size: int = BLOCK
                 made += 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([number]), pa.array([name]), pa.array([int(counts.sum())]), pa.array([ids.tobytes()], pa.binary()),
+                        pa.array([number]), pa.array([name]), pa.array([int(counts.sum())]), pa.array([_packed(ids)], pa.binary()),
                         pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int32())),
                     ],
                     ["block", "lang", "n", "ids", "words", "counts"],
@@ -131,15 +132,22 @@ def _runs(keep: np.ndarray, *streams: np.ndarray) -> list[np.ndarray]:
     return [np.insert(stream[at], gaps, -1) for stream in streams]
 
 
-def _stream_row(row: dict, ids: np.ndarray, words: np.ndarray, grams: np.ndarray, phrases: np.ndarray) -> pa.RecordBatch:
-    binary = [pa.array([x.tobytes()], pa.binary()) for x in (ids.astype(np.int32), words, grams.astype(np.int32), phrases)]
+def _packed(numbers: np.ndarray) -> bytes:
+    return zstandard.compress(numbers.tobytes(), 1)
+
+
+def _stream_row(row: dict, ids: np.ndarray, words: np.ndarray, grams: np.ndarray | None, phrases: np.ndarray | None) -> pa.RecordBatch:
+    """``grams`` and ``phrases`` are left empty where they are the same as ``ids`` and ``words``."""
+    streams = (ids.astype(np.int32), words, None if grams is None else grams.astype(np.int32), phrases)
+    binary = [pa.array([b"" if x is None else _packed(x)], pa.binary()) for x in streams]
     numbers = [pa.array([row[c]], pa.int64()) for c in ("block", "least")]
     return pa.RecordBatch.from_arrays([*numbers, *binary], ["block", "least", "ids", "words", "grams", "phrases"])
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one by one: numbers, and arrays of what the columns hold."""
-    kinds = {"ids": np.int32, "grams": np.int32, "words": np.int64, "phrases": np.int64}
+    kinds = {"ids": np.int32, "words": np.int64, "grams": np.int32, "phrases": np.int64}
+    same = {"grams": "ids", "phrases": "words"}
     for batch in batches:
         for i in range(len(batch)):
             row = {}
@@ -147,8 +155,11 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
                 cell = column[i]
                 if pa.types.is_list(column.type):
                     row[name] = cell.values.to_numpy()
+                elif name in kinds:
+                    data = cell.as_py()
+                    row[name] = np.frombuffer(zstandard.decompress(data), kinds[name]) if data else row[same[name]]
                 else:
-                    row[name] = np.frombuffer(cell.as_buffer(), kinds[name]) if name in kinds else cell.as_py()
+                    row[name] = cell.as_py()
             yield row
 
 
@@ -166,7 +177,7 @@ def word_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep[1:] |= pair
         if keep.any():
             (ids,) = _runs(keep, ids)
-            yield _stream_row(row, ids, words, ids, words)
+            yield _stream_row(row, ids, words, None, None)
 
 
 def phrases_of(length: int):

@@ -1,8 +1,8 @@
 """Encoding with a byte-level public tokenizer inside tasks: each distinct stretch of text once.
 
 Such a vocabulary's rule never lets a token run from a visible character into the blank after it, so
-a text may be cut before every single blank or line end that follows a letter, digit or visible ASCII sign,
-and the ids of the stretches in order are the ids of the text. A stretch of Latin letters, digits and ASCII signs
+a text may be cut before every blank or line end that follows a letter or visible ASCII sign, and the ids
+of the stretches in order are the ids of the text. A stretch of Latin letters, digits and ASCII signs
 is cut further into the rule's own runs, which go to the library's merge model in the byte alphabet; any
 other stretch (apostrophes, special tokens, other scripts) goes through the whole of the library.
 """
@@ -19,8 +19,7 @@ from hourwatt.llm.bpe import packed, tokenizer
 from hourwatt.llm.common import task_cache
 
 KEPT, LONGEST = 500_000, 64  # stretches, and runs, that a worker keeps; characters of one that is kept
-_CUT = "\x01"
-_BEFORE_BLANK = r"([!-~\pL\pN])([ \n])"
+_CUT = "\x01"  # in no stretch that it is used on
 # Stretches that the rule splits into letters, digits and other signs, with the blank before them.
 _PLAIN = r"^[ \n]?[!-&(-~À-ÖØ-öø-ſ]+$"
 _RUN = r"(\n| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^ \nA-Za-z0-9À-ÖØ-öø-ſ]+)"
@@ -76,16 +75,34 @@ def _learn(path: str, stretches: pa.Array) -> list[bytes]:
     return out
 
 
+def stretches_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The stretches of all texts in order, and where each text's begin.
+
+    Cut before a blank or line end that follows a visible ASCII sign or a two-byte Latin letter.
+    """
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    begins = offsets - offsets[0]
+    after = (raw > 32) & (raw < 127)
+    if len(raw) > 1:
+        first, second = raw[:-1], raw[1:]
+        # Lead bytes of U+00C0 to U+017F, of which the signs of multiplication and division are no letters.
+        after[1:] |= (first >= 0xC3) & (first <= 0xC5) & (second >= 0x80) & ~((first == 0xC3) & ((second == 0x97) | (second == 0xB7)))
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[1:-1] = after[:-1] & ((raw[1:] == 32) | (raw[1:] == 10))
+    cut[begins] = True
+    ends = np.flatnonzero(cut)
+    found = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+    return found, np.searchsorted(ends, begins)
+
+
 def encoded(path: str, texts: pa.Array) -> Iterator[np.ndarray]:
     """Ids of each text; nulls count as empty."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    marked, whole = pc.replace_substring_regex(texts, _BEFORE_BLANK, rf"\1{_CUT}\2"), {}
-    with_mark = pc.match_substring(texts, _CUT)
-    if pc.any(with_mark).as_py():  # the mark itself occurs: such texts stay whole
-        marked = pc.if_else(with_mark, pa.scalar("", pa.large_string()), marked)
-        whole = {i: t for i, t in enumerate(texts.to_pylist()) if _CUT in t}
-    lists = pc.split_pattern(marked, _CUT)
-    flat = lists.flatten().dictionary_encode()
+    if not len(texts):
+        return
+    stretches, begins = stretches_of(pc.fill_null(texts.cast(pa.large_string()), ""))
+    flat = stretches.dictionary_encode()
     names = flat.dictionary.to_pylist()
     memo = _kept(f"byte stretches {path}")
     ids = list(map(memo.get, names))
@@ -95,9 +112,6 @@ def encoded(path: str, texts: pa.Array) -> Iterator[np.ndarray]:
         if len(names[i]) <= LONGEST:
             memo[names[i]] = found
     parts = list(map(ids.__getitem__, flat.indices.to_numpy().tolist()))
-    ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
-    for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
-        if i in whole:
-            yield np.array(tokenizer(path).encode(whole[i], add_special_tokens=False).ids, np.uint32)
-        else:
-            yield np.frombuffer(b"".join(parts[a:b]), np.uint32)
+    ends = begins.tolist()
+    for a, b in zip(ends[:-1], ends[1:]):
+        yield np.frombuffer(b"".join(parts[a:b]), np.uint32)

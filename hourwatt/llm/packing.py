@@ -3,8 +3,9 @@
 Texts become ids plus an end id; a text longer than the room is cut into full pieces, the first of
 which may be shorter. Pieces are dealt into groups of bounded size. Each group is packed by best-fit
 decreasing, and dual feasible functions give a lower bound on the sequences that any packing of the
-group needs: where the two agree the group is certified and settled. Groups with a gap exchange pieces: all of
-theirs are dealt anew over half as many groups and packed again, which is kept while it saves sequences.
+group needs: where the two agree the group is certified and settled, but for sequences that are far from full. Groups
+with a gap exchange pieces: theirs, and those of the settled groups' poor sequences, are dealt anew over half as many
+groups and packed again, which is kept while it saves sequences.
 
 A null text is one end id. A null ``doc_id`` stays null. Repeated rows are texts of their own, and
 every row is told apart by its place in the table, so a group of copies is dealt over all groups. An empty table
@@ -29,12 +30,13 @@ from hourwatt.llm.common import Scratch, split_even
 ROOM, END, VOCABULARY = 1024, 2, "byte_bpe_50k.json"
 PER_GROUP = 32_768  # pieces of one group at first
 MOST = 262_144  # pieces of one group after exchanges: a task holds one group at a time
-ROUNDS = 5
+ROUNDS = 8
+POOR = 8  # a sequence with more than an eighth of its room left is exchanged, certified or not
 TEXTS = 4096  # encoded at once
 STEPS = 40  # dual feasible functions of rounding kind: k from 1 to this
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = f"{PIECES}, round int, grp long, bin long, offset long, bins long, bound long"
+PACKED = f"{PIECES}, round int, grp long, bin long, offset long, room_left long, bins long, bound long"
 
 
 def pieces(docs: DataFrame, text: str = "text", room: int = ROOM, path: str | None = None) -> DataFrame:
@@ -125,8 +127,9 @@ def packed_groups(rows: DataFrame, groups: int, number: int, room: int) -> DataF
         table, n = table.take(pa.array(order)), len(order)
         bins, offsets, made = best_fit(length[order], room)
         bound = least_bins(length, room)
+        left = room - np.bincount(bins, weights=length[order], minlength=1).astype(np.int64)
         for name, values in (
-            ("bin", bins), ("offset", offsets), ("bins", np.full(n, made)), ("bound", np.full(n, bound)),
+            ("bin", bins), ("offset", offsets), ("room_left", left[bins]), ("bins", np.full(n, made)), ("bound", np.full(n, bound)),
         ):
             table = table.append_column(name, pa.array(values, pa.int64()))
         return table.select([c.split()[0] for c in PACKED.split(", ")])
@@ -139,13 +142,6 @@ def packed_groups(rows: DataFrame, groups: int, number: int, room: int) -> DataF
     return split_even(dealt, "grp").groupBy("grp").applyInArrow(pack, PACKED)
 
 
-def gaps(packed: DataFrame) -> tuple[int, int, int, int]:
-    """Of the groups with a gap: their number, pieces, bins, and the sum of their bounds."""
-    each = packed.where("bins > bound").groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.first("bins").alias("bins"), F.first("bound").alias("bound"))
-    found = each.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "bins", "bound")]).first()
-    return tuple(found)
-
-
 def packing(
     docs: DataFrame, text: str = "text", room: int = ROOM, per_group: int = PER_GROUP, most: int = MOST,
     rounds: int = ROUNDS, path: str | None = None,
@@ -157,16 +153,17 @@ def packing(
     scratch = Scratch(docs.sparkSession, "packing")
     cut = scratch.keep(pieces(docs, text, room, path))
     now = scratch.keep(packed_groups(cut, -(-cut.count() // per_group) or 1, 0, room))
-    settled = []
+    settled, exchanged = [], (F.col("bins") > F.col("bound")) | (F.col("room_left") > room // POOR)
     for number in range(1, rounds + 1):
-        open_groups, n, bins, _ = gaps(now)
+        pool = now.where(exchanged)
+        open_groups, n, bins = pool.agg(F.countDistinct("grp"), F.count(F.lit(1)), F.countDistinct("grp", "bin")).first()
         groups = max(open_groups // 2, -(-n // most))
-        if not open_groups or groups >= open_groups:
+        if not 0 < groups < open_groups:
             break
-        again = scratch.keep(packed_groups(now.where("bins > bound"), groups, number, room))
+        again = scratch.keep(packed_groups(pool, groups, number, room))
         if again.agg(F.countDistinct("grp", "bin")).first()[0] >= bins:
             break
-        settled.append(now.where("bins <= bound"))
+        settled.append(now.where(~exchanged))
         now = again
     for part in settled:
         now = now.unionByName(part)

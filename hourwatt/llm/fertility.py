@@ -125,7 +125,7 @@ def learned_words(kept: dict, words: list[str]) -> list[tuple[bytes, int, int, i
     if new:
         bytes_of, one = kept["byte ids"], kept["bytes"].encode_ordinary
         for word, found in zip(new, kept["pieces"].encode(new, num_threads=1)):
-            if word.isascii():
+            if word.isascii() and word.isprintable():
                 n_bytes, other = 0, False
             else:
                 n_bytes, other = sum(map(bytes_of.__contains__, found)), max(word) >= _BEYOND_LATIN

@@ -47,6 +47,11 @@ class StoredTables(SampleTables):
             return super().__getitem__(name)
         return store[name]
 
+    def days(self, name: str) -> list:
+        """Days of a stored table; reports of the newest days read those alone."""
+        store = self.stores.get(self.series)
+        return [] if store is None or self.sf_dir != self.home else store.days(name)
+
     home = ""
 
 

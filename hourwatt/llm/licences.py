@@ -93,7 +93,8 @@ def scan(
     index = [(label, "base", phrase.split(), phrase.split()) for phrase, label in base.items()]
     index += [(label, "template", s.split(), must.split()) for label, (s, must) in templates.items()]
     licence_words = sorted({w for _, _, words, _ in index for w in words})
-    signal = sorted({w for _, _, _, must in index for w in must} - COMMON)
+    # A phrase of common words alone is looked for by all of them.
+    signal = sorted({w for _, _, _, must in index for w in (set(must) - COMMON or must)})
     words, spots = F.col("words"), F.col("spots")
     # A text keeps its words only if it holds a word that some phrase cannot do without.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col(text)).alias("words"))

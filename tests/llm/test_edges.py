@@ -143,6 +143,12 @@ def test_licence_templates(spark):
     assert {"mit-grant", "mit-notice", "apache", "mit"} <= set(row.labels.split(","))
 
 
+def test_phrase_of_common_words(spark):
+    df = spark.createDataFrame([(1, "for the public use of it"), (2, "public use")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in scan(df, base={"for the public use": "x"}, templates={}).collect()}
+    assert (rows[1].n_base, rows[1].base_labels, rows[1].first_word, rows[2].n_base) == (1, "x", 0, 0)
+
+
 def test_text_with_all_licence_templates(spark):
     notices = "\n\n".join(f"part {i}: {sentence}." for i, (sentence, _) in enumerate(TEMPLATES.values()))
     rows = [(1, notices), *((i, "Ordinary notes, nothing else in them.") for i in range(2, 40))]

@@ -211,8 +211,11 @@ class TableStore:
             files.delete(path, True)
 
     def _stage(self, df: DataFrame, table: str) -> tuple[str, int]:
-        folder = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
-        return folder, self._write(df, table, folder)
+        """Rows with their days in a folder that is read whole: no file for each day, which the table gets anyway."""
+        folder, seen = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}", Observation()
+        rows = conform(df, table).withColumn(DAY, F.to_date("timestamp_hour"))
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+        return folder, seen.get["rows"]
 
     def _write(
         self, df: DataFrame, table: str, folder: str, days: list[date] | None = None
